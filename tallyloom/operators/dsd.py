@@ -20,15 +20,18 @@ class DsdError(ValueError):
     """The data structure definition breaks a rule."""
 
 
-@F.pandas_udf("boolean")
-def _compiles(patterns: pd.Series) -> pd.Series:
-    def ok(pattern):
-        try:
-            re.compile(pattern)
-        except re.error:
-            return False
-        return True
-    return patterns.map(ok)
+def _compiles(column: Column) -> Column:
+    """Whether a pattern compiles. Runs on the distinct patterns only."""
+    def compiles(patterns: pd.Series) -> pd.Series:
+        def ok(pattern):
+            try:
+                re.compile(pattern)
+            except re.error:
+                return False
+            return True
+        return patterns.map(ok)
+    # defined here so that executors get the function itself and need no copy of this package
+    return F.pandas_udf(compiles, T.BooleanType())(column)
 
 
 def _text(column: str) -> Column:
@@ -94,7 +97,7 @@ def dsd_lint(dsd: DataFrame, codelists: DataFrame) -> DataFrame:
                  F.col("constraint_codelist"), F.lit("'")).alias("message"))
 
     patterns = dsd.where("constraint_regex IS NOT NULL").select("constraint_regex").distinct()
-    broken = patterns.where(~_compiles("constraint_regex"))
+    broken = patterns.where(~_compiles(F.col("constraint_regex")))
     invalid = join_null_safe(dsd.select("concept_id", "constraint_regex"), broken, ["constraint_regex"], "left_semi")
     invalid = invalid.select(
         F.lit("regex_invalid").alias("rule"), "concept_id",

@@ -12,7 +12,7 @@ from .inputs import Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["io"]
+MODULES = ["io", "metadata", "validation"]
 
 
 def query(name: str, sql: str | None = None):
