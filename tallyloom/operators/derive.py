@@ -104,22 +104,33 @@ def count_yes(df: DataFrame, columns: Sequence[str], out: str, codes: Mapping =
 def culture_participation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Participant, core public, interested participant and non-participant.
 
-    An unknown code fails. A row sum is NULL as soon as one of its activities is unknown, in
-    which case the rules on that sum do not fire.
+    An unknown code fails. A count of activities is unknown as soon as one activity is, in which
+    case the rules on that count do not fire.
     """
     if any(c not in df.columns for c in columns):
         return df
 
-    def total(i: int) -> Column:
-        codes = {value: flags[i] for value, flags in CULTURE.items()}
-        return row_sum([recode_strict(F.col(c), codes, c, "int") for c in columns])
-
-    n = len(columns)
-    sums = df.withColumns({"__weekly": total(0), "__monthly": total(1), "__part": total(2), "__answered": total(3)})
-    rest = lambda e: (e.when(F.col("__answered") == n, "no").when(F.col("__answered") < n, "dkn"))
-    main = sums.withColumns({
-        "cultpart": rest(F.when(F.col("__part") >= 1, "yes")),
-        "cultcore": rest(F.when(F.col("__weekly") >= 1, "yes").when(F.col("__monthly") >= 2, "yes")),
+    def listed(column: str, codes: Sequence[str]) -> str:
+        return f"`{column}` IN ({', '.join(repr(c) for c in codes)})"
+
+    def number(flag: int) -> str:
+        codes = [code for code, flags in CULTURE.items() if code is not None and flags[flag] == 1]
+        return " + ".join(f"int(coalesce({listed(c, codes)}, false))" for c in columns)
+
+    known_codes = [code for code in CULTURE if code is not None]
+    strange = " OR ".join(f"NOT {listed(c, known_codes)}" for c in columns)
+    missing = " OR ".join(f"`{c}` IS NULL OR `{c}` = 'invalid'" for c in columns)
+    unsure = " OR ".join(f"`{c}` = 'dkn'" for c in columns)
+    state = (f"CASE WHEN {strange} THEN string(raise_error('culture: unknown frequency code')) "
+             f"WHEN {missing} THEN 'missing' WHEN {unsure} THEN 'unsure' ELSE 'known' END")
+    # one projection per step, so that a count is computed once and not inside every rule
+    counted = df.selectExpr("*", f"{state} AS __state", f"{number(0)} AS __weekly", f"{number(1)} AS __monthly",
+                            f"{number(2)} AS __part")
+    known = F.col("__state") == "known"
+    rest = lambda e: e.when(known, "no").when(F.col("__state") == "unsure", "dkn")
+    main = counted.withColumns({
+        "cultpart": rest(F.when(known & (F.col("__part") >= 1), "yes")),
+        "cultcore": rest(F.when(known & ((F.col("__weekly") >= 1) | (F.col("__monthly") >= 2)), "yes")),
     })
     part, core = F.col("cultpart"), F.col("cultcore")
     return main.withColumns({
@@ -127,4 +138,4 @@ def culture_participation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                      .when((part == "yes") & (core == "dkn"), "dkn").when((part == "no") & (core == "no"), "no")
                      .when((part == "dkn") & (core == "dkn"), "dkn")),
         "cultnonp": F.when(part == "yes", "no").when(part == "no", "yes").when(part == "dkn", "dkn"),
-    }).drop("__weekly", "__monthly", "__part", "__answered")
+    }).drop("__weekly", "__monthly", "__part", "__state")

@@ -19,6 +19,8 @@ from ..functions.nulls import join_null_safe
 from ..session import cut_lineage
 
 SLACK = 1e-9
+FEW_CELLS = 100_000
+SWEEPS_PER_JOB = 2
 
 
 class RakingError(ValueError):
@@ -40,76 +42,105 @@ def _with_targets(cells: DataFrame, targets: DataFrame, covariates: Sequence[str
     return cells
 
 
-def _sweep(cells: DataFrame, covariates: Sequence[str], total: float) -> DataFrame:
-    """Meet each margin in turn. A category without target keeps no weight."""
+def _sweep_steps(covariates: Sequence[str], total: float) -> list[str]:
+    """Projections that meet each margin in turn, noting how far each was off.
+
+    A category without target keeps no weight.
+    """
+    steps = []
     for i, name in enumerate(covariates):
-        here = F.sum(F.col("__n") * F.col("__w")).over(Window.partitionBy(name))
-        goal = F.coalesce(F.col(f"__p{i}"), F.lit(0.0)) * F.lit(total)
-        cells = cells.withColumn("__w", F.when(here > 0, F.col("__w") * goal / here).otherwise(F.lit(0.0)))
-    return cells
+        goal, gap = f"(coalesce(__p{i}, 0D) * {total!r}D)", "__gap" if i else "0D"
+        steps.append(f"*, sum(__n * __w) OVER (PARTITION BY `{name}`) AS __here")
+        steps.append(f"* EXCEPT (__w, __gap, __here), greatest({gap}, abs(__here - {goal}) / {total!r}D) AS __gap, "
+                     f"CASE WHEN __here > 0 THEN __w * {goal} / __here ELSE 0D END AS __w")
+    return steps
+
+
+def _cap_steps(cap: float, total: float) -> list[str]:
+    """Projections that cut at the cap and scale the rest to mean one, from running sums by falling weight.
+
+    If exactly the cells before a cell are cut, the scale follows from the two sums over them. The
+    right set is the first one after which no weight exceeds the cap, which is also the one with the
+    largest scale among those. All in one task; for few cells only.
+    """
+    ahead = "OVER (ORDER BY __w DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return [
+        f"*, ({total!r}D - {cap!r}D * coalesce(sum(__n) {ahead}, 0)) / ({total!r}D - coalesce(sum(__n * __w) {ahead}, 0D)) AS __k",
+        f"*, CASE WHEN max(__w) OVER () > {cap!r}D THEN max(CASE WHEN __k * __w <= {cap!r}D THEN __k END) OVER () ELSE 1D END AS __scale",
+        f"* EXCEPT (__w, __k, __scale), least({cap!r}D, __w * __scale) AS __w",
+    ]
 
 
-def _cap_scale(cells: DataFrame, cap: float, total: float) -> float:
-    """Scale k such that weights min(cap, k * w) have mean one.
+def _project(cells: DataFrame, steps: Sequence[str]) -> DataFrame:
+    """Apply projections one after the other, as one query text that is analysed once."""
+    text = "{cells}"
+    for step in steps:
+        text = f"(SELECT {step} FROM {text})"
+    return cells.sparkSession.sql(f"SELECT * FROM {text}", cells=cells)
 
-    This is where alternating "cut at the cap" and "rescale to mean one" ends. Every step sums the
-    cells above and below the cap; the set above only grows, so it ends after a few steps.
+
+def _cap_by_search(cells: DataFrame, cap: float, total: float) -> DataFrame:
+    """The same for any number of cells: aggregates find the scale, each adding cells to the cut set.
+
+    The set of cells above the cap only grows, so the search ends after a few steps.
     """
+    largest = cells.agg(F.max("__w")).first()[0]
+    if largest <= cap * (1 + SLACK):
+        return cells
     scale = 1.0
     while True:
         over = F.col("__w") * F.lit(scale) >= F.lit(cap)
         row = cells.agg(
             F.sum(F.when(over, F.col("__n")).otherwise(0)).alias("n_over"),
             F.sum(F.when(~over, F.col("__n") * F.col("__w")).otherwise(0.0)).alias("w_under")).first()
-        room = total - cap * float(row["n_over"])
         if row["w_under"] <= 0:
-            return scale
-        updated = room / row["w_under"]
+            break
+        updated = (total - cap * float(row["n_over"])) / row["w_under"]
         if updated <= scale * (1 + 1e-15):
-            return scale
+            break
         scale = updated
-
-
-def _state(cells: DataFrame, covariates: Sequence[str], total: float) -> tuple[float, float]:
-    """Largest weight and largest distance between a weighted margin and its target: one row."""
-    gaps = [F.abs(F.sum(F.col("__n") * F.col("__w")).over(Window.partitionBy(name)) / F.lit(total)
-                  - F.coalesce(F.col(f"__p{i}"), F.lit(0.0))) for i, name in enumerate(covariates)]
-    gap = F.greatest(*gaps) if len(gaps) > 1 else gaps[0]
-    row = cells.select("__w", gap.alias("__gap")).agg(F.max("__w"), F.max("__gap")).first()
-    return float(row[0]), float(row[1])
+    return cells.withColumn("__w", F.least(F.lit(cap), F.col("__w") * F.lit(scale)))
 
 
 def rake_cells(rows: DataFrame, targets: DataFrame, covariates: Sequence[str], cap: float = 5.0,
-               tol: float = 1e-6, max_sweeps: int = 100) -> DataFrame:
+               tol: float = 1e-6, max_sweeps: int = 100, few: int = FEW_CELLS) -> DataFrame:
     """One row per covariate cell: number of rows ``n`` and weight ``psweight`` (mean one).
 
-    Sweeps stop when every margin is within ``tol`` of its target, or after ``max_sweeps`` with a
-    warning (which is what a binding cap leads to).
+    Sweeps stop when every margin is found within ``tol`` of its target, or after ``max_sweeps``
+    with a warning (which is what a binding cap leads to). Up to ``few`` cells are swept without any
+    shuffle, several sweeps per job; more of them are spread by category, one sweep per job.
     """
     if cap <= 1:
         raise RakingError("a cap of one or less leaves no room for weights with mean one")
+    # one row per category; used once per covariate, so computed once
+    targets = cut_lineage(targets.where(F.col("covariate").isin(list(covariates))).select("covariate", "category", "p"))
     cells = rows.groupBy(*covariates).agg(F.count(F.lit(1)).alias("__n"))
-    cells = cut_lineage(_with_targets(cells, targets, covariates).withColumn("__w", F.lit(1.0)))
-    total = cells.agg(F.sum("__n")).first()[0]
+    cells = cut_lineage(_with_targets(cells, targets, covariates).withColumns({"__w": F.lit(1.0), "__gap": F.lit(0.0)}))
+    n_cells, total = cells.agg(F.count(F.lit(1)), F.sum("__n")).first()
+    result = [*covariates, F.col("__n").alias("n"), F.col("__w").alias("psweight")]
     if not total:
-        return cells.select(*covariates, F.col("__n").alias("n"), F.col("__w").alias("psweight"))
+        return cells.select(*result)
     unmet = empty_targets(cells, targets, covariates).collect()
     if unmet:
         shown = ", ".join(sorted(f"{r['covariate']}={r['category']}" for r in unmet))
         raise RakingError(f"targets without a row in the sample: {shown}")
-    total, gap = float(total), float("inf")
-    for _ in range(max_sweeps):
-        cells = cut_lineage(_sweep(cells, covariates, total))
-        largest, gap = _state(cells, covariates, total)
-        if largest > cap * (1 + SLACK):
-            scale = _cap_scale(cells, cap, total)
-            cells = cut_lineage(cells.withColumn("__w", F.least(F.lit(cap), F.col("__w") * F.lit(scale))))
-            _, gap = _state(cells, covariates, total)
-        if gap < tol:
-            break
-    else:
-        warnings.warn(f"raking stopped after {max_sweeps} sweeps with a margin gap of {gap:.2g}", stacklevel=2)
-    return cells.select(*covariates, F.col("__n").alias("n"), F.col("__w").alias("psweight"))
+    total, gap, done = float(total), float("inf"), 0
+    is_small = n_cells <= few
+    if is_small:
+        cells = cells.coalesce(1)
+    sweep = _sweep_steps(covariates, total)
+    while done < max_sweeps and gap >= tol:
+        if is_small:
+            k = min(SWEEPS_PER_JOB, max_sweeps - done)
+            cells = cut_lineage(_project(cells, (sweep + _cap_steps(cap, total)) * k))
+        else:
+            k = 1
+            cells = cut_lineage(_cap_by_search(cut_lineage(_project(cells, sweep)), cap, total))
+        done += k
+        gap = cells.agg(F.max("__gap")).first()[0]
+    if gap >= tol:
+        warnings.warn(f"raking stopped after {done} sweeps with a margin gap of {gap:.2g}", stacklevel=2)
+    return cells.select(*result)
 
 
 def rake_weights(rows: DataFrame, targets: DataFrame, covariates: Sequence[str], row_key: str, cap: float = 5.0,

@@ -82,7 +82,7 @@ def rake(frame: str, key: str, targets: str, covariates: Sequence[str], cap: flo
     goal_cols = ", ".join(f"g{i}.p AS p{i}" for i in range(len(covariates)))
     carry = ", ".join(f"p{i}" for i in range(len(covariates)))
     ctes = [f"cells AS (SELECT {cov}, COUNT(*) AS n FROM {frame} GROUP BY {cov})",
-            f"s0 AS MATERIALIZED (SELECT {cov}, n, {goal_cols}, CAST(1 AS DOUBLE) AS w FROM cells {goals})",
+            f"s0 AS MATERIALIZED (SELECT {cov}, cells.n, {goal_cols}, CAST(1 AS DOUBLE) AS w FROM cells {goals})",
             f"tot AS (SELECT CAST(COUNT(*) AS DOUBLE) AS total FROM {frame})"]
     for s in range(1, sweeps + 1):
         prev = f"s{s - 1}"
@@ -91,7 +91,7 @@ def rake(frame: str, key: str, targets: str, covariates: Sequence[str], cap: flo
             prev = f"m{s}_{i}"
         before = "OVER (ORDER BY w DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
         ctes.append(f"k{s} AS (SELECT w, (total - {cap} * COALESCE(SUM(n) {before}, 0)) / (total - COALESCE(SUM(n * w) {before}, 0)) AS k FROM {prev}, tot)")
-        ctes.append(f"c{s} AS (SELECT CASE WHEN (SELECT MAX(w) FROM {prev}) > {cap} THEN MIN(k) FILTER (WHERE k * w <= {cap}) ELSE 1.0 END AS k FROM k{s})")
+        ctes.append(f"c{s} AS (SELECT CASE WHEN (SELECT MAX(w) FROM {prev}) > {cap} THEN MAX(k) FILTER (WHERE k * w <= {cap}) ELSE 1.0 END AS k FROM k{s})")
         ctes.append(f"s{s} AS MATERIALIZED (SELECT {cov}, n, {carry}, LEAST(CAST({cap} AS DOUBLE), w * k) AS w FROM {prev}, c{s})")
     join = " AND ".join(f"f.{c} = s{sweeps}.{c}" for c in covariates)
     ctes.append(f"raked AS (SELECT f.{key}, w AS psweight FROM {frame} f JOIN s{sweeps} ON {join})")
