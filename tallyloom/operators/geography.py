@@ -112,9 +112,10 @@ def version_map(flat: DataFrame, recodes: DataFrame, newer: DataFrame, prefix: s
     successors = successor_map(flat, recodes, newer, prefix, newer_prefix)
     crosswalk = set_equality_crosswalk(successors, range(4), prefix, newer_prefix)
     uppers = upper_level_maps(flat, crosswalk, prefix, newer_prefix)
-    deepest = deepest_level_map(flat, successors, prefix, newer_prefix)
-    return (uppers.unionByName(successors, allowMissingColumns=True)
-            .unionByName(deepest, allowMissingColumns=True))
+    out = uppers.unionByName(successors, allowMissingColumns=True)
+    if level_column(prefix, 5) not in flat.columns:
+        return out
+    return out.unionByName(deepest_level_map(flat, successors, prefix, newer_prefix), allowMissingColumns=True)
 
 
 def chained_map(first: DataFrame, second: DataFrame, middle: str, last: str) -> DataFrame:
