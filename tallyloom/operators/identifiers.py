@@ -19,19 +19,21 @@ def keyed_digest(keys: Sequence[str], salt: str) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(salt), *parts), 256)
 
 
-def dense_positions(df: DataFrame, keys: Sequence[str], salt: str, name: str, digits: int = HEX_DIGITS) -> DataFrame:
+def dense_positions(df: DataFrame, keys: Sequence[str], salt: str, name: str, digits: int = HEX_DIGITS,
+                    source: DataFrame | None = None) -> DataFrame:
     """Add the position 1..n of each row in the order of its keyed digest.
 
     ``keys`` identify a row. Digests spread evenly over ``16 ** digits`` buckets whatever the keys
     are; a bucket is ranked on its own and starts where the buckets before it end, so the only
-    global scan is over that fixed number of bucket counts.
+    global scan is over that fixed number of bucket counts. ``source`` may name a cheaper table
+    with the same keys for those counts.
     """
-    hashed = df.withColumn("__digest", keyed_digest(keys, salt)).withColumn(
-        "__bucket", F.substring("__digest", 1, digits))
+    bucket = F.substring(keyed_digest(keys, salt), 1, digits)
     # bounded by 16 ** digits rows, whatever the size of df
-    counts = hashed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__rows"))
+    counts = (df if source is None else source).groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("__rows"))
     offsets = counts.select("__bucket", (F.sum("__rows").over(Window.orderBy("__bucket"))
                                          - F.col("__rows")).alias("__offset"))
+    hashed = df.withColumn("__digest", keyed_digest(keys, salt)).withColumn("__bucket", F.substring("__digest", 1, digits))
     inside = Window.partitionBy("__bucket").orderBy("__digest")
     return (hashed.join(offsets, "__bucket")
             .withColumn(name, F.col("__offset") + F.row_number().over(inside))
@@ -44,15 +46,17 @@ def row_ids(df: DataFrame, keys: Sequence[str], name: str = "row_id", salt: str
 
 
 def pseudonymous_ids(df: DataFrame, keys: Sequence[str], surv_id: str, salt: str,
-                     targets: Mapping[str, str] | None = None, drop: Sequence[str] = ()) -> DataFrame:
+                     targets: Mapping[str, str] | None = None, drop: Sequence[str] = (),
+                     source: DataFrame | None = None) -> DataFrame:
     """Add unlinkable identifiers such as ``SV0001-0042`` and drop the original keys.
 
     One independent permutation per target. The permutations run on the keys alone; the
-    wide rows are shuffled once, to receive all identifiers together.
+    wide rows are shuffled once, to receive all identifiers together. ``source`` may name a
+    cheaper table with the same keys.
     """
     targets = targets or {"resp_id": "", "resp_id_suf": "SUF-", "resp_id_puf": "PUF-"}
-    ids = df.select(*keys)
+    own = ids = (df if source is None else source).select(*keys)
     for name, infix in targets.items():
-        ids = dense_positions(ids, keys, f"{salt}:{surv_id}:{name}", name)
+        ids = dense_positions(ids, keys, f"{salt}:{surv_id}:{name}", name, source=own)
         ids = ids.withColumn(name, F.format_string(f"{surv_id}-{infix}%04d", F.col(name)))
     return join_null_safe(df, ids, list(keys)).drop(*drop)

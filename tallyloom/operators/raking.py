@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -155,6 +157,18 @@ def attach_weights(df: DataFrame, weights: DataFrame, row_key: str) -> DataFrame
     return join_null_safe(df, weights.select(row_key, "psweight"), [row_key])
 
 
+def attach_cell_weights(df: DataFrame, cells: DataFrame, covariates: Sequence[str], used: Column) -> DataFrame:
+    """Add the weight of its cell to every row for which ``used`` holds; other rows get NULL.
+
+    Equal to attaching weights by row key, but the persons are joined to the few cells and so need
+    no shuffle. A row with an unknown covariate belongs to no cell.
+    """
+    lookup = cells.select(*[F.col(c).alias(f"__cell_{c}") for c in covariates], F.col("psweight").alias("__psweight"))
+    same = reduce(and_, [df[c] == lookup[f"__cell_{c}"] for c in covariates])
+    joined = df.join(lookup, same, "left")
+    return joined.select(*df.columns, F.when(used, F.col("__psweight")).alias("psweight"))
+
+
 def weighted_margins(df: DataFrame, covariates: Sequence[str], weight: str = "psweight") -> DataFrame:
     """Weighted share of each category, for checking weights against their targets."""
     cells = df.where(F.col(weight).isNotNull()).groupBy(*covariates).agg(F.sum(weight).alias("__w"))

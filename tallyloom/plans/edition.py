@@ -45,9 +45,8 @@ def analyse_responses(df: DataFrame, questions: Sequence[Question], cfg: Edition
 
 
 def derive_variables(df: DataFrame, inputs: EditionInputs, cfg: EditionConfig) -> DataFrame:
-    """Identifiers and derived variables of the de-duplicated responses."""
-    out = identifiers.pseudonymous_ids(df, [cfg.person, cfg.response], cfg.surv_id, cfg.salt,
-                                       drop=[cfg.person, cfg.response])
+    """Derived variables of the de-duplicated responses: expressions and joins to small code lists."""
+    out = df
     for detail, target in derive.municipality_columns(out.columns):
         if inputs.areas and detail in inputs.areas:
             out = derive.geo_rollup(out, inputs.areas[detail], detail, target)
@@ -63,19 +62,30 @@ def derive_variables(df: DataFrame, inputs: EditionInputs, cfg: EditionConfig) -
 
 def weight_responses(df: DataFrame, targets: DataFrame, cfg: EditionConfig) -> DataFrame:
     """Raked weights for respondents whose covariates are known."""
-    frame = margins.raking_frame(df, cfg.covariates, "resp_id")
+    frame = margins.raking_frame(df, cfg.covariates, cfg.response)
     goals = margins.normalise_margins(targets, cfg.covariates)
-    weights = raking.rake_weights(frame, goals, cfg.covariates, "resp_id", cfg.cap, cfg.tol, cfg.max_sweeps)
-    return raking.attach_weights(df, weights, "resp_id")
+    cells = raking.rake_cells(frame, goals, cfg.covariates, cfg.cap, cfg.tol, cfg.max_sweeps)
+    return raking.attach_cell_weights(df, cells, cfg.covariates, F.col("resp_stat") == "resp")
+
+
+def name_responses(df: DataFrame, cfg: EditionConfig, source: DataFrame) -> DataFrame:
+    """Pseudonymous identifiers instead of the person and response keys, which leave the data."""
+    return identifiers.pseudonymous_ids(df, [cfg.person, cfg.response], cfg.surv_id, cfg.salt,
+                                        drop=[cfg.person, cfg.response], source=source)
 
 
 def process_edition(inputs: EditionInputs, questions: Sequence[Question], cfg: EditionConfig) -> DataFrame:
-    """The whole chain. Two stages are written to the shared folder, as later steps read them twice."""
+    """The whole chain.
+
+    Two stages are written to the shared folder, as later steps read them more than once: the
+    analysed responses (best response per person, then all its columns) and the single responses
+    (raking cells, identifiers, result). Identifiers come last, so that raking does not wait for them.
+    """
     merged = cleaning.merge_sources(inputs.sample, inputs.survey, inputs.edition, inputs.contacts, cfg.surv_id)
     analysed = stage_table(analyse_responses(clean_responses(merged, cfg), questions, cfg))
-    single = responses.dedupe_responses(analysed, cfg.person)
-    derived = stage_table(derive_variables(single, inputs, cfg))
-    return weight_responses(derived, inputs.targets, cfg)
+    single = stage_table(responses.dedupe_responses(analysed, cfg.person))
+    weighted = weight_responses(derive_variables(single, inputs, cfg), inputs.targets, cfg)
+    return name_responses(weighted, cfg, single)
 
 
 def publish_edition(df: DataFrame, editions: DataFrame, dsd: DataFrame, codelists: DataFrame, path: str) -> DataFrame:
