@@ -23,11 +23,21 @@ SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
-_Q = ", ".join(f"MAX(CASE WHEN l_linenumber = {i} THEN a END) AS q{i}" for i in range(1, 8))
-_F = ", ".join(f"MAX(CASE WHEN l_linenumber = {i} THEN f END) AS f{i}" for i in range(1, 8))
+# Answers are numbered in alphabetical order, so that the greatest number is the greatest text; numbers
+# can be aggregated by hashing, texts only by sorting.
+_CHOICES = ["dkn", "invalid", "no", "yes"]
+_FREQUENCIES = ["daily", "dkn", "monthly", "never", "weekly", "yearly"]
+
+
+def _greatest(codes: list[str], flag: str, i: int, name: str) -> str:
+    names = " ".join(f"WHEN {k + 1} THEN '{c}'" for k, c in enumerate(codes))
+    return f"CASE MAX(CASE WHEN l_linenumber = {i} THEN {flag} END) {names} END AS {name}{i}"
+
+
+_Q = ", ".join(_greatest(_CHOICES, "a", i, "q") for i in range(1, 8))
+_F = ", ".join(_greatest(_FREQUENCIES, "f", i, "f") for i in range(1, 8))
 _T = ", ".join(f"CAST(MAX(CASE WHEN l_linenumber = {i} THEN l_quantity END) AS INT) AS t{i}" for i in range(1, 8))
-_FREQ = ("CASE CAST(l_quantity AS INT) % 6 WHEN 0 THEN 'daily' WHEN 1 THEN 'weekly' WHEN 2 THEN 'monthly' "
-         "WHEN 3 THEN 'yearly' WHEN 4 THEN 'never' ELSE 'dkn' END")
+_FREQ = "CASE CAST(l_quantity AS INT) % 6 WHEN 0 THEN 1 WHEN 1 THEN 5 WHEN 2 THEN 3 WHEN 3 THEN 6 WHEN 4 THEN 4 ELSE 2 END"
 
 VIEWS: dict[str, str] = {
     # one sampled person per customer
@@ -50,8 +60,7 @@ FROM orders""",
     "answers": f"""
 SELECT l_orderkey AS row_id, {_Q}, {_F}, {_T}
 FROM (SELECT l_orderkey, l_linenumber, l_quantity,
-        CASE WHEN l_returnflag = 'R' THEN 'yes' WHEN l_returnflag = 'N' THEN 'no'
-             WHEN l_linestatus = 'F' THEN 'dkn' ELSE 'invalid' END AS a,
+        CASE WHEN l_returnflag = 'R' THEN 4 WHEN l_returnflag = 'N' THEN 3 WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS a,
         {_FREQ} AS f
       FROM lineitem) t
 GROUP BY l_orderkey""",
@@ -137,11 +146,11 @@ SELECT DISTINCT p_brand AS value, CONCAT('nl ', p_brand) AS label_nl, CONCAT('fr
 FROM part WHERE p_brand <> 'Brand#7'""",
     # frequencies of eleven activities per part
     "culture": "SELECT l_partkey AS id, " + ", ".join(
-        f"MAX(CASE WHEN l_suppkey % 11 = {i} THEN g END) AS c{i}" for i in range(11)) + """
-FROM (SELECT l_partkey, l_suppkey, CASE WHEN l_partkey % 3 = 0 THEN 'never'
-        WHEN l_partkey % 3 = 1 THEN CASE WHEN CAST(l_quantity AS INT) % 9 = 0 THEN 'dkn' ELSE 'yearly' END
-        ELSE CASE CAST(l_quantity AS INT) % 7 WHEN 0 THEN 'daily' WHEN 1 THEN 'weekly' WHEN 2 THEN 'monthly' WHEN 3 THEN 'yearly'
-             WHEN 4 THEN 'never' WHEN 5 THEN 'dkn' ELSE 'invalid' END END AS g
+        f"CASE MAX(CASE WHEN l_suppkey % 11 = {i} THEN g END) WHEN 1 THEN 'daily' WHEN 2 THEN 'dkn' WHEN 3 THEN 'invalid' "
+        f"WHEN 4 THEN 'monthly' WHEN 5 THEN 'never' WHEN 6 THEN 'weekly' WHEN 7 THEN 'yearly' END AS c{i}" for i in range(11)) + """
+FROM (SELECT l_partkey, l_suppkey, CASE WHEN l_partkey % 3 = 0 THEN 5
+        WHEN l_partkey % 3 = 1 THEN CASE WHEN CAST(l_quantity AS INT) % 9 = 0 THEN 2 ELSE 7 END
+        ELSE CASE CAST(l_quantity AS INT) % 7 WHEN 0 THEN 1 WHEN 1 THEN 6 WHEN 2 THEN 4 WHEN 3 THEN 7 WHEN 4 THEN 5 WHEN 5 THEN 2 ELSE 3 END END AS g
       FROM lineitem) t GROUP BY l_partkey""",
 }
 
