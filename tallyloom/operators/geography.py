@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.nulls import join_null_safe
 from ..functions.text import title_case
@@ -75,28 +76,31 @@ def set_equality_crosswalk(members: DataFrame, levels: Sequence[int], prefix: st
 
     ``members`` has one row per member with its areas in both versions. Two areas have the same
     members when both have as many rows as they share, so counts decide: nothing is gathered per
-    area, and the rows are aggregated before they are shuffled.
+    area. The members are aggregated to pairs of areas first; everything else runs on those pairs.
     """
     cells = F.array(*[F.struct(F.lit(lv).alias("level"), F.col(level_column(prefix, lv)).alias("old"),
                                F.col(level_column(newer_prefix, lv)).alias("new")) for lv in levels])
     pairs = members.select(F.inline(cells)).groupBy("level", "old", "new").agg(F.count(F.lit(1)).alias("n"))
-    size = lambda side: pairs.where(F.col(side).isNotNull()).groupBy("level", side).agg(F.sum("n").alias(f"n_{side}"))
-    old = size("old")
-    equal = (pairs.join(old, ["level", "old"]).join(size("new"), ["level", "new"])
-             .where("n = n_old AND n = n_new").select("level", "old", "new"))
-    return old.join(equal, ["level", "old"], "left").select("level", "old", "new")
+    sized = pairs.withColumns({f"n_{side}": F.sum("n").over(Window.partitionBy("level", side)) for side in ("old", "new")})
+    equal = (F.col("n") == F.col("n_old")) & (F.col("n") == F.col("n_new"))
+    return sized.where("old IS NOT NULL").groupBy("level", "old").agg(F.max(F.when(equal, F.col("new"))).alias("new"))
 
 
 def upper_level_maps(flat: DataFrame, crosswalk: DataFrame, prefix: str, newer_prefix: str,
                      levels: Sequence[int] = range(4), depth: int = 5) -> DataFrame:
-    """Map the higher areas and each of their ancestors through the crosswalk."""
-    out = flat.where(F.col("level").isin(list(levels)))
-    table = crosswalk.select("old", "new")
-    for lv in range(depth + 1):
-        source = level_column(prefix, lv)
-        if source in out.columns:
-            out = join_null_safe(out, table.withColumnRenamed("new", level_column(newer_prefix, lv)), {source: "old"})
-    return join_null_safe(out, table.withColumnRenamed("new", newer_prefix), {"id": "old"})
+    """Map the higher areas and each of their ancestors through the crosswalk.
+
+    All columns to map are made long, so that the crosswalk is joined once.
+    """
+    own = flat.where(F.col("level").isin(list(levels)))
+    sources = {level_column(newer_prefix, lv): level_column(prefix, lv) for lv in range(depth + 1)
+               if level_column(prefix, lv) in flat.columns}
+    sources[newer_prefix] = "id"
+    cells = F.array(*[F.struct(F.lit(t).alias("__target"), F.col(c).alias("__old")) for t, c in sources.items()])
+    long = own.select(F.col("id").alias("__id"), F.inline(cells))
+    found = long.join(crosswalk.where("new IS NOT NULL").select(F.col("old").alias("__old"), "new"), "__old")
+    wide = found.groupBy("__id").agg(*[F.max(F.when(F.col("__target") == t, F.col("new"))).alias(t) for t in sources])
+    return join_null_safe(own, wide, {"id": "__id"})
 
 
 def deepest_level_map(flat: DataFrame, successors: DataFrame, prefix: str, newer_prefix: str, level: int = 5) -> DataFrame:

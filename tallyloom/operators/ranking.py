@@ -20,9 +20,13 @@ def slice_best(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> Dat
     """
     marks = [f"__order_{i}" for i in range(len(order))]
     marked = df.withColumns(dict(zip(marks, order)))
-    best = (marked.groupBy(*by)
-            .agg(F.max(F.struct(*marks)).alias("__best"))
-            .select(*by, *[F.col(f"__best.{m}").alias(m) for m in marks]))
+    if len(marks) == 1:
+        # a single number is aggregated by hashing; several need a struct, which is sorted
+        best = marked.groupBy(*by).agg(F.max(marks[0]).alias(marks[0]))
+    else:
+        best = (marked.groupBy(*by)
+                .agg(F.max(F.struct(*marks)).alias("__best"))
+                .select(*by, *[F.col(f"__best.{m}").alias(m) for m in marks]))
     return join_null_safe(marked, best, [*by, *marks], "left_semi").drop(*marks)
 
 
