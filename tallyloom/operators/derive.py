@@ -62,20 +62,21 @@ def age_bands(df: DataFrame, year: str = "surv_year", birth: str = "bth_year") -
     return df.withColumns({"age": age, "agecat7": age_band(age, "agecat7from18"), "agecat4": age_band(age, "agecat4from18")})
 
 
-def education_level(df: DataFrame, levels: DataFrame | None = None, column: str = "sr_educ") -> DataFrame:
+def education_level(df: DataFrame, levels: DataFrame | None = None, column: str = "sr_educ",
+                    codes: Mapping = EDUCATION) -> DataFrame:
     """Education in four levels (an unknown code fails) and, through a code-list map, in three."""
     if column not in df.columns:
         return df
-    out = df.withColumn("sr_edlv4", recode_strict(F.col(column), EDUCATION, column))
+    out = df.withColumn("sr_edlv4", recode_strict(F.col(column), codes, column))
     if levels is None:
         return out
     three = levels.select(F.col("value").alias("sr_edlv4"), F.col("target_value").alias("sr_edlv3"))
     return join_null_safe(out, three, ["sr_edlv4"])
 
 
-def employment(df: DataFrame, column: str = "sr_empl", out: str = "sr_emplb") -> DataFrame:
+def employment(df: DataFrame, column: str = "sr_empl", out: str = "sr_emplb", codes: Mapping = EMPLOYMENT) -> DataFrame:
     """Small employment groups collapse to one."""
-    return df.withColumn(out, replace_values(F.col(column), EMPLOYMENT)) if column in df.columns else df
+    return df.withColumn(out, replace_values(F.col(column), codes)) if column in df.columns else df
 
 
 def household_position(df: DataFrame) -> DataFrame:

@@ -148,8 +148,8 @@ def rake_cells(rows: DataFrame, targets: DataFrame, covariates: Sequence[str], c
 def rake_weights(rows: DataFrame, targets: DataFrame, covariates: Sequence[str], row_key: str, cap: float = 5.0,
                  tol: float = 1e-6, max_sweeps: int = 100) -> DataFrame:
     """(row key, psweight) for every row of the raking frame."""
-    cells = rake_cells(rows, targets, covariates, cap, tol, max_sweeps).drop("n")
-    return join_null_safe(rows.select(row_key, *covariates), cells, list(covariates)).select(row_key, "psweight")
+    cells = rake_cells(rows, targets, covariates, cap, tol, max_sweeps)
+    return attach_cell_weights(rows, cells, covariates).select(row_key, "psweight")
 
 
 def attach_weights(df: DataFrame, weights: DataFrame, row_key: str) -> DataFrame:
@@ -157,16 +157,21 @@ def attach_weights(df: DataFrame, weights: DataFrame, row_key: str) -> DataFrame
     return join_null_safe(df, weights.select(row_key, "psweight"), [row_key])
 
 
-def attach_cell_weights(df: DataFrame, cells: DataFrame, covariates: Sequence[str], used: Column) -> DataFrame:
+def attach_cell_weights(df: DataFrame, cells: DataFrame, covariates: Sequence[str],
+                        used: Column | None = None) -> DataFrame:
     """Add the weight of its cell to every row for which ``used`` holds; other rows get NULL.
 
     Equal to attaching weights by row key, but the persons are joined to the few cells and so need
-    no shuffle. A row with an unknown covariate belongs to no cell.
+    no shuffle: the cells are counted, and broadcast when they are few. A row with an unknown
+    covariate belongs to no cell.
     """
     lookup = cells.select(*[F.col(c).alias(f"__cell_{c}") for c in covariates], F.col("psweight").alias("__psweight"))
+    if lookup.limit(FEW_CELLS + 1).count() <= FEW_CELLS:
+        lookup = F.broadcast(lookup)
     same = reduce(and_, [df[c] == lookup[f"__cell_{c}"] for c in covariates])
     joined = df.join(lookup, same, "left")
-    return joined.select(*df.columns, F.when(used, F.col("__psweight")).alias("psweight"))
+    weight = F.col("__psweight") if used is None else F.when(used, F.col("__psweight"))
+    return joined.select(*df.columns, weight.alias("psweight"))
 
 
 def weighted_margins(df: DataFrame, covariates: Sequence[str], weight: str = "psweight") -> DataFrame:

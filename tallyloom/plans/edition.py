@@ -89,7 +89,11 @@ def process_edition(inputs: EditionInputs, questions: Sequence[Question], cfg: E
 
 
 def publish_edition(df: DataFrame, editions: DataFrame, dsd: DataFrame, codelists: DataFrame, path: str) -> DataFrame:
-    """Check the number of persons and the DSD, then write the edition's partition."""
+    """Check the number of persons and the DSD, then write the edition's partition.
+
+    The checks read the columns they are about from a staged table, not the whole chain again.
+    """
+    df = stage_table(df)
     wrong = validation.sample_size_check(df, editions).join(df.select("surv_id").distinct(), "surv_id", "left_semi").collect()
     if wrong:
         raise validation.ValidationError("\n".join(

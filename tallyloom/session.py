@@ -16,8 +16,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join partition even where that costs one more shuffle later
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # rewrite only the partitions present in the written data
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
