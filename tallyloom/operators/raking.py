@@ -22,7 +22,8 @@ from ..session import cut_lineage
 
 SLACK = 1e-9
 FEW_CELLS = 100_000
-SWEEPS_PER_JOB = 2
+# nested projections per query text: the analyser resolves them from the inside out, in a limited number of rounds
+STEPS_PER_TEXT = 24
 
 
 class RakingError(ValueError):
@@ -51,10 +52,10 @@ def _sweep_steps(covariates: Sequence[str], total: float) -> list[str]:
     """
     steps = []
     for i, name in enumerate(covariates):
+        here = f"sum(__n * __w) OVER (PARTITION BY `{name}`)"
         goal, gap = f"(coalesce(__p{i}, 0D) * {total!r}D)", "__gap" if i else "0D"
-        steps.append(f"*, sum(__n * __w) OVER (PARTITION BY `{name}`) AS __here")
-        steps.append(f"* EXCEPT (__w, __gap, __here), greatest({gap}, abs(__here - {goal}) / {total!r}D) AS __gap, "
-                     f"CASE WHEN __here > 0 THEN __w * {goal} / __here ELSE 0D END AS __w")
+        steps.append(f"* EXCEPT (__w, __gap), greatest({gap}, abs({here} - {goal}) / {total!r}D) AS __gap, "
+                     f"CASE WHEN {here} > 0 THEN __w * {goal} / {here} ELSE 0D END AS __w")
     return steps
 
 
@@ -74,11 +75,13 @@ def _cap_steps(cap: float, total: float) -> list[str]:
 
 
 def _project(cells: DataFrame, steps: Sequence[str]) -> DataFrame:
-    """Apply projections one after the other, as one query text that is analysed once."""
-    text = "{cells}"
-    for step in steps:
-        text = f"(SELECT {step} FROM {text})"
-    return cells.sparkSession.sql(f"SELECT * FROM {text}", cells=cells)
+    """Apply projections one after the other, as query texts that are analysed once each."""
+    for start in range(0, len(steps), STEPS_PER_TEXT):
+        text = "{cells}"
+        for step in steps[start:start + STEPS_PER_TEXT]:
+            text = f"(SELECT {step} FROM {text})"
+        cells = cells.sparkSession.sql(f"SELECT * FROM {text}", cells=cells)
+    return cells
 
 
 def _cap_by_search(cells: DataFrame, cap: float, total: float) -> DataFrame:
@@ -133,8 +136,9 @@ def rake_cells(rows: DataFrame, targets: DataFrame, covariates: Sequence[str], c
     sweep = _sweep_steps(covariates, total)
     while done < max_sweeps and gap >= tol:
         if is_small:
-            k = min(SWEEPS_PER_JOB, max_sweeps - done)
-            cells = cut_lineage(_project(cells, (sweep + _cap_steps(cap, total)) * k))
+            steps = sweep + _cap_steps(cap, total)
+            k = min(max(1, STEPS_PER_TEXT // len(steps)), max_sweeps - done)
+            cells = cut_lineage(_project(cells, steps * k))
         else:
             k = 1
             cells = cut_lineage(_cap_by_search(cut_lineage(_project(cells, sweep)), cap, total))

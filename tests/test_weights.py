@@ -96,3 +96,11 @@ def test_cell_weights_equal_row_weights(spark, rows):
     a, b = rows(by_row, "k", "psweight"), rows(by_cell, "k", "psweight")
     assert [(k, w is None) for k, w in a] == [(k, w is None) for k, w in b]
     assert [w for _, w in a if w] == pytest.approx([w for _, w in b if w])
+
+
+def test_many_covariates_are_swept_in_several_texts(spark):
+    names = [f"c{i}" for i in range(27)]
+    rows = spark.range(64).select("id", *[F.when(F.col("id").bitwiseAND(1 << (i % 6)) > 0, "x").otherwise("y").alias(c) for i, c in enumerate(names)])
+    targets = spark.createDataFrame([(c, k, p) for c in names for k, p in (("x", 0.6), ("y", 0.4))], "covariate string, category string, p double")
+    cells = raking.rake_cells(rows, targets, names, max_sweeps=3)
+    assert cells.agg(F.sum(F.col("n") * F.col("psweight"))).first()[0] == pytest.approx(64)
