@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.messages import shown
 from ..functions.nulls import join_null_safe
 
 
@@ -41,12 +42,12 @@ def codebook(variables: DataFrame, dsd: DataFrame, questions: DataFrame, answers
     aggregate per concept, not by numbering the rows of a concept.
     """
     if check:
-        unknown = sorted(str(r[0]) for r in concepts_without_question(variables, questions).collect())
+        unknown = shown(concepts_without_question(variables, questions), "concept_id")
         if unknown:
             raise CodebookError(f"concepts without question: {', '.join(unknown)}")
     expanded = expanded_variables(variables, dsd, questions, codelists)
     if check:
-        unlabelled = sorted(str(r[0]) for r in values_without_label(expanded, answers).collect())
+        unlabelled = shown(values_without_label(expanded, answers), "value")
         if unlabelled:
             raise CodebookError(f"code values without answer label: {', '.join(unlabelled)}")
     labelled = join_null_safe(expanded, answers.select("value", "vallabel"), ["value"])

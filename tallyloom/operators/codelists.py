@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.messages import shown
 from ..functions.nulls import join_null_safe
 
 PREFIX = "cl_"
@@ -29,7 +30,8 @@ def skeleton_orphans(skeletons: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def require_known_values(skeletons: DataFrame, values: DataFrame) -> None:
-    bad = sorted(f"'{r['value']}' in skeleton '{r['source']}'" for r in skeleton_orphans(skeletons, values).distinct().collect())
+    text = F.concat(F.lit("'"), "value", F.lit("' in skeleton '"), "source", F.lit("'"))
+    bad = shown(skeleton_orphans(skeletons, values).distinct(), text)
     if bad:
         raise CodelistError("Values not in value list: " + "; ".join(bad))
 

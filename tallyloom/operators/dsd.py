@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.messages import shown
 from ..functions.nulls import join_null_safe
 
 # The types a concept may have.
@@ -113,8 +114,8 @@ def dsd_lint(dsd: DataFrame, codelists: DataFrame) -> DataFrame:
 
 
 def publish_dsd(dsd: DataFrame, codelists: DataFrame, path: str) -> None:
-    """Write the DSD, or fail with every broken rule."""
-    messages = sorted(r["message"] for r in dsd_lint(dsd, codelists).collect())
+    """Write the DSD, or fail with the broken rules."""
+    messages = shown(dsd_lint(dsd, codelists), "message", most=1000)
     if messages:
         raise DsdError("\n" + "\n".join(messages))
     dsd.write.mode("overwrite").parquet(path)

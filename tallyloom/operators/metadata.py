@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.messages import shown
 from ..functions.nulls import filter_out, join_null_safe
 from ..sources.tables import require_columns
 from .ranking import group_size, slice_best
@@ -123,9 +124,9 @@ def read_mailings(mailings: DataFrame, fw_period: str) -> DataFrame:
     """The contact dates of one field work period, after the completeness check."""
     require_columns(mailings, REQUIRED["mailings"], "mailings")
     own = mailings.where(F.col("fw_period") == fw_period)
-    problems = [r["message"] for r in contact_problems(own).collect()]
+    problems = shown(contact_problems(own), "message")
     if problems or own.limit(1).count() == 0:
-        detail = "\n".join(sorted(problems)) or "no line at all."
+        detail = "\n".join(problems) or "no line at all."
         raise MetadataError(f"Mailings are not right for field work period {fw_period}.\n{detail}")
     return mailings_wide(own)
 
@@ -141,7 +142,7 @@ def load_dsd(dsd: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     require_columns(dsd, REQUIRED["dsd"], "the DSD")
     if wanted is None:
         return dsd
-    missing = sorted(str(r[0]) for r in missing_concepts(wanted, dsd).collect())
+    missing = shown(missing_concepts(wanted, dsd), "concept_id")
     if missing:
         raise MetadataError(f"Following concepts are missing in the DSD: {', '.join(missing)}")
     return join_null_safe(dsd, wanted.select("concept_id").distinct(), ["concept_id"], "left_semi")

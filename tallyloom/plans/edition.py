@@ -110,5 +110,6 @@ def relabel_survey(survey: DataFrame, dsd: DataFrame, codelists: DataFrame, answ
              variables.where(F.col("variable").isin(survey.columns)).select("variable", "concept_id").collect()}
     concepts = {c.concept_id: c for c in validation.concepts_for(dsd, list(named.values()))}
     lists = {v: concepts[c].codelist for v, c in named.items() if c in concepts and concepts[c].kind == "codelist"}
-    displays = validation.display_values(codelists, answers)
+    # looked up once per column, so computed once
+    displays = stage_table(validation.display_values(codelists, answers))
     return survey.transform(validation.relabel_codes, lists, displays).withColumnsRenamed(named)

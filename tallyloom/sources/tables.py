@@ -43,12 +43,16 @@ def scan_table_set(tables: Mapping[str, DataFrame], source_column: str = "source
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("surv_id",), rows_per_file: int = 5_000_000) -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("surv_id",), rows_per_file: int = 5_000_000,
+                      rebalance: bool = False) -> None:
     """Write Parquet partitioned by ``by``, replacing only the partitions present in ``df``.
 
     Files are limited by row count; there is no shuffle to one task per partition value,
-    so one large edition is written by as many tasks as hold its rows.
+    so one large edition is written by as many tasks as hold its rows. With ``rebalance`` rows of
+    one value meet in few files, and a large value is still split over several tasks.
     """
+    if rebalance:
+        df = df.hint("rebalance", *[F.col(c) for c in by])
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", rows_per_file)
@@ -57,6 +61,7 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("surv_id",)
 
 def publish_by_key(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = ()) -> None:
     """Publish many small tables (code lists, margins) as one table, partitioned by key."""
+    df = df.hint("rebalance", *[F.col(k) for k in keys])
     if order:
         df = df.sortWithinPartitions(*keys, *order)
     write_partitioned(df, path, keys)
