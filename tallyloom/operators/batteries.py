@@ -37,35 +37,53 @@ class FilteredQuestion:
         return any_of(tests)
 
 
+def _present(df: DataFrame, battery: Battery) -> Battery | None:
+    """The part of a battery the data has; None when there is nothing to clean."""
+    options = tuple(c for c in battery.options if c in df.columns)
+    if not options or battery.dk not in df.columns:
+        return None
+    return Battery(options, battery.dk, battery.none if battery.none in df.columns else None)
+
+
+def _columns(battery: Battery) -> set[str]:
+    return {*battery.options, battery.dk, *([battery.none] if battery.none else [])}
+
+
+def _clean_together(df: DataFrame, batteries: Sequence[Battery]) -> DataFrame:
+    """Batteries without common columns, in two projections: their flags once, then all outputs."""
+    flags, out = {}, {}
+    for i, b in enumerate(batteries):
+        flags[f"__ticked_{i}"] = any_of([F.col(c) == "yes" for c in b.options])
+        flags[f"__dk_{i}"] = F.col(b.dk) == "yes"
+        if b.none:
+            flags[f"__none_{i}"] = F.col(b.none) == "yes"
+        ticked, unknown, none = (F.col(f"__{n}_{i}") for n in ("ticked", "dk", "none"))
+        for c in b.options:
+            expr = F.when(F.col(c) == "yes", "yes").when(unknown, "dkn")
+            out[c] = (expr.when(none | ticked, "no") if b.none else expr.when(ticked, "no"))
+        out[b.dk] = F.when(unknown, "yes").when(none | ticked if b.none else ticked, "no")
+        if b.none:
+            out[b.none] = F.when(ticked, "no").when(unknown, "dkn").when(none, "yes")
+    return df.withColumns(flags).withColumns(out).drop(*flags)
+
+
 def clean_battery(df: DataFrame, options: Sequence[str], dk: str, none: str | None = None) -> DataFrame:
     """Recode ticked/unticked options to yes, no, don't know or NULL.
 
     Nothing changes when no option or no don't-know column is present. All outputs are computed
-    from the incoming columns, in a single projection.
+    from the incoming columns.
     """
-    present = [c for c in options if c in df.columns]
-    if not present or dk not in df.columns:
-        return df
-    with_none = none is not None and none in df.columns
-    yes = {c: F.col(c) == "yes" for c in [*present, dk, *([none] if with_none else [])]}
-    ticked = any_of([yes[c] for c in present])
-    out = {}
-    for c in present:
-        expr = F.when(yes[c], "yes").when(yes[dk], "dkn")
-        if with_none:
-            expr = expr.when(yes[none], "no")
-        out[c] = expr.when(ticked, "no")
-    out[dk] = F.when(yes[dk], "yes").when(ticked, "no")
-    if with_none:
-        out[dk] = out[dk].when(yes[none], "no")
-        out[none] = F.when(ticked, "no").when(yes[dk], "dkn").when(yes[none], "yes")
-    return df.withColumns(out)
+    return clean_batteries(df, [Battery(tuple(options), dk, none)])
 
 
 def clean_batteries(df: DataFrame, batteries: Sequence[Battery]) -> DataFrame:
-    for b in batteries:
-        df = clean_battery(df, b.options, b.dk, b.none)
-    return df
+    """Clean batteries in order; those without common columns share their projections."""
+    group: list[Battery] = []
+    for b in filter(None, (_present(df, b) for b in batteries)):
+        if any(_columns(b) & _columns(g) for g in group):
+            df, group = _clean_together(df, group), []
+        group.append(b)
+    return _clean_together(df, group) if group else df
 
 
 def clean_filtered(df: DataFrame, columns: Sequence[str], condition: Column, na_value: str = "na",

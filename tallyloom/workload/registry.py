@@ -12,7 +12,7 @@ from .inputs import Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["io", "metadata", "validation", "cleaning", "responses", "derive", "weights", "codelists", "editions"]
+MODULES = ["io", "metadata", "validation", "cleaning", "responses", "derive", "weights", "codelists", "configured", "editions"]
 
 
 def query(name: str, sql: str | None = None):
