@@ -47,8 +47,8 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: On, how: str = "left",
     right_keys = {r for _, r in pairs}
     left_keys = {lf for lf, _ in pairs}
     if how not in ("left_semi", "left_anti"):
-        shared = [c for c in right.columns
-                  if c in left.columns and c not in right_keys and c not in left_keys]
+        have = set(left.columns)
+        shared = [c for c in right.columns if c in have and c not in right_keys and c not in left_keys]
         if shared and prefer == "error":
             raise ValueError(f"columns on both sides of the join: {', '.join(shared)}")
         if prefer == "right":

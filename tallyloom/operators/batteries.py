@@ -37,12 +37,12 @@ class FilteredQuestion:
         return any_of(tests)
 
 
-def _present(df: DataFrame, battery: Battery) -> Battery | None:
+def _present(columns: set[str], battery: Battery) -> Battery | None:
     """The part of a battery the data has; None when there is nothing to clean."""
-    options = tuple(c for c in battery.options if c in df.columns)
-    if not options or battery.dk not in df.columns:
+    options = tuple(c for c in battery.options if c in columns)
+    if not options or battery.dk not in columns:
         return None
-    return Battery(options, battery.dk, battery.none if battery.none in df.columns else None)
+    return Battery(options, battery.dk, battery.none if battery.none in columns else None)
 
 
 def _columns(battery: Battery) -> set[str]:
@@ -79,36 +79,56 @@ def clean_battery(df: DataFrame, options: Sequence[str], dk: str, none: str | No
 def clean_batteries(df: DataFrame, batteries: Sequence[Battery]) -> DataFrame:
     """Clean batteries in order; those without common columns share their projections."""
     group: list[Battery] = []
-    for b in filter(None, (_present(df, b) for b in batteries)):
+    columns = set(df.columns)
+    for b in filter(None, (_present(columns, b) for b in batteries)):
         if any(_columns(b) & _columns(g) for g in group):
             df, group = _clean_together(df, group), []
         group.append(b)
     return _clean_together(df, group) if group else df
 
 
+def _filter_together(df: DataFrame, filters: Sequence[tuple[Sequence[str], Column, str]]) -> DataFrame:
+    """Filters (questions, condition, value) that do not see each other: conditions once, then all questions."""
+    flags, out = {}, {}
+    for i, (columns, asked, na_value) in enumerate(filters):
+        flags[f"__asked_{i}"] = asked
+        flag = F.col(f"__asked_{i}")
+        out.update({c: F.when(flag, F.col(c)).when(~flag, F.lit(na_value)) for c in columns})
+    return df.withColumns(flags).withColumns(out).drop(*flags)
+
+
 def clean_filtered(df: DataFrame, columns: Sequence[str], condition: Column, na_value: str = "na",
                    na_as_false: bool = False) -> DataFrame:
     """Keep values where the condition holds and set ``na_value`` where it does not.
 
     An unknown condition gives NULL, or ``na_value`` with ``na_as_false``.
     """
-    present = [c for c in columns if c in df.columns]
+    have = set(df.columns)
+    present = [c for c in columns if c in have]
     if not present:
         return df
     asked = F.coalesce(condition, F.lit(False)) if na_as_false else condition
-    return df.withColumns({c: F.when(asked, F.col(c)).when(~asked, F.lit(na_value)) for c in present})
+    return _filter_together(df, [(present, asked, na_value)])
 
 
 def clean_filters(df: DataFrame, filters: Sequence[FilteredQuestion]) -> DataFrame:
     """Apply configured filters in order; later ones see earlier results.
 
     A filter is skipped when its questions are not in the edition. When they are but the column
-    that steers them is not, the configuration does not fit the data, which is an error.
+    that steers them is not, the configuration does not fit the data, which is an error. Filters
+    that touch nothing an earlier one wrote share its projections.
     """
+    have, group, written = set(df.columns), [], set()
     for f in filters:
-        if any(c in df.columns for c in f.columns):
-            absent = [c for c in f.needs if c not in df.columns]
-            if absent:
-                raise ValueError(f"filter of {', '.join(f.columns)} needs columns {', '.join(absent)}")
-            df = clean_filtered(df, f.columns, f.condition(), f.na_value, f.na_as_false)
-    return df
+        present = [c for c in f.columns if c in have]
+        if not present:
+            continue
+        absent = [c for c in f.needs if c not in have]
+        if absent:
+            raise ValueError(f"filter of {', '.join(f.columns)} needs columns {', '.join(absent)}")
+        if written & {*f.needs, *present}:
+            df, group, written = _filter_together(df, group), [], set()
+        asked = F.coalesce(f.condition(), F.lit(False)) if f.na_as_false else f.condition()
+        group.append((present, asked, f.na_value))
+        written |= set(present)
+    return _filter_together(df, group) if group else df

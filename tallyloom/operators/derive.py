@@ -81,10 +81,11 @@ def employment(df: DataFrame, column: str = "sr_empl", out: str = "sr_emplb", co
 
 def household_position(df: DataFrame) -> DataFrame:
     """Household position by ordered rules, and a form that folds living with parents into other."""
-    if any(c not in df.columns for c in ("hh_alone", "hh_partn", "hh_child", "hh_par")):
+    have = set(df.columns)
+    if not {"hh_alone", "hh_partn", "hh_child", "hh_par"} <= have:
         return df
     is_ = lambda c, v: F.col(c) == v
-    others = any_of([is_(c, "yes") for c in HOUSEHOLD_FLAGS if c in df.columns])
+    others = any_of([is_(c, "yes") for c in HOUSEHOLD_FLAGS if c in have])
     position = (F.when(is_("hh_alone", "yes"), "alone")
                 .when(is_("hh_partn", "yes") & is_("hh_child", "no"), "partnr")
                 .when(is_("hh_partn", "yes") & is_("hh_child", "yes"), "partkid")
@@ -97,7 +98,7 @@ def household_position(df: DataFrame) -> DataFrame:
 
 def count_yes(df: DataFrame, columns: Sequence[str], out: str, codes: Mapping = YES_NO) -> DataFrame:
     """Number of yes answers; NULL when one is unknown, an error on a code that is not listed."""
-    if any(c not in df.columns for c in columns):
+    if not set(columns) <= set(df.columns):
         return df
     return df.withColumn(out, row_sum([recode_strict(F.col(c), codes, c, "int") for c in columns]))
 
@@ -108,7 +109,7 @@ def culture_participation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     An unknown code fails. A count of activities is unknown as soon as one activity is, in which
     case the rules on that count do not fire.
     """
-    if any(c not in df.columns for c in columns):
+    if not set(columns) <= set(df.columns):
         return df
 
     def listed(column: str, codes: Sequence[str]) -> str:
