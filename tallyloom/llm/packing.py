@@ -12,6 +12,8 @@ Spark then numbers pieces inside each length and looks each number up in the pla
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -24,42 +26,69 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, stage_table
 
 END = 1            # id after each document
-_CACHE = 300_000   # words a worker remembers
+_CACHE = 600_000   # words a worker remembers
 _BUCKET = 50_000   # pieces of one length that one task numbers
 
 PLAN = "length int, first long, last long, bin long, copies long, place long"
 
 
+# A word that is letters and, after one of a few sure letters, ASCII punctuation: the pre-tokenizer parts the two always.
+_TAIL = re.compile(rb"(.*(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc9][\x80-\xbf]))([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+
+
 class _WordIds:
     """Token ids of words as little-endian unsigned 32-bit bytes.
 
-    The pre-tokenizer never joins characters across white space, so a text's ids are those of its words in order. That is
-    checked against the whole text for one text of each worker, which fails with another kind of tokenizer file.
+    The pre-tokenizer never joins characters across white space and letters are lowered first, so a text's ids are those of
+    its words in order, whatever the case of A-Z. That is checked against the whole text for one text of each worker, which
+    fails with another kind of tokenizer file.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer, self.known, self.checked = Tokenizer.from_file(path), {}, False
+        self.model = self.tokenizer.model
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > _CACHE:
-            self.known, new = {}, list(words)
-        for start in range(0, len(new), 8192):
-            part = new[start:start + 8192]
-            for word, got in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                self.known[word] = np.array(got.ids, "<u4").tobytes()
+        known = self.known
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > _CACHE:
+            known.clear()
+            new = list(words)
+        tails, rest = [], set()
+        for word in new:
+            if word.isalpha():  # ASCII letters: one word of the model as it stands
+                known[word] = _bytes([t.id for t in self.model.tokenize(word.decode())])
+            elif found := _TAIL.fullmatch(word):
+                tails.append((word, *found.groups()))
+                rest.update(w for w in found.groups() if w not in known)
+            else:
+                rest.add(word)
+        for word in [w for w in rest if w.isalpha()]:
+            known[word] = _bytes([t.id for t in self.model.tokenize(word.decode())])
+            rest.discard(word)
+        left = list(rest)
+        for start in range(0, len(left), 8192):
+            part = left[start:start + 8192]
+            for word, got in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
+                known[word] = _bytes(got.ids)
+        for word, stem, tail in tails:
+            known[word] = known[stem] + known[tail]
 
     def ids(self, text: str, words: list[bytes]) -> bytes:
         out = b"".join(map(self.known.__getitem__, words))
         if not self.checked and words:
             self.checked = True
-            if np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() != out:
+            if _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids) != out:
                 raise ValueError("this tokenizer does not work word by word")
         return out
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _groups(texts: list[str], most: int = 4 << 20) -> Iterator[list[str]]:
     held, size = [], 0
     for text in texts:
@@ -89,7 +118,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, i
             def rows():
                 keys = iter(batch.column("id").to_pylist())
                 for texts in _groups(batch.column("text").to_pylist()):
-                    split = [t.encode().split() for t in texts]
+                    split = [t.encode().lower().split() for t in texts]
                     words_ids.learn(set().union(*split))
                     for text, words in zip(texts, split):
                         key, ids = next(keys), words_ids.ids(text, words) + end

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, jaccard, mixing, packing
+from . import chat, exact, jaccard, mixing, packing, permutation, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,6 +58,46 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query("op4_permutation_index")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.nearest_neighbours(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
+_B32 = " || ".join(f"lpad(to_base(CAST('0x' || substring(s, {5 * k + 1}, 5) AS BIGINT), 32), 4, '0')" for k in range(8))
+
+
+@query("op6_warc_archive", f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, max(page_id) OVER (PARTITION BY h) AS keeper,
+  translate({_B32}, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to FROM d""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_facts(spark, warc.write_archive(table(spark, sf_dir, "pages"), least=0))
+
+
+_ESCAPED = (r"regexp_replace(replace(t, '\', '\\'), "
+            r"'(\[)(INST\]|/INST\]|ROLE |/ROLE\])|(<)(s>|/s>|<SYS>>|</SYS>>)', '\1\3\\\2\4', 'g')")
+
+
+@query("op7_chat_formatting", rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, length({_ESCAPED}) + CASE r WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15
+    ELSE 14 + length(replace(replace(r, '', '\'), ']', '\]')) END AS n FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, r, t)) AS turns_sha256,
+  CAST(coalesce(sum(length(t)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, r, t) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", both), (-7, 1, "assistant", both)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.read_back(chat.format_records(chat.conversation_records(rows), "conv_id"), "conv_id")
+
+
 @query("op10_content_sort", """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
   sha256(coalesce(text, '')) AS text_sha256
