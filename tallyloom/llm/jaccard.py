@@ -14,7 +14,8 @@ m is the smallest number for which a set having too few non-empty segments is as
 
 *Candidates.* A signature with few sets yields its pairs.  One with many yields block pairs of bounded size, compared inside
 tasks; only links that join something new leave the task.  Both are filtered by a parity sketch: a differing shingle flips one
-bit of 512, so more differing bits than H exclude a pair for certain.
+bit of 512 (of as many as the set has shingles, for long ones), so more differing bits than H exclude a pair for certain;
+pairs are also counted: with fewer shared signatures than slack + 1, hot ones included, they are none.
 
 *Verification.* Connected candidates meet once, by component in blocks of bounded size, and links are decided on the whole
 shingle sets, recomputed from the texts.  Documents with the same set are one node throughout.
@@ -28,9 +29,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .common import stage_table
 from .components import components
@@ -146,10 +146,27 @@ class _Signatures:
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+def _parity(items: np.ndarray, bits: int) -> np.ndarray:
+    return np.packbits((np.bincount((items & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8))
+
+
+def wide_sketch(items: np.ndarray) -> bytes:
+    """As sketch, with at least a bit for each shingle; nothing for sets that the short sketch serves."""
+    return _parity(items, 1 << (len(items) - 1).bit_length()).tobytes() if len(items) > SKETCH else b""
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Shingles that differ at the least, from two wide sketches, the longer folded to the length of the shorter."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def sketch(items: np.ndarray) -> np.ndarray:
     """Parity of the number of shingles in each of SKETCH classes, as 64-bit words."""
-    odd = np.bincount((items & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8)).view("<i8")
+    return _parity(items, SKETCH).view("<i8")
 
 
 def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -168,16 +185,17 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> Dat
         for batch in batches:
             rows = len(batch)
             n, nodes = np.zeros(rows, np.int64), np.zeros(rows, np.uint64)
-            marks = np.zeros((rows, len(_S)), np.int64)
+            marks, wide = np.zeros((rows, len(_S)), np.int64), []
             for k, text in enumerate(batch.column("text")):
                 items = shingle_set(hashes.of(text.as_py()), size)
                 n[k] = len(items)
                 nodes[k] = node_of(items)
                 marks[k] = sketch(items)
+                wide.append(wide_sketch(items))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(nodes.view(np.int64)),
-                                              *[pa.array(marks[:, k].copy()) for k in range(len(_S))]],
-                                             names=["id", "n", "node", *_S])
-    return _read(docs, id_col, text_col).mapInArrow(measure, f"id {kind}, n long, node long, " + ", ".join(f"{s} long" for s in _S))
+                                              *[pa.array(marks[:, k].copy()) for k in range(len(_S))], pa.array(wide, pa.binary())],
+                                             names=["id", "n", "node", *_S, "wide"])
+    return _read(docs, id_col, text_col).mapInArrow(measure, f"id {kind}, n long, node long, " + ", ".join(f"{s} long" for s in _S) + ", wide binary")
 
 
 def set_signatures(docs: DataFrame, id_col: str, text_col: str, size: int, limits: Limits) -> DataFrame:
@@ -207,7 +225,7 @@ def set_signatures(docs: DataFrame, id_col: str, text_col: str, size: int, limit
     return _read(docs, id_col, text_col).select("text").mapInArrow(sign, "sig long, node long")
 
 
-_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sig", pa.int64())])
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sig", pa.int64()), ("shared", pa.int64())])
 
 
 def _met(sig: np.ndarray, node: np.ndarray, hot: bool) -> Iterator[pa.RecordBatch]:
@@ -219,12 +237,14 @@ def _met(sig: np.ndarray, node: np.ndarray, hot: bool) -> Iterator[pa.RecordBatc
     for g in np.unique(counts) if not hot else [0]:
         if hot or g > _FEW:
             rows = np.arange(len(sig)) if hot else (starts[counts == g][:, None] + np.arange(g)).ravel()
-            yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.nulls(len(rows), pa.int64()), pa.array(sig[rows])], schema=_MET)
+            yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.nulls(len(rows), pa.int64()), pa.array(sig[rows]),
+                                              pa.nulls(len(rows), pa.int64())], schema=_MET)
         elif g > 1:
             runs = node[starts[counts == g][:, None] + np.arange(g)]
             i, j = np.triu_indices(g, 1)
-            pairs = np.unique(np.stack([runs[:, i].ravel(), runs[:, j].ravel()]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(pairs.shape[1], pa.int64())], schema=_MET)
+            pairs, times = np.unique(np.stack([runs[:, i].ravel(), runs[:, j].ravel()]), axis=1, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(pairs.shape[1], pa.int64()),
+                                              pa.array(times)], schema=_MET)
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,14 +291,8 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list
         yield held
 
 
-def _forest(labels: np.ndarray, x: int, others: np.ndarray) -> list[int]:
-    """Those of ``others`` that are new to the tree of ``x``, one per tree; labels are updated."""
-    joined = []
-    for y in others:
-        if labels[y] != labels[x]:
-            labels[labels == labels[y]] = labels[x]
-            joined.append(int(y))
-    return joined
+def _join(labels: np.ndarray, x: int, y: int) -> None:
+    labels[labels == labels[y]] = labels[x]
 
 
 def _compare_sketches(limits: Limits):
@@ -289,6 +303,7 @@ def _compare_sketches(limits: Limits):
             rows = pa.Table.from_batches(run)
             node, n, own = (rows.column(c).to_numpy() for c in ("node", "n", "own"))
             marks = np.stack([rows.column(s).to_numpy() for s in _S], axis=1).view(np.uint64)
+            wide = rows.column("wide").to_pylist()
             across = rows.column("i")[0].as_py() != rows.column("j")[0].as_py()
             labels, a, b = np.arange(len(node)), [], []
             for x in range(len(node) - 1):
@@ -297,7 +312,10 @@ def _compare_sketches(limits: Limits):
                 total = n[y] + n[x]
                 y = y[(np.minimum(n[y], n[x]) * limits.den >= np.maximum(n[y], n[x]) * limits.num)
                       & (np.bitwise_count(marks[y] ^ marks[x]).sum(axis=1) <= total * (limits.den - limits.num) // (limits.den + limits.num))]
-                for z in _forest(labels, x, y):
+                for z in y:
+                    if labels[z] == labels[x] or wide[x] and wide[z] and differing(wide[x], wide[z]) > limits.differ(int(n[x] + n[z])):
+                        continue
+                    _join(labels, x, z)
                     a.append(node[x])
                     b.append(node[z])
             if a:
@@ -312,30 +330,47 @@ def _blocks(rows: DataFrame, key: str, shares: str) -> DataFrame:
     return other.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "node")
 
 
+def _tiny(limits: Limits) -> list[int]:
+    return [k for k in range(1, 65) if limits.neighbours(k)]
+
+
+def _by_size(column: str, small, large) -> Column:
+    """A number that follows from a set's size: looked up for sizes to 64, where its parts still bend, else a formula."""
+    table = F.array(*[F.lit(small(k)) for k in range(1, 65)])
+    return F.when(F.col(column) <= 64, F.element_at(table, F.least(F.col(column), F.lit(64)).cast("int"))).otherwise(large(column))
+
+
+def _prefix(limits: Limits):
+    return lambda c: F.expr(f"({c} + {c} * {limits.den} div {limits.num}) * {limits.den - limits.num} div {limits.den + limits.num} + 3 + {c} div 16")
+
+
 def candidate_links(signatures: DataFrame, nodes: DataFrame, limits: Limits) -> DataFrame:
     """a, b: links that may hold, enough of them to connect whatever similar sets connect."""
-    met = stage_table(signatures.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_meet, "a long, b long, sig long"))
-    near = nodes.select("node", "n", *_S)
+    met = stage_table(signatures.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_meet, "a long, b long, sig long, shared long"))
+    hot = met.filter("sig IS NOT NULL").select("sig", F.col("a").alias("node"))
+    often = hot.groupBy("sig").agg(F.count("*").alias("g"))
+    hots = hot.groupBy("node").agg(F.count("*").alias("h"))
+    near = nodes.select("node", "n", *_S).join(hots, "node", "left").withColumn("h", F.coalesce("h", F.lit(0)))
     left, right = near.toDF(*[f"{c}_a" for c in near.columns]), near.toDF(*[f"{c}_b" for c in near.columns])
-    pairs = met.filter("sig IS NULL").select("a", "b").distinct().join(left, F.col("a") == F.col("node_a")).join(right, F.col("b") == F.col("node_b"))
+    # a similar pair shares as many signatures as its shorter list has above the most that can be spoiled, hot ones included
+    pairs = met.filter("sig IS NULL").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    pairs = pairs.join(left, F.col("a") == F.col("node_a")).join(right, F.col("b") == F.col("node_b"))
+    lists = F.least(_by_size("n_a", limits.prefix, _prefix(limits)), _by_size("n_b", limits.prefix, _prefix(limits)))
+    differ = F.expr(f"(n_a + n_b) * {limits.den - limits.num} div {limits.den + limits.num}")
+    tiny = F.col("n_a").isin(_tiny(limits)) | F.col("n_b").isin(_tiny(limits))
+    enough = tiny | (F.col("shared") + F.least("h_a", "h_b") >= lists - differ)
     bits = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in _S)
-    pairs = pairs.filter(f"least(n_a, n_b) * {limits.den} >= greatest(n_a, n_b) * {limits.num} AND "
-                         f"{bits} <= (n_a + n_b) * {limits.den - limits.num} div {limits.den + limits.num}").select("a", "b")
+    pairs = pairs.filter(enough & (F.expr(bits) <= differ) & F.expr(f"least(n_a, n_b) * {limits.den} >= greatest(n_a, n_b) * {limits.num}")).select("a", "b")
 
-    hot = met.filter("sig IS NOT NULL").select("sig", F.col("a").alias("node"))
-    often = hot.groupBy("sig").agg(F.count("*").alias("g"))
-    # the spare signatures of a size, as steps of the size: constant from 2 + size / 16 on but for the smallest sizes
-    small = [limits.spare(k) for k in range(1, 65)]
-    spare = F.when(F.col("n") <= 64, F.element_at(F.array(*[F.lit(x) for x in small]), F.col("n").cast("int"))).otherwise(
-        F.expr(f"2 + ceil(n * {limits.num} / {limits.den}) div 16"))
-    spare = F.when(F.col("n").isin([k for k in range(1, 65) if limits.neighbours(k)]), 0).otherwise(spare)
+    spare = F.when(F.col("n").isin(_tiny(limits)), 0).otherwise(
+        _by_size("n", limits.spare, lambda c: F.expr(f"2 + ceil({c} * {limits.num} / {limits.den}) div 16")))
     dearest = Window.partitionBy("node").orderBy(F.col("g").desc(), F.col("sig"))
     forced = (hot.join(often, "sig").join(near.select("node", "n"), "node")
               .withColumn("_rank", F.row_number().over(dearest)).filter(F.col("_rank") > spare).select("sig", "node"))
     forced = stage_table(forced)
     shares = forced.groupBy("sig").agg(F.ceil(F.count("*") / _BLOCK).alias("shares"))
-    dealt = _blocks(forced.join(shares, "sig").join(near, "node"), "sig", "shares")
-    links = dealt.select("sig", "i", "j", "own", "node", "n", *_S).mapInArrow(_compare_sketches(limits), "a long, b long")
+    dealt = _blocks(forced.join(shares, "sig").join(nodes.select("node", "n", *_S, "wide"), "node"), "sig", "shares")
+    links = dealt.select("sig", "i", "j", "own", "node", "n", *_S, "wide").mapInArrow(_compare_sketches(limits), "a long, b long")
     return pairs.union(links)
 
 
@@ -368,7 +403,7 @@ def _verify(limits: Limits, size: int):
                         continue
                     both = len(np.intersect1d(sets[x], sets[z], assume_unique=True))
                     if both * limits.den >= (n[x] + n[z] - both) * limits.num:
-                        _forest(labels, x, [z])
+                        _join(labels, x, z)
                         a.append(node[x])
                         b.append(node[z])
             if a:

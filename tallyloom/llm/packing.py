@@ -36,6 +36,10 @@ PLAN = "length int, first long, last long, bin long, copies long, place long"
 _TAIL = re.compile(rb"(.*(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc9][\x80-\xbf]))([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
 
 
+# A word of letters alone whose lower case and normal form are one character each.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
 class _WordIds:
     """Token ids of words as little-endian unsigned 32-bit bytes.
 
@@ -49,6 +53,12 @@ class _WordIds:
         from tokenizers import Tokenizer
         self.tokenizer, self.known, self.checked = Tokenizer.from_file(path), {}, False
         self.model = self.tokenizer.model
+        letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
+        self.spelled = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters})
+
+    def letters(self, word: bytes) -> bytes:
+        """Ids of letters, which the pre-tokenizer leaves whole and only spells by bytes."""
+        return _bytes([t.id for t in self.model.tokenize(word.decode().lower().translate(self.spelled))])
 
     def learn(self, words: set[bytes]) -> None:
         known = self.known
@@ -58,17 +68,19 @@ class _WordIds:
             new = list(words)
         tails, rest = [], set()
         for word in new:
-            if word.isalpha():  # ASCII letters: one word of the model as it stands
-                known[word] = _bytes([t.id for t in self.model.tokenize(word.decode())])
+            if _LETTERS.fullmatch(word):
+                known[word] = self.letters(word)
             elif found := _TAIL.fullmatch(word):
                 tails.append((word, *found.groups()))
                 rest.update(w for w in found.groups() if w not in known)
             else:
                 rest.add(word)
-        for word in [w for w in rest if w.isalpha()]:
-            known[word] = _bytes([t.id for t in self.model.tokenize(word.decode())])
-            rest.discard(word)
-        left = list(rest)
+        left = []
+        for word in rest:
+            if _LETTERS.fullmatch(word):
+                known[word] = self.letters(word)
+            else:
+                left.append(word)
         for start in range(0, len(left), 8192):
             part = left[start:start + 8192]
             for word, got in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
