@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, jaccard, mixing, packing, permutation, warc
+from . import chat, exact, jaccard, mixing, packing, permutation, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,6 +63,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation.nearest_neighbours(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
 
 
+@query("op5_compression_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _B32 = " || ".join(f"lpad(to_base(CAST('0x' || substring(s, {5 * k + 1}, 5) AS BIGINT), 32), 4, '0')" for k in range(8))
 
 
