@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, jaccard, mixing, packing, permutation, quality, toxicity, warc
+from . import chat, exact, jaccard, mixing, packing, permutation, quality, suffix, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,6 +108,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op9_sparse_suffix_array")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op10_content_sort", """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
   sha256(coalesce(text, '')) AS text_sha256

@@ -27,9 +27,10 @@ class WordHashes(dict):
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
 
-    def of(self, text: str | None) -> np.ndarray:
-        """Hashes of the words of a text, A-Z lowered; words end at ASCII white space."""
-        words = (text or "").encode().lower().split()
+    def of(self, text: str | None, lower: bool = True) -> np.ndarray:
+        """Hashes of the words of a text, A-Z lowered if asked; words end at ASCII white space."""
+        raw = (text or "").encode()
+        words = (raw.lower() if lower else raw).split()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
