@@ -2,23 +2,41 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import exact, mixing
+from tallyloom.llm import exact, jaccard, mixing, packing, toxicity
 from tallyloom.llm.common import stage_table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression model scores as toxic go; it learns from the labelled ones among ``docs``."""
+    return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the smallest id stays."""
     return exact.keep_one(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links of five-word shingles at 0.75 connect, the one with the smallest id stays."""
+    return jaccard.keep_representatives(docs)
+
+
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.mixed_documents(docs)
+    """Documents as often as the mix takes them; the one at a source's cut is shortened the last time."""
+    return mixing.mixed_documents(docs, chars_col="n_chars")
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, each with its place in a sequence of 4096 tokens."""
+    return packing.pack_documents(docs, TOKENIZER, 4096)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("mixing", mixing_sources)]
+STAGES = [("toxicity", toxic_filter), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mixing_sources), ("packing", best_fit_packing)]
 
 # A tokenizer and learned scores are beyond SQL; the stages are tested against brute-force versions.
 ORACLE_SQL = None

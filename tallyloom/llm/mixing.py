@@ -40,13 +40,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     cut = ranked.withColumn("_w", turn).withColumn("_cap", most * F.col("source_size"))
     order = [F.col("_cap") / F.col("_w"), F.col("_source").asc_nulls_last()]
     filled = prefix_sums(cut, order, {"_caps": F.col("_cap"), "_ws": F.col("_w")})
-    whole = cut.agg(F.sum("source_size").alias("_all"), F.sum("_w").alias("_all_w"))
-    level = (share * F.col("_all") - F.col("_caps")) / (F.col("_all_w") - F.col("_ws"))
-    levels = stage_table(filled.join(F.broadcast(whole)).withColumn("_level", level))  # one row
+    whole = cut.agg(F.sum("source_size").alias("size"), F.sum("_w").alias("w")).first()
+    level = (F.lit(share * (whole["size"] or 0)) - F.col("_caps")) / (F.lit(whole["w"] or 0) - F.col("_ws"))
+    levels = stage_table(filled.withColumn("_level", level))
     full = F.col("_cap") / F.col("_w") <= F.col("_level")
-    rest = levels.filter(~full).agg(F.max("_level").alias("_rest"))
-    return levels.join(F.broadcast(rest)).select(
-        "_source", "source_size", F.when(full, F.col("_cap").cast("double")).otherwise(F.col("_w") * F.col("_rest")).alias("target"))
+    rest = levels.filter(~full).agg(F.max("_level").alias("rest")).first()["rest"]
+    return levels.select("_source", "source_size", F.when(full, F.col("_cap").cast("double")).otherwise(
+        F.col("_w") * F.lit(rest).cast("double")).alias("target"))
 
 
 def mix_cuts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
@@ -100,11 +100,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-                    weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: str = "mix") -> DataFrame:
+                    weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: str = "mix",
+                    chars_col: str | None = None) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as they are taken, all columns kept.
 
     The document at a source's cut comes once more with its text ended after the words still due, white space before the
-    next word included. Documents without words are taken in whole passes alone.
+    next word included (and its length in ``chars_col``, where given). Documents without words are taken in whole passes alone.
     """
     columns = docs.columns
     sizes = stage_table(_measured(docs, id_col, source_col, text_col, seed))
@@ -116,5 +117,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     parts = F.split(F.col(text_col), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     lead = F.col(text_col).rlike(r"\A[\x20\x09-\x0D]").cast("int")
     ended = F.array_join(F.slice(parts, 1, F.col("_extra").cast("int") + lead), "")
-    text = F.when(F.col("_last") & (F.col("_extra") < F.col("_size")), ended).otherwise(F.col(text_col))
-    return own.select(*[text.alias(c) if c == text_col else F.col(c) for c in columns])
+    cut = F.col("_last") & (F.col("_extra") < F.col("_size"))
+    own = own.withColumn("_text", F.when(cut, ended).otherwise(F.col(text_col)))
+    out = {text_col: F.col("_text")}
+    if chars_col:
+        out[chars_col] = F.when(cut, F.length("_text")).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType)
+    return own.select(*[out.get(c, F.col(c)).alias(c) for c in columns])
