@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import stage_table
 from .components import components
-from .shingles import WordHashes, mix, shingle_set
+from .shingles import WordHashes, mix, shingle_sets
 
 SKETCH = 512             # parity bits of a set
 _FEW = 16                # sets of one signature that are paired directly
@@ -186,8 +186,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> Dat
             rows = len(batch)
             n, nodes = np.zeros(rows, np.int64), np.zeros(rows, np.uint64)
             marks, wide = np.zeros((rows, len(_S)), np.int64), []
-            for k, text in enumerate(batch.column("text")):
-                items = shingle_set(hashes.of(text.as_py()), size)
+            for k, items in enumerate(shingle_sets(batch.column("text").to_pylist(), hashes, size)):
                 n[k] = len(items)
                 nodes[k] = node_of(items)
                 marks[k] = sketch(items)
@@ -210,8 +209,7 @@ def set_signatures(docs: DataFrame, id_col: str, text_col: str, size: int, limit
                                                pa.array(np.repeat(np.array(nodes, np.uint64), counts).view(np.int64))], names=["sig", "node"])
         for batch in batches:
             sigs, nodes, held = [], [], 0
-            for text in batch.column("text"):
-                items = shingle_set(hashes.of(text.as_py()), size)
+            for items in shingle_sets(batch.column("text").to_pylist(), hashes, size):
                 got = signatures.of(items)
                 if len(got):
                     sigs.append(got)
@@ -383,7 +381,7 @@ def _verify(limits: Limits, size: int):
             rows = pa.Table.from_batches(run)
             node, own = rows.column("node").to_numpy(), rows.column("own").to_numpy()
             across = rows.column("i")[0].as_py() != rows.column("j")[0].as_py()
-            sets = [shingle_set(hashes.of(t.as_py()), size) for t in rows.column("text")]
+            sets = list(shingle_sets(rows.column("text").to_pylist(), hashes, size))
             # an id may stand on several texts: the one meant is known by the hash of its set, and is needed once
             here = {v: k for k, v in enumerate(node) if node_of(sets[k]).view(np.int64) == v}
             node, own, sets = np.array(list(here), np.int64), own[list(here.values())], [sets[k] for k in here.values()]

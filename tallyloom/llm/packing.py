@@ -66,23 +66,27 @@ class _WordIds:
         if len(known) + len(new) > _CACHE:
             known.clear()
             new = list(words)
-        tails, rest = [], set()
+        tokenize, left, tails = self.model.tokenize, set(), []
         for word in new:
-            if _LETTERS.fullmatch(word):
+            if word.isalpha():  # ASCII letters stand for themselves
+                known[word] = _bytes([t.id for t in tokenize(word.decode())])
+            elif _LETTERS.fullmatch(word):
                 known[word] = self.letters(word)
             elif found := _TAIL.fullmatch(word):
-                tails.append((word, *found.groups()))
-                rest.update(w for w in found.groups() if w not in known)
+                stem, tail = found.groups()
+                if stem not in known:
+                    if _LETTERS.fullmatch(stem):
+                        known[stem] = self.letters(stem)
+                    else:
+                        left.add(stem)
+                if tail not in known:
+                    left.add(tail)
+                tails.append((word, stem, tail))
             else:
-                rest.add(word)
-        left = []
-        for word in rest:
-            if _LETTERS.fullmatch(word):
-                known[word] = self.letters(word)
-            else:
-                left.append(word)
-        for start in range(0, len(left), 8192):
-            part = left[start:start + 8192]
+                left.add(word)
+        rest = list(left)
+        for start in range(0, len(rest), 8192):
+            part = rest[start:start + 8192]
             for word, got in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
                 known[word] = _bytes(got.ids)
         for word, stem, tail in tails:

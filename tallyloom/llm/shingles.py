@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
 import xxhash
 
@@ -47,3 +50,28 @@ def shingle_set(words: np.ndarray, size: int = 5) -> np.ndarray:
     if len(words) >= size:
         return np.unique(windows(words, size))
     return windows(words, len(words)) + np.uint64(len(words)) if len(words) else words
+
+
+def shingle_sets(texts: list[str | None], hashes: WordHashes, size: int = 5, together: int = 2 << 20) -> Iterator[np.ndarray]:
+    """shingle_set of each text; texts of about ``together`` characters are hashed in one sweep."""
+    held, length = [], 0
+    for k, text in enumerate(texts):
+        held.append((text or "").encode().lower().split())
+        length += len(text or "")
+        if length >= together or k == len(texts) - 1:
+            yield from _sets(held, hashes, size)
+            held, length = [], 0
+
+
+def _sets(split: list[list[bytes]], hashes: WordHashes, size: int) -> Iterator[np.ndarray]:
+    counts = [len(words) for words in split]
+    flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(split)), np.uint64, sum(counts))
+    grams = windows(flat, size) if len(flat) >= size else flat
+    start = 0
+    for n in counts:
+        if n >= size:
+            own = np.sort(grams[start:start + n - size + 1])
+            yield own[np.append(True, own[1:] != own[:-1])]
+        else:
+            yield shingle_set(flat[start:start + n], size)
+        start += n
