@@ -13,7 +13,7 @@ from ..session import cut_lineage, stage_table
 # A word is a longest run of characters that are no ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "arrow_batches", "cut_lineage", "prefix_sums", "stage_table"]
+__all__ = ["WORD", "Remembered", "arrow_batches", "cut_lineage", "prefix_sums", "stage_table", "texts_of"]
 
 
 def arrow_batches(rows: Iterable[tuple], schema: pa.Schema, most_rows: int = 4096, most_bytes: int = 16 << 20,
@@ -35,6 +35,38 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+class Remembered(dict):
+    """What a function gave for recent arguments, in bounded memory.
+
+    Two generations of ``most / 2`` entries: what is asked for again moves to the younger one, the older one goes.
+    """
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.half, self.old = most // 2, {}
+
+    def compute(self, key):
+        raise NotImplementedError
+
+    def make_room(self, coming: int = 1) -> None:
+        if len(self) + coming > self.half:
+            self.old = dict(self)
+            self.clear()
+
+    def __missing__(self, key):
+        self.make_room()
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
+        return value
+
+
+def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[str | None]:
+    """The texts of a batch one by one, so that they are not all in Python at once."""
+    return (cell.as_py() for cell in batch.column(column))
+
+
 def prefix_sums(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
     """Adds to each row, for each name in ``sums``, the total of that column over all rows before it in ``order``.
 

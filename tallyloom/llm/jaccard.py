@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage_table
+from .common import stage_table, texts_of
 from .components import components
 from .shingles import WordHashes, mix, shingle_sets
 
@@ -186,7 +186,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> Dat
             rows = len(batch)
             n, nodes = np.zeros(rows, np.int64), np.zeros(rows, np.uint64)
             marks, wide = np.zeros((rows, len(_S)), np.int64), []
-            for k, items in enumerate(shingle_sets(batch.column("text").to_pylist(), hashes, size)):
+            for k, items in enumerate(shingle_sets(texts_of(batch), hashes, size)):
                 n[k] = len(items)
                 nodes[k] = node_of(items)
                 marks[k] = sketch(items)
@@ -209,7 +209,7 @@ def set_signatures(docs: DataFrame, id_col: str, text_col: str, size: int, limit
                                                pa.array(np.repeat(np.array(nodes, np.uint64), counts).view(np.int64))], names=["sig", "node"])
         for batch in batches:
             sigs, nodes, held = [], [], 0
-            for items in shingle_sets(batch.column("text").to_pylist(), hashes, size):
+            for items in shingle_sets(texts_of(batch), hashes, size):
                 got = signatures.of(items)
                 if len(got):
                     sigs.append(got)

@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, stage_table
+from .common import arrow_batches, stage_table, texts_of
 
 END = 1            # id after each document
-_CACHE = 600_000   # words a worker remembers
+_CACHE = 300_000   # words a worker remembers
 _BUCKET = 50_000   # pieces of one length that one task numbers
 
 PLAN = "length int, first long, last long, bin long, copies long, place long"
@@ -51,7 +51,7 @@ class _WordIds:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        self.tokenizer, self.known, self.checked = Tokenizer.from_file(path), {}, False
+        self.tokenizer, self.known, self.old, self.checked = Tokenizer.from_file(path), {}, {}, False
         self.model = self.tokenizer.model
         letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
         self.spelled = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters})
@@ -61,11 +61,14 @@ class _WordIds:
         return _bytes([t.id for t in self.model.tokenize(word.decode().lower().translate(self.spelled))])
 
     def learn(self, words: set[bytes]) -> None:
-        known = self.known
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > _CACHE:
-            known.clear()
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > _CACHE // 2:  # two generations, as in Remembered
+            self.old, self.known = self.known, {}
             new = list(words)
+        known, old = self.known, self.old
+        if old:
+            known.update((w, old[w]) for w in new if w in old)
+            new = [w for w in new if w not in known]
         tokenize, left, tails = self.model.tokenize, set(), []
         for word in new:
             if word.isalpha():  # ASCII letters stand for themselves
@@ -105,7 +108,7 @@ def _bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _groups(texts: list[str], most: int = 4 << 20) -> Iterator[list[str]]:
+def _groups(texts: Iterable[str], most: int = 4 << 20) -> Iterator[list[str]]:
     held, size = [], 0
     for text in texts:
         held.append(text)
@@ -133,7 +136,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, i
 
             def rows():
                 keys = iter(batch.column("id").to_pylist())
-                for texts in _groups(batch.column("text").to_pylist()):
+                for texts in _groups(texts_of(batch)):
                     split = [t.encode().lower().split() for t in texts]
                     words_ids.learn(set().union(*split))
                     for text, words in zip(texts, split):

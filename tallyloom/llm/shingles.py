@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import xxhash
 
-_KNOWN = 400_000  # words a worker remembers
+from .common import Remembered
+
+_KNOWN = 200_000  # words a worker remembers
 
 # Odd multipliers of a well-known 64-bit finaliser, and one increment per place in a shingle.
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
@@ -21,14 +23,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, with bounded memory of those seen."""
+class WordHashes(Remembered):
+    """64-bit hashes of words."""
+
+    def __init__(self):
+        super().__init__(_KNOWN)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KNOWN:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
+    def compute(self, word: bytes) -> int:
+        return xxhash.xxh64_intdigest(word)
 
     def of(self, text: str | None, lower: bool = True) -> np.ndarray:
         """Hashes of the words of a text, A-Z lowered if asked; words end at ASCII white space."""
@@ -52,15 +54,17 @@ def shingle_set(words: np.ndarray, size: int = 5) -> np.ndarray:
     return windows(words, len(words)) + np.uint64(len(words)) if len(words) else words
 
 
-def shingle_sets(texts: list[str | None], hashes: WordHashes, size: int = 5, together: int = 2 << 20) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[str | None], hashes: WordHashes, size: int = 5, together: int = 2 << 20) -> Iterator[np.ndarray]:
     """shingle_set of each text; texts of about ``together`` characters are hashed in one sweep."""
     held, length = [], 0
-    for k, text in enumerate(texts):
+    for text in texts:
         held.append((text or "").encode().lower().split())
         length += len(text or "")
-        if length >= together or k == len(texts) - 1:
+        if length >= together:
             yield from _sets(held, hashes, size)
             held, length = [], 0
+    if held:
+        yield from _sets(held, hashes, size)
 
 
 def _sets(split: list[list[bytes]], hashes: WordHashes, size: int) -> Iterator[np.ndarray]:

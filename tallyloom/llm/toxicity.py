@@ -20,14 +20,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage_table
+from .common import Remembered, stage_table
 from .learn import Logistic, held_out, teaching_rows
 
 EACH = 6000            # documents of either label that teach
 _TOXIC, _ORDINARY = 32 << 10, 96 << 10   # bytes of the dictionaries
 _LEVEL = 19            # only the optimal parser finds every match of a short window
 _WINDOW = 40           # bytes of the longest window; a longer word is several
-_KNOWN = 400_000       # windows a worker remembers
+_KNOWN = 200_000       # windows a worker remembers
 _LONG, _SAVED = 40, 18  # cells: compressed length, bytes saved
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]{1,%d}" % _WINDOW)
 _CODES = [hashlib.sha256(bytes([b])).digest()[:4] for b in range(256)]
@@ -47,22 +47,19 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=known, level=_LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
-class Cells(dict):
+class Cells(Remembered):
     """Cell of each window: what it compresses to with the toxic dictionary, and what that saves."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        super().__init__()
+        super().__init__(_KNOWN)
         # the ordinary content stands next to the window in both, so ordinary matches cost the same
         self.plain, self.both = _compressor(ordinary), _compressor(toxic + ordinary)
 
-    def __missing__(self, window: bytes) -> int:
-        if len(self) >= _KNOWN:
-            self.clear()
+    def compute(self, window: bytes) -> int:
         spelled = _spelled(window)
         long = len(self.both.compress(spelled))
         saved = len(self.plain.compress(spelled)) - long
-        self[window] = cell = min(long, _LONG - 1) * _SAVED + min(max(saved, -2), _SAVED - 3) + 2
-        return cell
+        return min(long, _LONG - 1) * _SAVED + min(max(saved, -2), _SAVED - 3) + 2
 
     def of(self, text: str | None) -> np.ndarray:
         found = windows(text)
@@ -126,8 +123,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     least = max(3, bad // 200)
     recurs = f"bad >= {least} AND good * {bad} * 20 <= bad * {good}"
     toxic = seen.filter(recurs).orderBy(F.desc("bad"), "w").limit(4000).collect()
-    plain = seen.filter(f"good >= 2 AND NOT ({recurs})").orderBy(F.desc("good"), "w").limit(60_000).collect()
-    model = Model(_trained(_ORDINARY, [(bytes(r["w"]), r["good"]) for r in plain], 20), _trained(_TOXIC, [(bytes(r["w"]), r["bad"]) for r in toxic], 50))
+    plain = seen.filter(f"good >= 2 AND NOT ({recurs})").orderBy(F.desc("good"), "w").limit(20_000).collect()
+    model = Model(_trained(_ORDINARY, [(bytes(r["w"]), r["good"]) for r in plain], 6), _trained(_TOXIC, [(bytes(r["w"]), r["bad"]) for r in toxic], 50))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, total = model.cells(), np.zeros((2, _LONG * _SAVED), np.int64)
