@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -13,7 +14,7 @@ from ..session import cut_lineage, stage_table
 # A word is a longest run of characters that are no ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "Remembered", "arrow_batches", "cut_lineage", "prefix_sums", "stage_table", "texts_of"]
+__all__ = ["WORD", "Remembered", "arrow_batches", "cut_lineage", "fresh", "prefix_sums", "stage_table", "texts_of"]
 
 
 def arrow_batches(rows: Iterable[tuple], schema: pa.Schema, most_rows: int = 4096, most_bytes: int = 16 << 20,
@@ -62,6 +63,11 @@ class Remembered(dict):
         return value
 
 
+def fresh(name: str) -> str:
+    """A column name that no table of the user has."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[str | None]:
     """The texts of a batch one by one, so that they are not all in Python at once."""
     return (cell.as_py() for cell in batch.column(column))

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, stage_table
+from .common import arrow_batches, fresh, stage_table
 
 _PREFIX = 32  # characters of the text in a splitter
 _RUNS = 33    # bits for the number of a row or run inside its partition
@@ -93,12 +93,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     An id that content_sort keeps once may stand on several rows: of rows with the same id and text one stays.
     """
     # the text of a dropped row is that of a kept one, so a row is known by its id and digest
-    named = [F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")]
+    key, sha, other_key, other_sha = (fresh(n) for n in ("id", "sha", "id", "sha"))
+    named = [F.col(id_col).alias(key), F.col("text_sha256").alias(sha)]
     ordered = content_sort(docs, id_col, text_col, keep)
     gone = stage_table(ordered.filter("NOT kept").select(*named))
-    same = ordered.filter("kept").select(*named).join(gone.toDF("_gid", "_gsha"), F.expr("_id <=> _gid AND _sha = _gsha"), "left_semi")
-    twice = stage_table(same)
-    match = F.col(id_col).eqNullSafe(F.col("_id")) & (F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256) == F.col("_sha"))
+    both = F.col(key).eqNullSafe(F.col(other_key)) & (F.col(sha) == F.col(other_sha))
+    twice = stage_table(ordered.filter("kept").select(*named).join(gone.toDF(other_key, other_sha), both, "left_semi"))
+    match = F.col(id_col).eqNullSafe(F.col(key)) & (F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256) == F.col(sha))
     stays = docs.join(gone, match, "left_anti")
     if twice.isEmpty():
         return stays

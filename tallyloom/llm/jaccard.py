@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage_table, texts_of
+from .common import fresh, stage_table, texts_of
 from .components import components
 from .shingles import WordHashes, mix, shingle_sets
 
@@ -445,6 +445,7 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows without an id stay unless their component has one with an id; rows repeated with one id stay or go together.
     """
     ids = near_duplicates(docs, id_col, text_col, **how)
-    gone = stage_table(ids.filter(f"{id_col} <> component_id").select(F.col(id_col).alias("_id")).distinct())
+    name = fresh("id")
+    gone = stage_table(ids.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(name)).distinct())
     gone = F.broadcast(gone) if gone.count() <= _BROADCAST else gone
-    return docs.join(gone, F.col(id_col) == F.col("_id"), "left_anti")
+    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")

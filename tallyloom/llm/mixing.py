@@ -110,16 +110,17 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     columns = docs.columns
     sizes = stage_table(_measured(docs, id_col, source_col, text_col, seed))
     cuts = stage_table(mix_cuts(sizes, source_targets(sizes, weights, share, most))).withColumnRenamed("_source", "_s")
-    own = docs.withColumns({"_id": F.col(id_col), "_k": mix_key(F.col(id_col), seed), "_size": word_count(F.col(text_col))})
-    own = own.join(cuts, F.col(source_col).eqNullSafe(F.col("_s"))).withColumn("_extra", _words_taken(F.col("_size")))
-    copies = F.array_repeat(F.lit(False), F.col("_epochs").cast("int"))
-    own = own.withColumn("_last", F.explode(F.concat(copies, F.when(F.col("_extra") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))))
-    parts = F.split(F.col(text_col), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    lead = F.col(text_col).rlike(r"\A[\x20\x09-\x0D]").cast("int")
+    own = docs.select(F.struct(*columns).alias("_row"), F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), F.col(text_col).alias("_text"),
+                      mix_key(F.col(id_col), seed).alias("_k"), word_count(F.col(text_col)).alias("_size"))
+    own = own.join(cuts, F.col("_source").eqNullSafe(F.col("_s"))).withColumn("_extra", _words_taken(F.col("_size")))
+    once_more = F.when(F.col("_extra") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    own = own.withColumn("_last", F.explode(F.concat(F.array_repeat(F.lit(False), F.col("_epochs").cast("int")), once_more)))
+    parts = F.split("_text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    lead = F.col("_text").rlike(r"\A[\x20\x09-\x0D]").cast("int")
     ended = F.array_join(F.slice(parts, 1, F.col("_extra").cast("int") + lead), "")
     cut = F.col("_last") & (F.col("_extra") < F.col("_size"))
-    own = own.withColumn("_text", F.when(cut, ended).otherwise(F.col(text_col)))
+    own = own.withColumn("_text", F.when(cut, ended).otherwise(F.col("_text")))
     out = {text_col: F.col("_text")}
     if chars_col:
-        out[chars_col] = F.when(cut, F.length("_text")).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType)
-    return own.select(*[out.get(c, F.col(c)).alias(c) for c in columns])
+        out[chars_col] = F.when(cut, F.length("_text")).otherwise(F.col("_row")[chars_col]).cast(docs.schema[chars_col].dataType)
+    return own.select(*[out.get(c, F.col("_row")[c]).alias(c) for c in columns])
