@@ -1,14 +1,20 @@
-"""Short lists of offenders for error messages."""
+"""Checks that fail with a count in the text and the complete table of offenders on the exception."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 
-def shown(df: DataFrame, text: Column | str, most: int = 50) -> list[str]:
-    """Up to ``most`` texts, sorted, and "..." when there are more.
+class OffendersError(ValueError):
+    """A failed check. ``offenders`` is the complete, lazy table of what broke it, or None."""
 
-    For messages only: the table a message is about is always available in full.
-    """
-    rows = [str(r[0]) for r in df.select(text).limit(most + 1).collect()]
-    return [*sorted(rows[:most]), *(["..."] if len(rows) > most else [])]
+    def __init__(self, message: str, offenders: DataFrame | None = None):
+        super().__init__(message)
+        self.offenders = offenders
+
+
+def require_none(offenders: DataFrame, what: str, error: type[OffendersError]) -> None:
+    """Fail with the number of ``offenders``; the table goes along whole, to be read or written by the caller."""
+    n = offenders.count()
+    if n:
+        raise error(f"{what}: {n} (all rows in .offenders)", offenders)

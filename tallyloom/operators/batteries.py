@@ -32,9 +32,9 @@ class FilteredQuestion:
     na_as_false: bool = False
 
     def condition(self) -> Column:
-        """Any needed column has (or, negated, has not) one of the answers; three-valued."""
-        tests = [F.col(c) != a if self.negate else F.col(c) == a for c in self.needs for a in self.answers]
-        return any_of(tests)
+        """Any needed column has one of the answers (or, negated, none has any); three-valued."""
+        has = any_of([F.col(c) == a for c in self.needs for a in self.answers])
+        return ~has if self.negate else has
 
 
 def _present(columns: set[str], battery: Battery) -> Battery | None:

@@ -8,11 +8,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.messages import shown
+from ..functions.messages import OffendersError, require_none
 from ..functions.nulls import join_null_safe
 
 
-class CodebookError(ValueError):
+class CodebookError(OffendersError):
     """Metadata that does not allow a codebook."""
 
 
@@ -42,14 +42,10 @@ def codebook(variables: DataFrame, dsd: DataFrame, questions: DataFrame, answers
     aggregate per concept, not by numbering the rows of a concept.
     """
     if check:
-        unknown = shown(concepts_without_question(variables, questions), "concept_id")
-        if unknown:
-            raise CodebookError(f"concepts without question: {', '.join(unknown)}")
+        require_none(concepts_without_question(variables, questions), "concepts without question", CodebookError)
     expanded = expanded_variables(variables, dsd, questions, codelists)
     if check:
-        unlabelled = shown(values_without_label(expanded, answers), "value")
-        if unlabelled:
-            raise CodebookError(f"code values without answer label: {', '.join(unlabelled)}")
+        require_none(values_without_label(expanded, answers), "code values without answer label", CodebookError)
     labelled = join_null_safe(expanded, answers.select("value", "vallabel"), ["value"])
     rank = F.struct("pos", F.coalesce("question", F.lit("")).alias("q"), F.coalesce("code_pos", F.lit(0)).alias("c"))
     ranked = labelled.withColumn("__rank", rank)

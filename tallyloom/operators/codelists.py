@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.messages import shown
+from ..functions.messages import OffendersError, require_none
 from ..functions.nulls import join_null_safe
 
 PREFIX = "cl_"
 ID_COLUMNS = ("valuen", "value")
 
 
-class CodelistError(ValueError):
+class CodelistError(OffendersError):
     """Code lists that contradict each other."""
 
 
@@ -30,10 +30,7 @@ def skeleton_orphans(skeletons: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def require_known_values(skeletons: DataFrame, values: DataFrame) -> None:
-    text = F.concat(F.lit("'"), "value", F.lit("' in skeleton '"), "source", F.lit("'"))
-    bad = shown(skeleton_orphans(skeletons, values).distinct(), text)
-    if bad:
-        raise CodelistError("Values not in value list: " + "; ".join(bad))
+    require_none(skeleton_orphans(skeletons, values).distinct(), "skeleton values that no value list has", CodelistError)
 
 
 def membership_long(skeleton: DataFrame, lists: Sequence[str] | None = None) -> DataFrame:

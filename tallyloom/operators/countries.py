@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -24,8 +25,11 @@ def country_chain(categories1: DataFrame, categories2: DataFrame, iso: DataFrame
     """ISO countries with all categories; categories without country stay as rows without code."""
     wide = country_categories(categories1, categories2)
     up = _without_labels(wide).withColumnRenamed("value", "__cat")
-    joined = iso.join(up, iso["cl_countrycat2"].eqNullSafe(up["__cat"]), "full_outer")
-    return joined.withColumn("cl_countrycat2", F.coalesce("cl_countrycat2", "__cat")).drop("__cat")
+    # in a full outer join neither side of a hot category could be split or broadcast
+    placed = iso.join(up, iso["cl_countrycat2"].eqNullSafe(up["__cat"]), "left").drop("__cat")
+    used = iso.select(F.col("cl_countrycat2").alias("__used")).distinct()
+    unused = up.join(used, F.col("__cat").eqNullSafe(F.col("__used")), "left_anti").withColumnRenamed("__cat", "cl_countrycat2")
+    return placed.unionByName(unused, allowMissingColumns=True)
 
 
 def by_code(chain: DataFrame, value: str, other: str, other_name: str) -> DataFrame:
@@ -41,7 +45,7 @@ def multi_code_enrich(df: DataFrame, key: Sequence[str], codes: str, lookup: Dat
     One unknown result makes the joined text NULL. Results are made distinct per key by an
     aggregate, so only distinct values of the lookup meet in a group.
     """
-    single = df.select(*key, F.posexplode_outer(F.split(F.col(codes), sep)).alias("__pos", codes))
+    single = df.select(*key, F.posexplode_outer(F.split(F.col(codes), re.escape(sep))).alias("__pos", codes))
     found = join_null_safe(single, lookup.select(F.col(lookup_key).alias("__code"), *columns), {codes: "__code"})
     cells = F.array(*[F.struct(F.lit(c).alias("__column"), F.col(c).cast("string").alias("__value"))
                       for c in [codes, *columns]])

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.messages import shown
+from ..functions.messages import OffendersError, require_none
 from ..functions.nulls import join_null_safe
 
 # The types a concept may have.
@@ -17,22 +15,24 @@ TYPES = ["character", "date", "datetime", "codelist", "integer", "numeric"]
 NUMERIC_TYPES = ["integer", "numeric"]
 
 
-class DsdError(ValueError):
+class DsdError(OffendersError):
     """The data structure definition breaks a rule."""
 
 
-def _compiles(column: Column) -> Column:
-    """Whether a pattern compiles. Runs on the distinct patterns only."""
-    def compiles(patterns: pd.Series) -> pd.Series:
-        def ok(pattern):
-            try:
-                re.compile(pattern)
-            except re.error:
-                return False
-            return True
-        return patterns.map(ok)
-    # defined here so that executors get the function itself and need no copy of this package
-    return F.pandas_udf(compiles, T.BooleanType())(column)
+def _invalid_patterns(patterns: DataFrame, column: str) -> DataFrame:
+    """The patterns that Spark's ``rlike`` cannot compile, decided by the compiler it uses.
+
+    Patterns are metadata, one per text concept at most; each distinct one is compiled once on the driver.
+    """
+    spark = patterns.sparkSession
+    compile_ = spark.sparkContext._jvm.java.util.regex.Pattern.compile
+    bad = []
+    for row in patterns.select(column).distinct().collect():
+        try:
+            compile_(row[0])
+        except IllegalArgumentException:  # what a pattern that does not compile comes back as
+            bad.append((row[0],))
+    return spark.createDataFrame(bad, f"{column} string")
 
 
 def _text(column: str) -> Column:
@@ -97,8 +97,7 @@ def dsd_lint(dsd: DataFrame, codelists: DataFrame) -> DataFrame:
         F.concat(F.lit("Code list of concept '"), _text("concept_id"), F.lit("' does not exist: '"),
                  F.col("constraint_codelist"), F.lit("'")).alias("message"))
 
-    patterns = dsd.where("constraint_regex IS NOT NULL").select("constraint_regex").distinct()
-    broken = patterns.where(~_compiles(F.col("constraint_regex")))
+    broken = _invalid_patterns(dsd.where("constraint_regex IS NOT NULL"), "constraint_regex")
     invalid = join_null_safe(dsd.select("concept_id", "constraint_regex"), broken, ["constraint_regex"], "left_semi")
     invalid = invalid.select(
         F.lit("regex_invalid").alias("rule"), "concept_id",
@@ -115,7 +114,5 @@ def dsd_lint(dsd: DataFrame, codelists: DataFrame) -> DataFrame:
 
 def publish_dsd(dsd: DataFrame, codelists: DataFrame, path: str) -> None:
     """Write the DSD, or fail with the broken rules."""
-    messages = shown(dsd_lint(dsd, codelists), "message", most=1000)
-    if messages:
-        raise DsdError("\n" + "\n".join(messages))
+    require_none(dsd_lint(dsd, codelists), "broken rules of the DSD", DsdError)
     dsd.write.mode("overwrite").parquet(path)

@@ -15,7 +15,8 @@ HEX_DIGITS = 4
 
 def keyed_digest(keys: Sequence[str], salt: str) -> Column:
     """Hash of a row key under a secret salt; its order is a reproducible random permutation."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys]
+    # each key goes with its length, and NULL has none: no two keys can be spelled alike
+    parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")), F.lit(":"), F.col(k).cast("string")), F.lit("-")) for k in keys]
     return F.sha2(F.concat_ws("|", F.lit(salt), *parts), 256)
 
 
@@ -55,7 +56,8 @@ def pseudonymous_ids(df: DataFrame, keys: Sequence[str], surv_id: str, salt: str
     cheaper table with the same keys.
     """
     targets = targets or {"resp_id": "", "resp_id_suf": "SUF-", "resp_id_puf": "PUF-"}
-    own = ids = (df if source is None else source).select(*keys)
+    # rows with one key share their identifiers
+    own = ids = (df if source is None else source).select(*keys).distinct()
     for name, infix in targets.items():
         ids = dense_positions(ids, keys, f"{salt}:{surv_id}:{name}", name, source=own)
         ids = ids.withColumn(name, F.format_string(f"{surv_id}-{infix}%04d", F.col(name)))

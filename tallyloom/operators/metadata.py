@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.messages import shown
+from ..functions.messages import OffendersError, require_none
 from ..functions.nulls import filter_out, join_null_safe
 from ..sources.tables import require_columns
 from .ranking import group_size, slice_best
@@ -28,7 +28,7 @@ REQUIRED = {
 CONTACTS = ["invitation", "reminder_1", "reminder_2"]
 
 
-class MetadataError(ValueError):
+class MetadataError(OffendersError):
     """Metadata that does not allow the edition to be processed."""
 
 
@@ -82,9 +82,9 @@ def exactly_one(registry: DataFrame, key: str, value, what: str = "registry") ->
     rows = registry.where(F.col(key) == F.lit(value))
     found = len(rows.select(key).limit(2).collect())
     if found == 0:
-        raise MetadataError(f"{value} has not yet been added to the {what}.")
+        raise MetadataError(f"the {what} knows no {value}")
     if found > 1:
-        raise MetadataError(f"{value} occurs multiple times in the {what}.")
+        raise MetadataError(f"the {what} has more than one {value}")
     return rows
 
 
@@ -108,26 +108,28 @@ def contact_problems(mailings: DataFrame, period: str = "fw_period", contact: st
     expected = mailings.select(period).distinct().select(
         period, F.explode(F.array(*[F.lit(c) for c in contacts])).alias(contact))
     n = F.coalesce(F.col("n"), F.lit(0)).cast("long")
-    message = F.when(n == 0, F.concat(F.lit("line is missing for "), F.col(contact), F.lit("."))).otherwise(
-        F.concat(F.lit("too many lines for "), F.col(contact), F.lit(".")))
+    message = F.concat(F.col(contact), F.when(n == 0, F.lit(": no mailing")).otherwise(F.lit(": several mailings")))
     joined = join_null_safe(expected, counts, [period, contact])
     return filter_out(joined.select(period, contact, n.alias("n"), message.alias("message")), F.col("n") == 1)
 
 
 def mailings_wide(mailings: DataFrame, period: str = "fw_period", contact: str = "contact", date: str = "date",
                   contacts: Sequence[str] = CONTACTS) -> DataFrame:
-    """One column per contact with its date; checked mailings have one row per contact."""
-    return mailings.groupBy(period).pivot(contact, list(contacts)).agg(F.min(date))
+    """One column per contact with its date. Two dates of one contact are an error when the result is computed."""
+    listed = F.coalesce(F.col(contact).isin(list(contacts)), F.lit(False))
+    one = F.when(F.min(date).eqNullSafe(F.max(date)) | ~listed, F.min(date)).otherwise(
+        F.raise_error(F.lit("a contact has several dates")).cast(mailings.schema[date].dataType))
+    single = mailings.groupBy(period, contact).agg(one.alias(date))
+    return single.groupBy(period).pivot(contact, list(contacts)).agg(F.min(date))
 
 
 def read_mailings(mailings: DataFrame, fw_period: str) -> DataFrame:
     """The contact dates of one field work period, after the completeness check."""
     require_columns(mailings, REQUIRED["mailings"], "mailings")
     own = mailings.where(F.col("fw_period") == fw_period)
-    problems = shown(contact_problems(own), "message")
-    if problems or own.limit(1).count() == 0:
-        detail = "\n".join(problems) or "no line at all."
-        raise MetadataError(f"Mailings are not right for field work period {fw_period}.\n{detail}")
+    if own.isEmpty():
+        raise MetadataError(f"field work period {fw_period} has no mailing at all")
+    require_none(contact_problems(own), f"contacts of field work period {fw_period} without exactly one mailing", MetadataError)
     return mailings_wide(own)
 
 
@@ -142,9 +144,7 @@ def load_dsd(dsd: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     require_columns(dsd, REQUIRED["dsd"], "the DSD")
     if wanted is None:
         return dsd
-    missing = shown(missing_concepts(wanted, dsd), "concept_id")
-    if missing:
-        raise MetadataError(f"Following concepts are missing in the DSD: {', '.join(missing)}")
+    require_none(missing_concepts(wanted, dsd), "concepts without a DSD row", MetadataError)
     return join_null_safe(dsd, wanted.select("concept_id").distinct(), ["concept_id"], "left_semi")
 
 

@@ -1,14 +1,15 @@
 """Raking: weights under which the sample has the margins of the population.
 
 Iterative proportional fitting (Deming and Stephan, 1940) with a cap on the weights, as in survey
-practice (DeBell and Krosnick, 2009). All persons of one covariate cell have one weight, so that
-the work on persons is one aggregate down to cells and one join back; the sweeps run on cells, of
-which there are at most as many as combinations of categories.
+practice (DeBell and Krosnick, 2009). All persons of one covariate cell have one weight. Cells keep
+a base weight; what the sweeps change is one factor per category, so a margin is one aggregate of the
+cells down to the categories of a covariate, and cells are never shuffled again. Factors are looked
+up by category number in arrays as long as the code lists. Where the cap cuts weights, the cut weight is
+the base of the next sweep; cells are checkpointed after a few such cuts.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -21,136 +22,122 @@ from ..functions.nulls import join_null_safe
 from ..session import cut_lineage
 
 SLACK = 1e-9
-FEW_CELLS = 100_000
-# nested projections per query text: the analyser resolves them from the inside out, in a limited number of rounds
-STEPS_PER_TEXT = 24
+_DEPTH = 6  # cuts between two checkpoints of the cells
 
 
 class RakingError(ValueError):
-    """Targets the sample cannot meet."""
+    """Targets the sample cannot meet, or weights that do not settle."""
 
 
-def empty_targets(rows: DataFrame, targets: DataFrame, covariates: Sequence[str]) -> DataFrame:
-    """Categories with a positive target but without a row in the sample."""
-    cells = rows.groupBy(*covariates).agg(F.count(F.lit(1)).alias("__n"))
-    present = cells.unpivot([], list(covariates), "covariate", "category").distinct()
-    wanted = targets.where((F.col("p") > 0) & F.col("covariate").isin(list(covariates)))
-    return wanted.join(present, ["covariate", "category"], "left_anti").select("covariate", "category", "p")
+def usable_covariates(rows: DataFrame, targets: DataFrame, covariates: Sequence[str]) -> list[str]:
+    """Those of ``covariates`` that both tables have; an error where none is left."""
+    known = {r[0] for r in targets.select("covariate").distinct().collect()}
+    used = [c for c in covariates if c in known and c in rows.columns]
+    if not used:
+        raise RakingError(f"no targets for any of: {', '.join(covariates)}")
+    return used
 
 
-def _with_targets(cells: DataFrame, targets: DataFrame, covariates: Sequence[str]) -> DataFrame:
+def _numbered(cells: DataFrame, goals: dict[str, dict], covariates: Sequence[str]) -> DataFrame:
+    """Adds the number of each category in its target list, or NULL."""
+    spark = cells.sparkSession
     for i, name in enumerate(covariates):
-        own = targets.where(F.col("covariate") == name).select(F.col("category").alias(name), F.col("p").alias(f"__p{i}"))
-        cells = join_null_safe(cells, own, [name])
+        kind = cells.schema[name].dataType.simpleString()
+        codes = spark.createDataFrame([(k, j) for j, k in enumerate(goals[name])], f"__k string, __c{i} int")
+        cells = cells.join(codes.withColumn("__k", F.col("__k").cast(kind)), F.col(f"`{name}`") == F.col("__k"), "left").drop("__k")
     return cells
 
 
-def _sweep_steps(covariates: Sequence[str], total: float) -> list[str]:
-    """Projections that meet each margin in turn, noting how far each was off.
-
-    A category without target keeps no weight.
-    """
-    steps = []
-    for i, name in enumerate(covariates):
-        here = f"sum(__n * __w) OVER (PARTITION BY `{name}`)"
-        goal, gap = f"(coalesce(__p{i}, 0D) * {total!r}D)", "__gap" if i else "0D"
-        steps.append(f"* EXCEPT (__w, __gap), greatest({gap}, abs({here} - {goal}) / {total!r}D) AS __gap, "
-                     f"CASE WHEN {here} > 0 THEN __w * {goal} / {here} ELSE 0D END AS __w")
-    return steps
-
-
-def _cap_steps(cap: float, total: float) -> list[str]:
-    """Projections that cut at the cap and scale the rest to mean one, from running sums by falling weight.
-
-    If exactly the cells before a cell are cut, the scale follows from the two sums over them. The
-    right set is the first one after which no weight exceeds the cap, which is also the one with the
-    largest scale among those. All in one task; for few cells only.
-    """
-    ahead = "OVER (ORDER BY __w DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    return [
-        f"*, ({total!r}D - {cap!r}D * coalesce(sum(__n) {ahead}, 0)) / ({total!r}D - coalesce(sum(__n * __w) {ahead}, 0D)) AS __k",
-        f"*, CASE WHEN max(__w) OVER () > {cap!r}D THEN max(CASE WHEN __k * __w <= {cap!r}D THEN __k END) OVER () ELSE 1D END AS __scale",
-        f"* EXCEPT (__w, __k, __scale), least({cap!r}D, __w * __scale) AS __w",
-    ]
-
-
-def _project(cells: DataFrame, steps: Sequence[str]) -> DataFrame:
-    """Apply projections one after the other, as query texts that are analysed once each."""
-    for start in range(0, len(steps), STEPS_PER_TEXT):
-        text = "{cells}"
-        for step in steps[start:start + STEPS_PER_TEXT]:
-            text = f"(SELECT {step} FROM {text})"
-        cells = cells.sparkSession.sql(f"SELECT * FROM {text}", cells=cells)
-    return cells
+def _weight(base: str, factors: Sequence[Sequence[float]]) -> str:
+    """The weight of a cell: its base times the factor of each of its categories."""
+    parts = [f"element_at(array({', '.join(repr(float(x)) + 'D' for x in own)}), __c{i} + 1)" for i, own in enumerate(factors)]
+    return " * ".join([base, *parts])
 
 
-def _cap_by_search(cells: DataFrame, cap: float, total: float) -> DataFrame:
-    """The same for any number of cells: aggregates find the scale, each adding cells to the cut set.
+def _cap_scale(cells: DataFrame, weight: str, cap: float, total: float) -> float:
+    """The scale at which cutting at the cap leaves a mean of one; 1 where nothing exceeds it.
 
-    The set of cells above the cap only grows, so the search ends after a few steps.
+    Aggregates find it; the set of cells above the cap only grows, so they are few.
     """
-    largest = cells.agg(F.max("__w")).first()[0]
-    if largest <= cap * (1 + SLACK):
-        return cells
     scale = 1.0
     while True:
-        over = F.col("__w") * F.lit(scale) >= F.lit(cap)
-        row = cells.agg(
-            F.sum(F.when(over, F.col("__n")).otherwise(0)).alias("n_over"),
-            F.sum(F.when(~over, F.col("__n") * F.col("__w")).otherwise(0.0)).alias("w_under")).first()
-        if row["w_under"] <= 0:
-            break
-        updated = (total - cap * float(row["n_over"])) / row["w_under"]
+        row = cells.selectExpr("__n", f"{weight} AS w").selectExpr(
+            f"sum(CASE WHEN w * {scale!r}D >= {cap!r}D THEN __n ELSE 0 END) AS over",
+            f"sum(CASE WHEN w * {scale!r}D >= {cap!r}D THEN 0D ELSE __n * w END) AS under").first()
+        if not row["over"] or row["under"] <= 0:
+            return scale
+        updated = (total - cap * float(row["over"])) / row["under"]
         if updated <= scale * (1 + 1e-15):
-            break
+            return scale
         scale = updated
-    return cells.withColumn("__w", F.least(F.lit(cap), F.col("__w") * F.lit(scale)))
 
 
 def rake_cells(rows: DataFrame, targets: DataFrame, covariates: Sequence[str], cap: float = 5.0,
-               tol: float = 1e-6, max_sweeps: int = 100, few: int = FEW_CELLS) -> DataFrame:
+               tol: float = 1e-6, max_sweeps: int = 500) -> DataFrame:
     """One row per covariate cell: number of rows ``n`` and weight ``psweight`` (mean one).
 
-    Sweeps stop when every margin is found within ``tol`` of its target, or after ``max_sweeps``
-    with a warning (which is what a binding cap leads to). Up to ``few`` cells are swept without any
-    shuffle, several sweeps per job; more of them are spread by category, one sweep per job.
+    Covariates that only one of the tables has are left out. Sweeps stop when one changes no weight by
+    more than ``tol``: then margins are met, or as near as the cap lets them come. A category of the
+    sample without a target, a target without a row, and weights that have not settled after
+    ``max_sweeps`` are errors.
     """
     if cap <= 1:
         raise RakingError("a cap of one or less leaves no room for weights with mean one")
-    # one row per category; used once per covariate, so computed once
-    targets = cut_lineage(targets.where(F.col("covariate").isin(list(covariates))).select("covariate", "category", "p"))
+    used = usable_covariates(rows, targets, covariates)
+    wanted: dict[str, dict] = {c: {} for c in used}  # as long as the code lists
+    for r in targets.where(F.col("covariate").isin(used) & (F.col("p") > 0)).select("covariate", "category", "p").collect():
+        wanted[r["covariate"]][r["category"]] = r["p"]
     cells = rows.groupBy(*covariates).agg(F.count(F.lit(1)).alias("__n"))
-    cells = cut_lineage(_with_targets(cells, targets, covariates).withColumns({"__w": F.lit(1.0), "__gap": F.lit(0.0)}))
-    n_cells, total = cells.agg(F.count(F.lit(1)), F.sum("__n")).first()
-    result = [*covariates, F.col("__n").alias("n"), F.col("__w").alias("psweight")]
+    cells = cut_lineage(_numbered(cells, wanted, used).withColumn("__base", F.lit(1.0)))
+    result = [*covariates, F.col("__n").alias("n")]
+    total = cells.agg(F.sum("__n")).first()[0]
     if not total:
-        return cells.select(*result)
-    unmet = empty_targets(cells, targets, covariates).collect()
-    if unmet:
-        shown = ", ".join(sorted(f"{r['covariate']}={r['category']}" for r in unmet))
-        raise RakingError(f"targets without a row in the sample: {shown}")
-    total, gap, done = float(total), float("inf"), 0
-    is_small = n_cells <= few
-    if is_small:
-        cells = cells.coalesce(1)
-    sweep = _sweep_steps(covariates, total)
-    while done < max_sweeps and gap >= tol:
-        if is_small:
-            steps = sweep + _cap_steps(cap, total)
-            k = min(max(1, STEPS_PER_TEXT // len(steps)), max_sweeps - done)
-            cells = cut_lineage(_project(cells, steps * k))
-        else:
-            k = 1
-            cells = cut_lineage(_cap_by_search(cut_lineage(_project(cells, sweep)), cap, total))
-        done += k
-        gap = cells.agg(F.max("__gap")).first()[0]
-    if gap >= tol:
-        warnings.warn(f"raking stopped after {done} sweeps with a margin gap of {gap:.2g}", stacklevel=2)
-    return cells.select(*result)
+        return cells.select(*result, F.col("__base").alias("psweight"))
+    strange = [f"{c}={r[0]}" for i, c in enumerate(used)
+               for r in cells.where(f"__c{i} IS NULL").select(c).distinct().sort(c).collect()]
+    if strange:
+        raise RakingError(f"categories of the sample without a target: {', '.join(strange)}")
+    total = float(total)
+    goals = [[p * total for p in wanted[c].values()] for c in used]
+    factors = [[1.0] * len(g) for g in goals]
+
+    def sums(i: int, weight: str, before: str | None = None) -> tuple[list[float], float, float]:
+        """Weight of each category, the largest weight, and the largest difference to the weight ``before``."""
+        moved = f"max(abs({weight} - ({before})))" if before else "0D"
+        got = cells.groupBy(f"__c{i}").agg(F.expr(f"sum(__n * {weight})"), F.expr(f"max({weight})"), F.expr(moved)).collect()
+        own = {r[0]: r[1] for r in got}
+        absent = [k for j, k in enumerate(wanted[used[i]]) if j not in own]
+        if absent:
+            raise RakingError("targets without a row in the sample: " + ", ".join(f"{used[i]}={k}" for k in sorted(absent)))
+        return [own[j] for j in range(len(goals[i]))], max(r[2] for r in got), max(r[3] for r in got)
+
+    base, depth, cutting, weight = "__base", 0, False, _weight("__base", factors)
+    here, _, _ = sums(0, weight)
+    for _ in range(max_sweeps):
+        before = weight
+        for i in range(len(used)):
+            if i:
+                here, _, _ = sums(i, _weight(base, factors))
+            factors[i] = [f * g / h if h > 0 else 0.0 for f, g, h in zip(factors[i], goals[i], here)]
+        weight = _weight(base, factors)
+        if not cutting:  # once the cap cuts it goes on doing so
+            here, largest, moved = sums(0, weight, before)
+            cutting = largest > cap * (1 + SLACK)
+        if cutting:
+            scale = _cap_scale(cells, weight, cap, total)
+            base, depth, factors = f"least({cap!r}D, ({weight}) * {scale!r}D)", depth + 1, [[1.0] * len(g) for g in goals]
+            weight = base
+            here, _, moved = sums(0, weight, before)
+        if moved <= tol:
+            return cells.select(*result, F.expr(weight).alias("psweight"))
+        if depth == _DEPTH:  # weights are expressions over the cells until these grow long
+            cells = cut_lineage(cells.withColumn("__base", F.expr(weight)))
+            base, depth, factors, weight = "__base", 0, [[1.0] * len(g) for g in goals], "__base"
+    raise RakingError(f"weights still change by {moved:.2g} after {max_sweeps} sweeps")
 
 
 def rake_weights(rows: DataFrame, targets: DataFrame, covariates: Sequence[str], row_key: str, cap: float = 5.0,
-                 tol: float = 1e-6, max_sweeps: int = 100) -> DataFrame:
+                 tol: float = 1e-6, max_sweeps: int = 500) -> DataFrame:
     """(row key, psweight) for every row of the raking frame."""
     cells = rake_cells(rows, targets, covariates, cap, tol, max_sweeps)
     return attach_cell_weights(rows, cells, covariates).select(row_key, "psweight")
@@ -166,12 +153,9 @@ def attach_cell_weights(df: DataFrame, cells: DataFrame, covariates: Sequence[st
     """Add the weight of its cell to every row for which ``used`` holds; other rows get NULL.
 
     Equal to attaching weights by row key, but the persons are joined to the few cells and so need
-    no shuffle: the cells are counted, and broadcast when they are few. A row with an unknown
-    covariate belongs to no cell.
+    no shuffle where Spark finds them few. A row with an unknown covariate belongs to no cell.
     """
     lookup = cells.select(*[F.col(c).alias(f"__cell_{c}") for c in covariates], F.col("psweight").alias("__psweight"))
-    if lookup.limit(FEW_CELLS + 1).count() <= FEW_CELLS:
-        lookup = F.broadcast(lookup)
     same = reduce(and_, [df[c] == lookup[f"__cell_{c}"] for c in covariates])
     joined = df.join(lookup, same, "left")
     weight = F.col("__psweight") if used is None else F.when(used, F.col("__psweight"))

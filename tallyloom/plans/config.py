@@ -69,8 +69,9 @@ class EditionConfig:
     culture: tuple[str, ...] = CULTURE
     demographics: tuple[str, ...] = ("sr_sex", "sr_byear", "sr_bmnth")
     covariates: tuple[str, ...] = ("sex", "agecat7", "natltygrp")
+    found_covariates: str = r"refnis\d{4}lvl2"  # columns found by name, as the year of the areas differs
     person: str = "pseudo_id"
     response: str = "row_id"
     cap: float = 5.0
     tol: float = 1e-6
-    max_sweeps: int = 100
+    max_sweeps: int = 500

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -61,11 +62,16 @@ def derive_variables(df: DataFrame, inputs: EditionInputs, cfg: EditionConfig) -
 
 
 def weight_responses(df: DataFrame, targets: DataFrame, cfg: EditionConfig) -> DataFrame:
-    """Raked weights for respondents whose covariates are known."""
-    frame = margins.raking_frame(df, cfg.covariates, cfg.response)
-    goals = margins.normalise_margins(targets, cfg.covariates)
-    cells = raking.rake_cells(frame, goals, cfg.covariates, cfg.cap, cfg.tol, cfg.max_sweeps)
-    return raking.attach_cell_weights(df, cells, cfg.covariates, F.col("resp_stat") == "resp")
+    """Raked weights for respondents whose covariates are known.
+
+    Covariates are those of the configuration and those found by name, as far as there are targets.
+    """
+    found = [c for c in df.columns if re.fullmatch(cfg.found_covariates, c) and c not in cfg.covariates]
+    used = raking.usable_covariates(df, targets, [*cfg.covariates, *found])
+    frame = margins.raking_frame(df, used, cfg.response)
+    goals = margins.normalise_margins(targets, used)
+    cells = raking.rake_cells(frame, goals, used, cfg.cap, cfg.tol, cfg.max_sweeps)
+    return raking.attach_cell_weights(df, cells, used, F.col("resp_stat") == "resp")
 
 
 def name_responses(df: DataFrame, cfg: EditionConfig, source: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "table")
     """Fail at plan time when required columns are absent."""
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise SchemaError(f"Following columns are missing in {what} but are required: {', '.join(missing)}")
+        raise SchemaError(f"{what} lacks columns: {', '.join(missing)}")
     return df
 
 
@@ -32,7 +32,7 @@ def scan_table(spark: SparkSession, path: str, required: Sequence[str] = (), col
     try:
         df = reader.load(path)
     except AnalysisException as exc:
-        raise SchemaError(f"Table {path} does not exist or cannot be read") from exc
+        raise SchemaError(f"no readable table at {path}") from exc
     require_columns(df, [*required, *(columns or [])], path)
     return df.select(*columns) if columns else df
 
@@ -73,7 +73,10 @@ def read_published(spark: SparkSession, path: str, drop_empty: bool = False, **k
     With ``drop_empty`` the columns that hold no value for this key are left out, which
     takes one aggregate over the pruned files.
     """
-    df = spark.read.parquet(path)
+    # a key of digits is a text with leading zeros: partition values keep the type they are asked for in
+    files = spark.read.option("recursiveFileLookup", "false").parquet(path)
+    kinds = {name: T.StringType() if isinstance(value, str) else files.schema[name].dataType for name, value in key.items()}
+    df = spark.read.schema(T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in files.schema])).parquet(path)
     for name, value in key.items():
         df = df.where(F.col(name) == F.lit(value)).drop(name)
     return drop_empty_columns(df) if drop_empty else df

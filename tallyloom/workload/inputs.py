@@ -186,10 +186,13 @@ class Inputs:
     def sql(self, text: str) -> DataFrame:
         """Run a text over the driver's tables and the derived ones."""
         full = oracle(text)
-        for name in SCHEMAS:
-            if re.search(rf"\b{name}\b", full):
-                self.table(name).createOrReplaceTempView(name)
-        return self.spark.sql(full)
+        names = [n for n in SCHEMAS if re.search(rf"\b{n}\b", full)]
+        # the tables go in as arguments, so no view of the user's session is touched
+        body = full.replace("{", "{{").replace("}", "}}")
+        tables = ", ".join(f"{n} AS (SELECT * FROM {{{n}}})" for n in names)
+        start = re.match(r"\s*WITH\s+", body)
+        whole = f"WITH {tables}, {body[start.end():]}" if start else f"WITH {tables} {body}"
+        return self.spark.sql(whole if names else body, **{n: self.table(n) for n in names})
 
     def view(self, name: str) -> DataFrame:
         return self.sql(VIEWS[name])

@@ -105,11 +105,11 @@ def timers(x):
 @query("merge_sample_survey", oracle("""
 SELECT s.pseudo_id, 'SV0001' AS surv_id, sex, bth_year, r.row_id, resp_mode, CAST(resp_date AS VARCHAR) AS resp_date, 'P1' AS fw_period,
   CAST(2024 AS INT) AS surv_year, '1995-01-01' AS invitation, '1999-01-01' AS reminder_2
-FROM sample s LEFT JOIN (SELECT * FROM responses WHERE resp_fwdisp = 'late' AND pseudo_id % 3 = 0) r ON s.pseudo_id = r.pseudo_id"""))
+FROM sample s LEFT JOIN responses r ON s.pseudo_id = r.pseudo_id"""))
 def merged(x):
     edition = x.spark.createDataFrame([("SV0001", "P1", 2024, "spring")], "surv_id string, fw_period string, surv_year int, surv_semester string")
     contacts = x.view("mailings").groupBy("fw_period").pivot("contact", ["invitation", "reminder_1", "reminder_2"]).agg(F.min("mail_date"))
-    survey = x.view("responses").where("resp_fwdisp = 'late' AND pseudo_id % 3 = 0").withColumn("fw_period", F.lit("P0"))
+    survey = x.view("responses").withColumn("fw_period", F.lit("P0"))
     out = c.merge_sources(x.view("sample").withColumn("surv_year", F.lit(1900)), survey, edition, contacts, "SV0001")
     return out.select("pseudo_id", "surv_id", "sex", "bth_year", "row_id", "resp_mode", _DAY("resp_date"), "fw_period",
                       "surv_year", _DAY("invitation"), _DAY("reminder_2"))

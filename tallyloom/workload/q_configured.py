@@ -36,8 +36,8 @@ def _filter_sql() -> str:
     """One nested projection per filter, as later filters see the results of earlier ones."""
     text = f"({_BATTERIES}) b"
     for i, f in enumerate(c.FILTERS):
-        op = "<>" if f.negate else "="
-        condition = " OR ".join(f"{n} {op} '{a}'" for n in f.needs for a in f.answers)
+        condition = " OR ".join(f"{n} = '{a}'" for n in f.needs for a in f.answers)
+        condition = f"NOT ({condition})" if f.negate else condition
         text = f"(SELECT * REPLACE ({', '.join(f'{t.filtered(q, condition, f.na_value)} AS {q}' for q in f.columns)}) FROM {text}) f{i}"
     return f"SELECT * FROM {text}"
 

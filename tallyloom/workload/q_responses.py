@@ -102,7 +102,7 @@ def wave(x):
 
 
 @query("row_id", """
-SELECT o_orderkey, o_custkey, ROW_NUMBER() OVER (ORDER BY SHA256(CONCAT('row', '|', CAST(o_orderkey AS VARCHAR)))) AS row_id FROM orders""")
+SELECT o_orderkey, o_custkey, ROW_NUMBER() OVER (ORDER BY SHA256(CONCAT('row', '|', LENGTH(CAST(o_orderkey AS VARCHAR)), ':', CAST(o_orderkey AS VARCHAR)))) AS row_id FROM orders""")
 def numbered(x):
     return identifiers.row_ids(x.table("orders").select("o_orderkey", "o_custkey"), ["o_orderkey"])
 

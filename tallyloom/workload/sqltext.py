@@ -66,7 +66,7 @@ AGE4 = """CASE WHEN {0} < 18 THEN NULL WHEN {0} < 35 THEN 'a18_34' WHEN {0} < 50
 
 def ids(table: str, keys: Sequence[str], surv_id: str, salt: str, names: dict[str, str]) -> dict[str, str]:
     """Output column -> expression for pseudonymous ids."""
-    parts = ", '|', ".join(f"COALESCE(CAST({k} AS VARCHAR), '\\N')" for k in keys)
+    parts = ", '|', ".join(f"COALESCE(CONCAT(LENGTH(CAST({k} AS VARCHAR)), ':') || CAST({k} AS VARCHAR), '-')" for k in keys)
     return {name: f"PRINTF('{surv_id}-{infix}%04d', ROW_NUMBER() OVER (ORDER BY SHA256(CONCAT('{salt}:{surv_id}:{name}', '|', {parts}))))"
             for name, infix in names.items()}
 

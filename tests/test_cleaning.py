@@ -66,16 +66,33 @@ def test_coalesce_join_checks(spark, rows):
     df = spark.createDataFrame([(1, "a", None), (2, "b", "y"), (None, "c", "z")], "id int, v string, w string")
     fix = spark.createDataFrame([(1, None, "new"), (None, "null key", None)], "id int, v string, w string")
     assert rows(coalesce_join(df, fix, ["id"])) == [(1, "a", "new"), (2, "b", "y"), (None, "null key", "z")]
-    with pytest.raises(JoinError, match="cannot|not in the original"):
+    with pytest.raises(JoinError, match="not there: x"):
         coalesce_join(df, fix.withColumn("x", F.lit(1)), ["id"])
-    with pytest.raises(JoinError, match="id=9"):
-        coalesce_join(df, spark.createDataFrame([(9, "a")], "id int, v string"), ["id"])
+    with pytest.raises(JoinError, match="not there: 5000") as caught:
+        coalesce_join(df, spark.range(10, 5010).select(F.col("id").cast("int"), F.lit("a").alias("v")), ["id"])
+    assert caught.value.offenders.distinct().count() == 5000
+
+
+def test_conflicting_corrections_are_an_error(spark, rows):
+    df = spark.createDataFrame([(1, "a", "b")], "id int, v string, w string")
+    fixes = lambda *r: spark.createDataFrame(list(r), "id int, variable string, value string")
+    assert rows(recode_overlay(df, fixes((1, "v", "x"), (1, "v", "x")), "id", ["v", "w"])) == [(1, "x", "b")]
+    with pytest.raises(JoinError, match="two ways: 1"):
+        recode_overlay(df, fixes((1, "v", "x"), (1, "v", "y")), "id", ["v", "w"])
+    with pytest.raises(Exception, match="two ways"):
+        recode_overlay(df, fixes((1, "v", "x"), (1, "v", "y")), "id", ["v", "w"], check=False).collect()
+
+
+def test_negated_filter_with_two_answers(spark, rows):
+    asked = FilteredQuestion(("q",), ("k",), ("a", "b"), negate=True)
+    df = spark.createDataFrame([(1, "x", "a"), (2, "x", "b"), (3, "x", "c"), (4, "x", None)], "id int, q string, k string")
+    assert rows(clean_filters(df, [asked]), "id", "q") == [(1, "na"), (2, "na"), (3, "x"), (4, None)]
 
 
 def test_coalesce_join_duplicates(spark, rows):
     df = spark.createDataFrame([(1, "a")], "id int, v string")
     fix = spark.createDataFrame([(1, "x", 2), (1, "y", 1)], "id int, v string, pos int")
-    with pytest.raises(JoinError, match="duplicate"):
+    with pytest.raises(JoinError, match="corrected more than once"):
         coalesce_join(df, fix.drop("pos"), ["id"])
     assert rows(coalesce_join(df, fix, ["id"], duplicates="first", order=["pos"])) == [(1, "y")]
     assert rows(coalesce_join(df, fix.drop("pos"), ["id"], duplicates="expand")) == [(1, "x"), (1, "y")]

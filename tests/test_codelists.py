@@ -18,7 +18,7 @@ def test_containment(spark, rows):
     lists = cl.assemble_codelists(skeleton, labels)
     wide = cl.codelist_wide(lists, cl.containment_maps(skeleton), "cl_yndk")
     assert wide.columns[-1] == "cl_yn" and rows(wide, "value", "label_nl", "cl_yn") == [("dkn", None, None), ("no", "nee", "no"), ("yes", "ja", "yes")]
-    with pytest.raises(cl.CodelistError, match="'x' in skeleton 's'"):
+    with pytest.raises(cl.CodelistError, match="no value list has: 1"):
         cl.require_known_values(spark.createDataFrame([("s", "x")], "source string, value string"), labels)
 
 
@@ -84,9 +84,9 @@ def test_codebook(spark, rows):
     answers = spark.createDataFrame([("m", "Man"), ("f", "Woman")], "value string, vallabel string")
     out = cb.codebook(variables, dsd, questions, answers, lists).orderBy("pos", "code_pos").select("varname", "varlabel", "question", "valn", "valc")
     assert [tuple(r) for r in out.collect()] == [("V1", "Sex", "You are", "1", "Man"), ("", "", "", "2.50", "Woman"), ("V2", "Age", "Your age", "[integer]", None)]
-    with pytest.raises(cb.CodebookError, match="age"):
+    with pytest.raises(cb.CodebookError, match="without question: 1"):
         cb.codebook(variables, dsd, questions.where("concept_id = 'sex'"), answers, lists)
-    with pytest.raises(cb.CodebookError, match="f"):
+    with pytest.raises(cb.CodebookError, match="without answer label: 1"):
         cb.codebook(variables, dsd, questions, answers.where("value = 'm'"), lists)
 
 

@@ -71,7 +71,7 @@ def test_edition_end_to_end(spark, rows, tmp_path):
     assert back.where("surv_id = 'SV0001'").count() == 40
     with pytest.raises(v.ValidationError, match="40 sample members in data, 41 in metadata"):
         publish_edition(out, edition.withColumn("sample_n", F.lit(41)), _dsd(spark), lists, path)
-    with pytest.raises(v.ValidationError, match="in dsd but not in dataset: extra"):
+    with pytest.raises(v.ValidationError, match="extra: concept without column"):
         publish_edition(out, edition, _dsd(spark).union(spark.createDataFrame([("extra", "x", "character", None, None, None, None, True)], DSD)), lists, path)
 
 

@@ -67,3 +67,38 @@ def test_band_labels():
 def test_text(spark, rows):
     df = spark.createDataFrame([("  SINT-niklaas  l'EAU d’or\t2a ",), (None,)], "t string")
     assert rows(df.select(title_case(squish(F.col("t"))))) == [("Sint-Niklaas L'eau D’or 2a",), (None,)]
+
+
+def test_digests_of_compound_keys_differ(spark):
+    from tallyloom.operators.identifiers import keyed_digest, pseudonymous_ids
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "x"), ("\\N", "x"), ("-", "x")], "k string, l string")
+    assert df.select(keyed_digest(["k", "l"], "s").alias("d")).distinct().count() == 5
+    twice = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
+    out = pseudonymous_ids(twice, ["k"], "SV0001", "s")
+    assert out.count() == 3 and out.select("resp_id").distinct().count() == 2
+
+
+def test_published_keys_of_digits_keep_their_zeros(spark, tmp_path, rows):
+    from tallyloom.sources.tables import publish_by_key, read_published
+    df = spark.createDataFrame([("02000", 1, "x"), ("2000", 2, "y")], "area string, n int, v string")
+    publish_by_key(df, str(tmp_path / "areas"), ["area"])
+    assert rows(read_published(spark, str(tmp_path / "areas"), area="02000")) == [(1, "x")]
+    assert rows(read_published(spark, str(tmp_path / "areas"), area="2000")) == [(2, "y")]
+
+
+def test_separators_are_no_patterns(spark, rows):
+    from tallyloom.operators.countries import multi_code_enrich
+    lookup = spark.createDataFrame([("a", "A"), ("b", "B")], "code string, name string")
+    df = spark.createDataFrame([("k", "a|b")], "key string, codes string")
+    assert rows(multi_code_enrich(df, ["key"], "codes", lookup, "code", ["name"], sep="|"), "codes", "name") == [("a|b", "A|B")]
+
+
+def test_queries_leave_the_views_of_the_session_alone(spark):
+    import os
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        return
+    from tallyloom.workload.inputs import Inputs
+    spark.createDataFrame([(1,)], "mine int").createOrReplaceTempView("orders")
+    assert Inputs(spark, "/root/testdata/sf0.001").sql("SELECT COUNT(*) AS n FROM orders WHERE o_orderpriority LIKE '{%' OR TRUE").first()[0] == 1500
+    assert spark.table("orders").columns == ["mine"]
+    spark.catalog.dropTempView("orders")
