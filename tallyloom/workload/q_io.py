@@ -99,3 +99,13 @@ def every_year(x):
     areas = x.sql("""SELECT 2019 AS version, n_nationkey AS value, r_name AS target_value FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20
        UNION ALL SELECT 2024, n_nationkey, CASE WHEN n_nationkey = 3 THEN 'moved' ELSE r_name END FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 22""")
     return all_years(registers, areas, x.view("nationalities")).withColumn("p", F.round("p", 6))
+
+
+@query("published_digit_keys", """
+SELECT c_custkey, c_name FROM customer WHERE c_nationkey = 3""")
+def digit_keys(x):
+    """Area codes are digits with leading zeros; a key must come back as it was written."""
+    path = x.folder()
+    areas = x.table("customer").select(F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("area"), "c_custkey", "c_name")
+    publish_by_key(areas, path, ["area"])
+    return read_published(x.spark, path, area="00003")

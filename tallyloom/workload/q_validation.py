@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import validation as v
 from ..operators.validation import Concept
+from ..sources.tables import write_partitioned
 from .inputs import oracle
 from .registry import query
 
@@ -182,3 +183,22 @@ def classes(x):
     dsd = x.sql(_TYPES).select("concept_id", "constraint_type", none.alias("constraint_codelist"), none.alias("constraint_regex"), none.alias("constraint_min"),
                                none.alias("constraint_max"), F.lit(True).alias("constraint_allow_missings"))
     return v.class_check(x.view("raw"), dsd)
+
+
+_SOUND = """SELECT o_orderkey AS row_id, o_orderstatus AS status, o_totalprice AS price, CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)) AS day FROM orders"""
+_SOUND_DSD = [(1, "day", "date", None, False), (2, "price", "numeric", None, False), (3, "status", "codelist", "status", False), (4, "row_id", "integer", None, False)]
+
+
+@query("revalidation", oracle("""SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_totalprice AS price, o_orderstatus AS status, CAST(o_orderkey AS INT) AS row_id FROM orders"""))
+def revalidated(x):
+    """Checked, written by status, read back and checked again, columns in the order of the DSD."""
+    none = F.lit(None)
+    dsd = x.spark.createDataFrame(_SOUND_DSD, "pos int, concept_id string, constraint_type string, constraint_codelist string, constraint_allow_missings boolean")
+    dsd = dsd.withColumns({"constraint_regex": none.cast("string"), "constraint_min": none.cast("double"), "constraint_max": none.cast("double")})
+    lists = x.sql("SELECT DISTINCT 'status' AS codelist, o_orderstatus AS value, CAST(NULL AS DOUBLE) AS valuen FROM orders")
+    path = x.folder()
+    write_partitioned(v.validate(x.sql(_SOUND), dsd, lists), path, ["status"])
+    again = v.validate(x.spark.read.parquet(path), dsd, lists)
+    if again.columns != [row[1] for row in _SOUND_DSD]:
+        raise v.ValidationError(f"columns are not in the order of the DSD: {again.columns}")
+    return again.withColumn("day", F.col("day").cast("string"))
