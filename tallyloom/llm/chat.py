@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches
+from .common import arrow_batches, tidied
 
 # Other names of the roles.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
@@ -205,7 +205,7 @@ def format_records(records: DataFrame, id_col: str, record_col: str = "record",
                     yield key, layout, *render(turns)
             yield from arrow_batches(rows(), schema, weight=lambda r: len(r[2]))
     read = records.select(F.col(id_col).alias("id"), F.col(record_col).alias("record"))
-    return read.mapInArrow(convert, f"id {kind}, layout string, formatted string, loss_starts array<long>, loss_ends array<long>").withColumnRenamed("id", id_col)
+    return read.mapInArrow(tidied(convert), f"id {kind}, layout string, formatted string, loss_starts array<long>, loss_ends array<long>").withColumnRenamed("id", id_col)
 
 
 def read_back(formatted: DataFrame, id_col: str) -> DataFrame:
@@ -225,4 +225,4 @@ def read_back(formatted: DataFrame, id_col: str) -> DataFrame:
                     yield (key, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text))
             yield from arrow_batches(rows(), schema)
     read = formatted.select(F.col(id_col).alias("id"), "formatted", "loss_starts", "loss_ends")
-    return read.mapInArrow(digest, f"id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long").withColumnRenamed("id", id_col)
+    return read.mapInArrow(tidied(digest), f"id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long").withColumnRenamed("id", id_col)

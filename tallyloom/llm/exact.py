@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, fresh, stage_table
+from .common import arrow_batches, fresh, stage_table, tidied
 
 _PREFIX = 32  # characters of the text in a splitter
 _RUNS = 33    # bits for the number of a row or run inside its partition
@@ -73,7 +73,7 @@ def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by_id = F.col("id").asc_nulls_first() if keep == "max" else F.col("id").asc_nulls_last()
     dealt = key.repartitionByRange("prefix", "hash", by_id).sortWithinPartitions("prefix", "hash", "text", by_id)
     kind = docs.schema[id_col].dataType.simpleString()
-    marked = stage_table(dealt.select("id", "text").mapInArrow(_runs, f"id {kind}, pos long, run long, digest binary, edge string"))
+    marked = stage_table(dealt.select("id", "text").mapInArrow(tidied(_runs), f"id {kind}, pos long, run long, digest binary, edge string"))
 
     edges = marked.filter(F.col("edge").isNotNull()).select("run", "edge")
     roots = edges.groupBy("edge").agg(F.min("run").alias("root"))

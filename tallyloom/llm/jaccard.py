@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, stage_table, texts_of
+from .common import fresh, stage_table, texts_of, tidied
 from .components import components
 from .shingles import WordHashes, mix, shingle_sets
 
@@ -194,7 +194,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> Dat
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(nodes.view(np.int64)),
                                               *[pa.array(marks[:, k].copy()) for k in range(len(_S))], pa.array(wide, pa.binary())],
                                              names=["id", "n", "node", *_S, "wide"])
-    return _read(docs, id_col, text_col).mapInArrow(measure, f"id {kind}, n long, node long, " + ", ".join(f"{s} long" for s in _S) + ", wide binary")
+    return _read(docs, id_col, text_col).mapInArrow(tidied(measure), f"id {kind}, n long, node long, " + ", ".join(f"{s} long" for s in _S) + ", wide binary")
 
 
 def set_signatures(docs: DataFrame, id_col: str, text_col: str, size: int, limits: Limits) -> DataFrame:
@@ -220,7 +220,7 @@ def set_signatures(docs: DataFrame, id_col: str, text_col: str, size: int, limit
                     sigs, nodes, held = [], [], 0
             if sigs:
                 yield batch_of(sigs, nodes)
-    return _read(docs, id_col, text_col).select("text").mapInArrow(sign, "sig long, node long")
+    return _read(docs, id_col, text_col).select("text").mapInArrow(tidied(sign), "sig long, node long")
 
 
 _MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sig", pa.int64()), ("shared", pa.int64())])
@@ -344,7 +344,7 @@ def _prefix(limits: Limits):
 
 def candidate_links(signatures: DataFrame, nodes: DataFrame, limits: Limits) -> DataFrame:
     """a, b: links that may hold, enough of them to connect whatever similar sets connect."""
-    met = stage_table(signatures.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_meet, "a long, b long, sig long, shared long"))
+    met = stage_table(signatures.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(tidied(_meet), "a long, b long, sig long, shared long"))
     hot = met.filter("sig IS NOT NULL").select("sig", F.col("a").alias("node"))
     often = hot.groupBy("sig").agg(F.count("*").alias("g"))
     hots = hot.groupBy("node").agg(F.count("*").alias("h"))
@@ -368,7 +368,7 @@ def candidate_links(signatures: DataFrame, nodes: DataFrame, limits: Limits) ->
     forced = stage_table(forced)
     shares = forced.groupBy("sig").agg(F.ceil(F.count("*") / _BLOCK).alias("shares"))
     dealt = _blocks(forced.join(shares, "sig").join(nodes.select("node", "n", *_S, "wide"), "node"), "sig", "shares")
-    links = dealt.select("sig", "i", "j", "own", "node", "n", *_S, "wide").mapInArrow(_compare_sketches(limits), "a long, b long")
+    links = dealt.select("sig", "i", "j", "own", "node", "n", *_S, "wide").mapInArrow(tidied(_compare_sketches(limits)), "a long, b long")
     return pairs.union(links)
 
 
@@ -431,7 +431,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     few = F.broadcast(wanted) if wanted.count() <= _BROADCAST else wanted
     texts = _read(docs, id_col, text_col).join(few, "id")
     dealt = _blocks(texts, "root", "shares").select("root", "i", "j", "own", "node", "text")
-    found = components(dealt.mapInArrow(_verify(limits, size), "a long, b long"))
+    found = components(dealt.mapInArrow(tidied(_verify(limits, size)), "a long, b long"))
 
     classed = sets.join(found, "node", "left").select("id", "n", F.when(F.col("n") > 0, F.coalesce("root", "node")).alias("class"))
     least = classed.filter("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least"))

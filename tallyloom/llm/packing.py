@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, stage_table, texts_of
+from .common import arrow_batches, stage_table, texts_of, tidied
 
 END = 1            # id after each document
-_CACHE = 300_000   # words a worker remembers
+_CACHE = 240_000   # words a worker remembers
 _BUCKET = 50_000   # pieces of one length that one task numbers
 
 PLAN = "length int, first long, last long, bin long, copies long, place long"
@@ -108,7 +108,7 @@ def _bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _groups(texts: Iterable[str], most: int = 4 << 20) -> Iterator[list[str]]:
+def _groups(texts: Iterable[str], most: int = 2 << 20) -> Iterator[list[str]]:
     held, size = [], 0
     for text in texts:
         held.append(text)
@@ -147,7 +147,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, i
             yield from arrow_batches(rows(), schema, weight=lambda r: len(r[4]))
 
     read = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return read.mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids binary").withColumnRenamed("id", id_col)
+    return read.mapInArrow(tidied(cut), f"id {kind}, piece int, start long, length long, ids binary").withColumnRenamed("id", id_col)
 
 
 def plan_bins(histogram: list[tuple[int, int]], max_tokens: int = 4096, max_documents: int = 4096, max_attention: int = 4096 * 4096,

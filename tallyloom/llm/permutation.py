@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage_table
+from .common import stage_table, tidied
 
 PIVOTS, ORDER, POST, PROBE = 256, 128, 2, 112
 _BLOCK = 4096
@@ -62,7 +62,7 @@ def index(rows: DataFrame, pivots: np.ndarray, order: int = ORDER) -> DataFrame:
                 near = _nearest(x, pivots, order)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([v.tobytes() for v in x], pa.binary()),
                                                   pa.array([v.tobytes() for v in near], pa.binary())], names=["id", "vec", "near"])
-    return rows.mapInArrow(represent, "id long, vec binary, near binary")
+    return rows.mapInArrow(tidied(represent), "id long, vec binary, near binary")
 
 
 def _search(pivots: int, share: float, least: int, k: int):
@@ -137,7 +137,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, id_col: str =
     asking = held.filter(is_query(F.col("id"))).select("id", "vec", "near", file_of(probe).alias("_p", "file")).join(F.broadcast(blocks), "file")
     asking = asking.select("file", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "id", "vec", "near")
     dealt = posted.union(asking).repartition("file", "block").sortWithinPartitions("file", "block", "asks")
-    found = dealt.mapInArrow(_search(count, share, least, k), "query_id long, vec_id long, score double")
+    found = dealt.mapInArrow(tidied(_search(count, share, least, k)), "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

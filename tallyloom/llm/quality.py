@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage_table
+from .common import stage_table, tidied
 from .learn import Logistic, held_out, teaching_rows
 
 EACH, POOL, ROUNDS, SURE = 4000, 12_000, 6, 400
@@ -116,7 +116,7 @@ def _described(docs: DataFrame, extra: list[str]) -> DataFrame:
             m = [metadata_view(*row) for row in zip(*[batch.column(c).to_pylist() for c in ("source", "lang", "chars")])]
             kind = pa.list_(pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(x, kind), pa.array(m, kind), *[batch.column(c) for c in extra]], names=["x", "m", *extra])
-    return docs.mapInArrow(describe, "x array<double>, m array<double>" + "".join(f", {c} {kinds[c]}" for c in extra))
+    return docs.mapInArrow(tidied(describe), "x array<double>, m array<double>" + "".join(f", {c} {kinds[c]}" for c in extra))
 
 
 def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -162,7 +162,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             x = np.array([text_view(t.as_py()) for t in batch.column("text")])
             m = np.array([metadata_view(*row) for row in zip(*[batch.column(c).to_pylist() for c in ("source", "lang", "chars")])])
             yield pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(s) for s in model.scores(x, m)]], names=["id", "score", "text_score", "metadata_score"])
-    out = _read(docs, id_col, text_col).mapInArrow(scored, f"id {kind}, score double, text_score double, metadata_score double")
+    out = _read(docs, id_col, text_col).mapInArrow(tidied(scored), f"id {kind}, score double, text_score double, metadata_score double")
     return out.withColumnRenamed("id", id_col)
 
 

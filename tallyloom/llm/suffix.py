@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage_table
+from .common import stage_table, tidied
 from .shingles import WordHashes, mix
 
 LEAST = 50
@@ -94,7 +94,7 @@ def suffixes(docs: DataFrame, id_col: str, text_col: str, least: int = LEAST) ->
             if out:
                 yield _columns(out)
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
-    return read.mapInArrow(retain, "key long, after long, before long, id long, pos int")
+    return read.mapInArrow(tidied(retain), "key long, after long, before long, id long, pos int")
 
 
 def _columns(parts: list[tuple]) -> pa.RecordBatch:
@@ -201,12 +201,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         raise ValueError(f"least must exceed {_GRAM}")
     kept = suffixes(docs, id_col, text_col, least)
     dealt = kept.repartition("key").sortWithinPartitions("key", "after", "id", "pos")
-    pairs = stage_table(dealt.mapInArrow(_neighbours, "a long, b long, shift long").groupBy("a", "b").agg(F.collect_set("shift").alias("shifts")))
+    pairs = stage_table(dealt.mapInArrow(tidied(_neighbours), "a long, b long, shift long").groupBy("a", "b").agg(F.collect_set("shift").alias("shifts")))
     ids = stage_table(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct())
     ids = F.broadcast(ids) if ids.count() <= _BROADCAST else ids
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ids, F.col("id") == F.col("_id"), "left_semi")
     joined = (pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")).select("a", "b", "shifts", "text_a", "text_b")
-    spans = joined.mapInArrow(_extended(least), "id long, start long, stop long, other long").distinct()
+    spans = joined.mapInArrow(tidied(_extended(least)), "id long, start long, stop long, other long").distinct()
     order = Window.partitionBy("id").orderBy("start", "stop")
     reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.withColumn("new", (reach.isNull() | (F.col("start") > reach)).cast("int"))

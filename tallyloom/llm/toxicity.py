@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, stage_table
+from .common import Remembered, stage_table, tidied
 from .learn import Logistic, held_out, teaching_rows
 
 EACH = 6000            # documents of either label that teach
@@ -118,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 found = list(set(windows(text)))
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array([label] * len(found), pa.int32())], names=["w", "label"])
 
-    seen = stage_table(sample.select("text", "label").mapInArrow(distinct, "w binary, label int")
+    seen = stage_table(sample.select("text", "label").mapInArrow(tidied(distinct), "w binary, label int")
                        .groupBy("w").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good")))
     least = max(3, bad // 200)
     recurs = f"bad >= {least} AND good * {bad} * 20 <= bad * {good}"
@@ -136,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     spread = sample.repartition(16)
     total = np.full((2, _LONG * _SAVED), 0.5)
-    for r in spread.filter("half = 0").select("text", "label").mapInArrow(counted, "label int, cell long, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).collect():
+    for r in spread.filter("half = 0").select("text", "label").mapInArrow(tidied(counted), "label int, cell long, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).collect():
         total[r["label"], r["cell"]] += r["n"]
     model.ratios = np.log(total[1] / total[1].sum()) - np.log(total[0] / total[0].sum())
 
@@ -145,9 +145,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             rows = [model.features(cells.of(t)).tolist() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column("label")], names=["x", "label"])
-    rows = spread.filter("half = 1").select("text", "label").mapInArrow(described, "x array<double>, label int").collect()
+    rows = spread.filter("half = 1").select("text", "label").mapInArrow(tidied(described), "x array<double>, label int").collect()
     if len({r["label"] for r in rows}) < 2:
-        rows = spread.select("text", "label").mapInArrow(described, "x array<double>, label int").collect()
+        rows = spread.select("text", "label").mapInArrow(tidied(described), "x array<double>, label int").collect()
     rows = sorted((r["label"], *r["x"]) for r in rows)  # one order in every run
     model.fit = Logistic(np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], float))
     return model
@@ -163,7 +163,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([model.score(cells.of(t.as_py())) for t in batch.column("text")], pa.float64())],
                                              names=["id", "score"])
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return read.mapInArrow(scored, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return read.mapInArrow(tidied(scored), f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,4 +182,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         at = schema.fieldNames().index(text_col)
         for batch in batches:
             yield batch.filter(pa.array([model.score(cells.of(t.as_py())) < 0.5 for t in batch.column(at)], pa.bool_()))
-    return docs.mapInArrow(kept, schema)
+    return docs.mapInArrow(tidied(kept), schema)
