@@ -6,23 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import exact, jaccard, mixing, packing, toxicity
-from tallyloom.llm.common import stage_table
+from tallyloom.llm.common import bounded_batches, stage_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression model scores as toxic go; it learns from the labelled ones among ``docs``."""
-    return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.keep_clean(docs, bounded_batches(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the smallest id stays."""
+    bounded_batches(spark)
     return exact.keep_one(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of five-word shingles at 0.75 connect, the one with the smallest id stays."""
+    bounded_batches(spark)
     return jaccard.keep_representatives(docs)
 
 
@@ -33,6 +35,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, each with its place in a sequence of 4096 tokens."""
+    bounded_batches(spark)
     return packing.pack_documents(docs, TOKENIZER, 4096)
 
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, stage_table
@@ -15,7 +15,7 @@ from ..session import cut_lineage, stage_table
 # A word is a longest run of characters that are no ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "Remembered", "arrow_batches", "cut_lineage", "fresh", "prefix_sums", "stage_table", "texts_of", "tidied"]
+__all__ = ["WORD", "Remembered", "arrow_batches", "bounded_batches", "cut_lineage", "fresh", "prefix_sums", "stage_table", "texts_of", "tidied"]
 
 
 def arrow_batches(rows: Iterable[tuple], schema: pa.Schema, most_rows: int = 4096, most_bytes: int = 16 << 20,
@@ -64,6 +64,17 @@ class Remembered(dict):
         return value
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Arrow batches of 1000 rows where the session has Spark's default of 10,000.
+
+    Rows here are whole texts; a batch lies in an executor's memory outside its heap, and once more in the Python worker.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+    return spark
+
+
 def tidied(task):
     """A task for mapInArrow that gives freed memory back to the system when it ends.
 

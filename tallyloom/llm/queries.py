@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, exact, jaccard, mixing, packing, permutation, quality, suffix, toxicity, warc
+from .common import bounded_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,7 +26,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query("op1_best_fit_packing")
