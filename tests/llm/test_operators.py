@@ -473,3 +473,62 @@ def test_repeated_passages(docs, texts, empty):
     assert suffix.repeated_passages(empty).count() == 0
     with pytest.raises(ValueError, match="exceed"):
         suffix.repeated_passages(docs, least=10)
+
+
+def _all_repeated(texts, least=50):
+    """(id, start, words, smallest other id) of every stretch, by brute force."""
+    where, want = defaultdict(list), set()
+    for k, t in texts.items():
+        w = t.split()
+        for i in range(len(w) - least + 1):
+            where[tuple(w[i:i + least])].append((k, i))
+    spans = defaultdict(list)
+    for group in where.values():
+        ids = sorted({k for k, _ in group})[:2]
+        if len(ids) > 1:
+            for k, i in group:
+                spans[k].append((i, ids[k == ids[0]]))
+    for k, found in spans.items():
+        start, stop, other = None, None, None
+        for i, o in sorted(found):
+            if start is not None and i <= stop:
+                stop, other = i + least, min(other, o)
+                continue
+            if start is not None:
+                want.add((k, start, stop - start, other))
+            start, stop, other = i, i + least, o
+        want.add((k, start, stop - start, other))
+    return want
+
+
+def _found(spark, texts, **how):
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    return {tuple(r[c] for c in ("doc_id", "start_word", "n_words", "other_id")) for r in _collect(suffix.repeated_passages(df, **how))}
+
+
+def test_repeated_passages_before_a_phrase_of_very_many_documents(spark):
+    rng = np.random.default_rng(8)
+    phrase, out = _words(rng, 40), {}
+    for k in range(200):  # pairs that share 12 or 15 words before the phrase and go on differently
+        shared = _words(rng, 12 + 3 * (k % 2), 10**6)
+        for _ in range(2):
+            out[len(out)] = " ".join(_words(rng, 3, 10**6) + shared + phrase + _words(rng, 15, 10**6))
+    while len(out) < 20_000:
+        out[len(out)] = " ".join(_words(rng, 3, 10**6) + phrase + _words(rng, 15, 10**6))
+    ids = rng.permutation(len(out)).tolist()
+    out = {ids[k]: t for k, t in out.items()}
+    want = _all_repeated(out)
+    assert len(want) == 400
+    assert _found(spark, out) == want
+    assert _found(spark, out, held=1000) == want
+
+
+def test_repeated_passages_in_periodic_words(spark):
+    rng = np.random.default_rng(9)
+    out = {}
+    for period in (1, 2, 7, 27, 40):
+        cycle = _words(rng, period, 10**6)
+        for n in (49, 50, 51, 90, 500, 501):
+            for _ in range(2):
+                out[len(out)] = " ".join(_words(rng, 5, 10**6) + (cycle * n)[:n] + _words(rng, 5, 10**6) + (cycle * n)[n // 2:n])
+    assert _found(spark, out) == _found(spark, out, held=4) == _all_repeated(out)
