@@ -45,7 +45,8 @@ class _WordIds:
 
     The pre-tokenizer never joins characters across white space and letters are lowered first, so a text's ids are those of
     its words in order, whatever the case of A-Z. That is checked against the whole text for one text of each worker, which
-    fails with another kind of tokenizer file.
+    fails with another kind of tokenizer file. Added tokens are found before letters are lowered, so a text that holds one, in
+    whatever case, is encoded whole; so is every text if an added token is looked for in normal forms.
     """
 
     def __init__(self, path: str):
@@ -53,9 +54,15 @@ class _WordIds:
         from tokenizers import Tokenizer
         self.tokenizer, self.known, self.old, self.checked = Tokenizer.from_file(path), {}, {}, False
         self.model = self.tokenizer.model
+        self.added = [b"" if t.normalized else t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
         self.spelled = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters})
 
+    def split(self, text: str) -> list[bytes] | None:
+        """The lowered words of a text; None if it is to be encoded whole."""
+        lowered = text.encode().lower()
+        return None if any(token in lowered for token in self.added) else lowered.split()
+
     def letters(self, word: bytes) -> bytes:
         """Ids of letters, which the pre-tokenizer leaves whole and only spells by bytes."""
         return _bytes([t.id for t in self.model.tokenize(word.decode().lower().translate(self.spelled))])
@@ -95,7 +102,9 @@ class _WordIds:
         for word, stem, tail in tails:
             known[word] = known[stem] + known[tail]
 
-    def ids(self, text: str, words: list[bytes]) -> bytes:
+    def ids(self, text: str, words: list[bytes] | None) -> bytes:
+        if words is None:
+            return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         out = b"".join(map(self.known.__getitem__, words))
         if not self.checked and words:
             self.checked = True
@@ -137,8 +146,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, i
             def rows():
                 keys = iter(batch.column("id").to_pylist())
                 for texts in _groups(texts_of(batch)):
-                    split = [t.encode().lower().split() for t in texts]
-                    words_ids.learn(set().union(*split))
+                    split = [words_ids.split(t) for t in texts]
+                    words_ids.learn(set().union(*filter(None, split)))
                     for text, words in zip(texts, split):
                         key, ids = next(keys), words_ids.ids(text, words) + end
                         for k, at in enumerate(range(0, len(ids), step)):

@@ -294,6 +294,18 @@ def test_words_alone_are_the_whole_text():
         assert ids.ids(text, words) == np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
+def test_added_tokens_are_single_ids_where_the_whole_text_has_them(spark):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = ["plain words first", "<|endoftext|>", "one <|endoftext|> two", "foo<|endoftext|>", "<|endoftext|>, bar", "x<|ENDOFTEXT|>y",
+             "<|StartOfText|>A<|startoftext|>B", "<|endoftext|><|endoftext|>\n<|endoftext", "<|endoftext |>", "É<|endoftext|>é", "last words"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in _collect(packing.token_pieces(df, TOKENIZER))}
+    assert got == {k: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for k, t in enumerate(texts)}
+    assert got[1] == [49407, 1] and 49407 not in got[5]
+    rows = _collect(packing.pack_documents(df, TOKENIZER))
+    assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in rows} == {k: (len(ids), packing.crc32(ids)) for k, ids in got.items()}
+
+
 # ---------------------------------------------------------------- nearest neighbours
 
 def test_nearest_neighbours(spark):
