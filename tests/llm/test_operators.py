@@ -544,3 +544,14 @@ def test_repeated_passages_in_periodic_words(spark):
             for _ in range(2):
                 out[len(out)] = " ".join(_words(rng, 5, 10**6) + (cycle * n)[:n] + _words(rng, 5, 10**6) + (cycle * n)[n // 2:n])
     assert _found(spark, out) == _found(spark, out, held=4) == _all_repeated(out)
+
+
+def test_repeated_passages_of_templates(spark):
+    """Header, core and footer: a passage stands where both header and footer agree, and neighbours in either order do not."""
+    rng = np.random.default_rng(10)
+    headers, footers = ([_words(rng, 12, 10**6) for _ in range(40)] for _ in range(2))
+    core = _words(rng, 30, 10**6)
+    out = {k: " ".join(_words(rng, 3, 10**6) + headers[rng.integers(40)] + core + footers[rng.integers(40)] + _words(rng, 3, 10**6)) for k in range(3000)}
+    want = _all_repeated(out)
+    assert len(want) > 2000
+    assert _found(spark, out) == want
