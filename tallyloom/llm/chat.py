@@ -31,6 +31,7 @@ class Mapping:
     fields: tuple[tuple[str, str], ...] = ()
     each: tuple[str, str, str] | None = None  # list, role inside it, text inside it
     optional: frozenset[str] = field(default_factory=frozenset)
+    renamed: bool = True  # roles get their canonical names
 
     def paths(self) -> set[str]:
         own = {p for _, p in self.fields}
@@ -44,7 +45,7 @@ MAPPINGS = (
     Mapping("messages", each=("messages", "role", "content")),
     Mapping("conversations", each=("conversations", "from", "value")),
     Mapping("nested", each=("data.dialog", "speaker", "utterance")),
-    Mapping("turns", each=("turns", "role", "text"), optional=frozenset({"turns[].role", "turns[].text"})),
+    Mapping("turns", each=("turns", "role", "text"), optional=frozenset({"turns[].role", "turns[].text"}), renamed=False),
 )
 
 
@@ -81,14 +82,15 @@ class Registry:
         return self.by_print.get(fingerprint(p for p in field_paths(record) if p in self.vocabulary))
 
     def turns(self, record: dict) -> tuple[str | None, list[tuple[str, str]]]:
-        """Name of the layout and the turns, roles under their canonical names; (None, []) for an unknown layout."""
+        """Name of the layout and the turns, roles of foreign layouts under their canonical names; (None, []) for an unknown layout."""
         found = self.mapping(record)
         if found is None:
             return None, []
         if found.each:
             inner = _at(record, found.each[0])
             rows = [m for m in inner if isinstance(m, dict)] if isinstance(inner, list) else []
-            return found.name, [(_role(m.get(found.each[1])), _text(m.get(found.each[2]))) for m in rows]
+            name = _role if found.renamed else _text
+            return found.name, [(name(m.get(found.each[1])), _text(m.get(found.each[2]))) for m in rows]
         out: list[tuple[str, str]] = []
         for role, path in found.fields:
             text = _at(record, path)

@@ -555,3 +555,15 @@ def test_repeated_passages_of_templates(spark):
     want = _all_repeated(out)
     assert len(want) > 2000
     assert _found(spark, out) == want
+
+
+# ---------------------------------------------------------------- roles of the own layout
+
+def test_roles_of_turns_stay_as_they_stand(spark):
+    said = [("human", "hi"), ("gpt", "yo"), ("assistant", "ok")]
+    rows = spark.createDataFrame([(1, k, r, t) for k, (r, t) in enumerate(said)], "conv_id long, turn long, role string, text string")
+    got, = _collect(chat.read_back(chat.format_records(chat.conversation_records(rows), "conv_id"), "conv_id"))
+    assert got["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest()
+    assert got["loss_chars"] == 2 and got["loss_sha256"] == hashlib.sha256(b"ok").hexdigest()
+    foreign = {"conversations": [{"from": r, "value": t} for r, t in said]}
+    assert chat.Registry().turns(foreign) == ("conversations", [("user", "hi"), ("assistant", "yo"), ("assistant", "ok")])
