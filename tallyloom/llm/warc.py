@@ -88,10 +88,14 @@ def write_archive(pages: DataFrame, path: str | None = None, id_col: str = "page
 def read_headers(spark: SparkSession, archive: Archive) -> DataFrame:
     """page_id, header, address, and what the header says: record_type, digest, length, refers_to."""
     held = spark.read.parquet(archive.headers)
+    return held.select("page_id", "header", "address", *_said())
+
+
+def _said() -> list[Column]:
+    """record_type, digest, length, refers_to of a column ``header``."""
     said = lambda name, form: F.nullif(F.regexp_extract("header", f"\n{name}: {form}\r\n", 1), F.lit(""))
-    return held.select("page_id", "header", "address", said("WARC-Type", "(\\w+)").alias("record_type"),
-                       said("WARC-Payload-Digest", "sha1:(\\w+)").alias("digest"), said("Content-Length", "(\\d+)").cast("long").alias("length"),
-                       said("WARC-Refers-To", "<urn:page:(-?\\d+)>").cast("long").alias("refers_to"))
+    return [said("WARC-Type", "(\\w+)").alias("record_type"), said("WARC-Payload-Digest", "sha1:(\\w+)").alias("digest"),
+            said("Content-Length", "(\\d+)").cast("long").alias("length"), said("WARC-Refers-To", "<urn:page:(-?\\d+)>").cast("long").alias("refers_to")]
 
 
 def read_payloads(spark: SparkSession, archive: Archive) -> DataFrame:
@@ -103,7 +107,9 @@ def read_payloads(spark: SparkSession, archive: Archive) -> DataFrame:
 
 def reconstruct(spark: SparkSession, archive: Archive) -> DataFrame:
     """page_id, record (bytes of the WARC record, as written to a file), payload (also of a record that revisits another)."""
-    joined = read_headers(spark, archive).join(read_payloads(spark, archive), "address")
+    joined = read_headers(spark, archive).join(read_payloads(spark, archive), "address", "left")
+    lost = F.raise_error(F.lit("header and payload disagree")).cast("binary")
+    joined = joined.withColumn("payload", F.coalesce("payload", lost))
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     return joined.select("page_id", F.concat(F.col("header").cast("binary"), body, F.lit((_CRLF * 2).encode())).alias("record"), "payload")
 
@@ -111,13 +117,18 @@ def reconstruct(spark: SparkSession, archive: Archive) -> DataFrame:
 def archive_facts(spark: SparkSession, archive: Archive) -> DataFrame:
     """Per record, read back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Bytes and digest are computed from the stored payload, once for each, and must agree with the header.
+    All is read from the reconstructed records: the header from a record's bytes, bytes and digest computed from its joined
+    payload, which must agree with the header and with the record's body.
     """
-    facts = read_payloads(spark, archive).select("address", "bytes", "sha1")
-    joined = read_headers(spark, archive).join(facts, "address", "left")
-    agrees = (F.col("digest") == F.col("sha1")) & (F.col("length") == F.when(F.col("record_type") == "revisit", 0).otherwise(F.col("bytes")))
-    digest = F.when(agrees, F.col("sha1")).otherwise(F.raise_error(F.lit("header and payload disagree")).cast("string"))
-    return joined.select("page_id", F.col("bytes").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to")
+    whole = reconstruct(spark, archive)
+    header = F.concat(F.substring_index(F.col("record").cast("string"), _CRLF * 2, 1), F.lit(_CRLF))
+    read = whole.select("page_id", "record", "payload", header.alias("header")).select("*", *_said())
+    body = F.expr("substring(record, octet_length(header) + 3, octet_length(record) - octet_length(header) - 6)")
+    stored = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
+    sha1 = base32_sha1(F.col("payload"))
+    agrees = (F.col("digest") == sha1) & (F.col("length") == F.octet_length(body)) & (body == stored)
+    digest = F.when(agrees, F.col("digest")).otherwise(F.raise_error(F.lit("header and payload disagree")).cast("string"))
+    return read.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to")
 
 
 def export_files(spark: SparkSession, archive: Archive, path: str) -> None:

@@ -567,3 +567,16 @@ def test_roles_of_turns_stay_as_they_stand(spark):
     assert got["loss_chars"] == 2 and got["loss_sha256"] == hashlib.sha256(b"ok").hexdigest()
     foreign = {"conversations": [{"from": r, "value": t} for r, t in said]}
     assert chat.Registry().turns(foreign) == ("conversations", [("user", "hi"), ("assistant", "yo"), ("assistant", "ok")])
+
+
+def test_archive_facts_are_read_from_the_records(spark, monkeypatch):
+    pages = spark.createDataFrame([(1, "u", "<p>WARC-Refers-To: <urn:page:9>\r\n\r\né"), (2, None, "same"), (3, "u", "same"), (4, "u", None)],
+                                  "page_id long, url string, html string")
+    archive = warc.write_archive(pages, least=0)
+    got = {r["page_id"]: (r["payload_bytes"], r["record_type"], r["refers_to"]) for r in _collect(warc.archive_facts(spark, archive))}
+    assert got == {1: (37, "response", None), 2: (4, "revisit", 3), 3: (4, "response", None), 4: (0, "response", None)}
+    whole = warc.reconstruct
+    spoilt = F.expr("CAST(replace(CAST(record AS STRING), 'same', 'lame') AS BINARY)")
+    monkeypatch.setattr(warc, "reconstruct", lambda *a: whole(*a).withColumn("record", spoilt))
+    with pytest.raises(Exception, match="disagree"):
+        warc.archive_facts(spark, archive).collect()
