@@ -2,8 +2,8 @@
 
 Periods fall into octaves [2^k, 2^(k+1)). A run of an octave is at least four periods long, so it holds an *anchor*, a multiple of
 S = 2^(k+1), with more than 2^k words that are repeated one period later. A document is exploded into overlapping tiles
-around such anchors, S words back and 2.5 S ahead; hashes of blocks, doubled from octave to octave, tell at which anchors
-that can be (they miss none), so text without periods makes no tiles. Tiles are rows of their own, dealt over all tasks
+around such anchors, S words back and 2.5 S ahead; hashes of blocks, doubled from octave to octave, tell in which octaves and
+at which anchors that can be (they miss none), so text without periods makes no tiles. Tiles are rows of their own, dealt over all tasks
 whatever document they come from. A tile is solved alone: Z-functions on both sides of its anchor give for every period
 the words that agree, hence a fragment of a run, whole or cut off at the tile's border. Fragments are shuffled by document and
 period, and those that overlap by a period are stitched; the runs of a document are then put together and taken back to its words.
@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batches, stage_table, tidied
 
-_ROWS = 33  # bits for the number of a row inside its partition
+_ROWS = 33           # bits for the number of a row inside its partition
+_TOGETHER = 1 << 16  # words of documents whose anchors are found in one sweep
 _ODD, _MULT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 Shape = Callable[[object, list[bytes]], list[bytes]]
@@ -43,24 +45,38 @@ def doubled(now: np.ndarray, width: int) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * _MULT
 
 
-def anchors(ids: np.ndarray, times: int, least: int) -> Iterator[tuple[int, int]]:
-    """(octave, anchor) of every tile that can hold a fragment of a run of ``times`` periods and ``least`` words."""
+def _repeated(hashes: np.ndarray, step: int, low: int) -> np.ndarray:
+    """Multiples x of ``step`` whose block comes again at a place from x + low to x + 2 * low - 1."""
+    # a block against all blocks a period of this octave later, place by place as rows of one table
+    whole = max(0, (len(hashes) - 2 * low) // step + 1)
+    at = np.arange(whole) * step
+    later = np.lib.stride_tricks.as_strided(hashes[low:], (whole, low), (hashes.strides[0] * step, hashes.strides[0]))
+    found = at[(later == hashes[at][:, None]).any(axis=1)]
+    # blocks near the end have fewer places to come again
+    rest = [x for x in range(whole * step, len(hashes) - low, step) if (hashes[x + low:] == hashes[x]).any()]
+    return np.append(found, rest).astype(np.int64)
+
+
+def anchors(ids: np.ndarray, starts: np.ndarray, times: int, least: int) -> Iterator[tuple[int, int, int]]:
+    """(document, octave, place in ``ids``) of every tile that can hold a fragment of a run of ``times`` periods and ``least`` words.
+
+    ``ids`` are the words of documents one after another, which begin at ``starts``; anchors are counted from the first word of all,
+    so that a document's tiles depend on where it stands, but not the runs they make up. A run of an octave begins at
+    most 2^k - 1 words before a multiple of 2^k, where more than 2^(k+1) words are repeated a period later. In
+    a document without such a place an octave has no run, and no tiles.
+    """
+    longest = int(np.diff(np.append(starts, len(ids))).max(initial=0))
     hashes, k = block_hashes(ids), 0
-    while max(least, times << k) <= len(ids) and len(hashes):
-        low, step = 1 << k, 2 << k
-        # a block at an anchor against all blocks a period of this octave later, anchor by anchor as rows of one table
-        whole = len(hashes) // step
-        found = []
-        if whole:
-            at = np.arange(whole) * step
-            later = np.lib.stride_tricks.as_strided(hashes[low:], (whole, low), (hashes.strides[0] * step, hashes.strides[0]))
-            found = at[(later == hashes[at][:, None]).any(axis=1)].tolist()
-        rest = whole * step
-        if rest + low < len(hashes) and (hashes[rest + low:rest + step] == hashes[rest]).any():
-            found.append(rest)
-        for x in found:
-            yield k, x
-        hashes, k = doubled(hashes, low), k + 1
+    while max(least, times << k) <= longest:
+        longer = doubled(hashes, 1 << k)
+        marked = np.unique(np.searchsorted(starts, _repeated(longer, 1 << k, 1 << k), "right"))
+        if len(marked):
+            places = _repeated(hashes, 2 << k, 1 << k)
+            own = np.searchsorted(starts, places, "right")
+            at = np.isin(own, marked)
+            for doc, x in zip((own[at] - 1).tolist(), places[at].tolist()):
+                yield doc, k, x
+        hashes, k = longer, k + 1
 
 
 def tile_bounds(octave: int, anchor: int, n: int) -> tuple[int, int]:
@@ -116,36 +132,44 @@ def solve_tile(words: list[int], octave: int, at: int) -> Iterator[tuple[int, in
 def _exploded(shape: Shape | None, times: int, least: int, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = None
+        number = TaskContext.get().partitionId() << _ROWS
 
         def rows():
             nonlocal schema
-            number = (TaskContext.get().partitionId() << _ROWS) - 1
+            held, size = [], 0
             for batch in batches:
                 schema = schema or pa.schema([("no", pa.int64()), ("id", batch.schema.field("id").type), ("kept", pa.string()), ("sha", pa.string()),
                                               ("octave", pa.int32()), ("anchor", pa.int64()), ("n", pa.int64()), ("words", pa.binary())])
                 for key, text in zip(batch.column("id"), batch.column("text")):
-                    number += 1
                     key = key.as_py()
                     words = (text.as_py() or "").encode().split()
-                    if shape:
-                        words = shape(key, words)
-                    known = {w: i for i, w in enumerate(dict.fromkeys(words))}
-                    ids = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
-                    tiles = False
-                    for k, x in anchors(ids, times, least):
-                        lo, hi = tile_bounds(k, x, len(ids))
-                        tiles = True
-                        yield number, None, None, None, k, x, len(ids), ids[lo:hi].tobytes()
-                    joined = b" ".join(words)
-                    yield number, key, joined.decode() if tiles or texts else None, hashlib.sha256(joined).hexdigest(), None, None, None, None
+                    held.append((key, shape(key, words) if shape else words))
+                    size += len(words)
+                    if size >= _TOGETHER or len(held) >= _TOGETHER // 64:
+                        yield from exploded(held)
+                        held, size = [], 0
+            yield from exploded(held)
+
+        def exploded(docs):
+            nonlocal number
+            known = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(words for _, words in docs)))}
+            starts = np.cumsum([0] + [len(words) for _, words in docs])
+            ids = np.fromiter(map(known.__getitem__, chain.from_iterable(words for _, words in docs)), np.int32, int(starts[-1]))
+            tiled = set()
+            for doc, k, x in anchors(ids, starts[:-1], times, least):
+                first, n = int(starts[doc]), int(starts[doc + 1] - starts[doc])
+                lo, hi = tile_bounds(k, x - first, n)
+                tiled.add(doc)
+                yield number + doc, None, None, None, k, x - first, n, ids[first + lo:first + hi].tobytes()
+            for doc, (key, words) in enumerate(docs):
+                joined = b" ".join(words)
+                yield number + doc, key, joined.decode() if texts or doc in tiled else None, hashlib.sha256(joined).hexdigest(), None, None, None, None
+            number += len(docs)
 
         stream = rows()
         first = next(stream, None)
         if first is not None:
-            def chained():
-                yield first
-                yield from stream
-            yield from arrow_batches(chained(), schema, weight=lambda r: len(r[2] or r[7] or ""))
+            yield from arrow_batches(chain([first], stream), schema, weight=lambda r: len(r[2] or r[7] or ""))
     return run
 
 
