@@ -248,7 +248,8 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     best = F.min_by(F.struct("start", "length", "period"), F.struct((-F.col("length")).alias("l"), "start", "period"))
     per = stage_table(runs.groupBy("no").agg(F.count("*").alias("n_runs"), best.alias("best"), listed.alias("runs")))
 
-    held = rows.filter(F.col("kept").isNotNull()).select("no", "kept").join(per.select("no", "runs"), "no")
+    # both sides grow with the documents, so they are shuffled at every size
+    held = rows.filter(F.col("kept").isNotNull()).select("no", "kept").join(per.select("no", "runs").hint("merge"), "no")
     collapsed = held.mapInArrow(tidied(_collapse), _COLLAPSED)
     if not texts:
         collapsed = collapsed.select("no", F.sha2("collapsed", 256).alias("collapsed_sha256"))
