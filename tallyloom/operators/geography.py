@@ -12,8 +12,9 @@ from pyspark.sql.window import Window
 
 from ..functions.nulls import join_null_safe
 from ..functions.text import title_case
+from ..session import stage_table
 from ..sources.tables import drop_empty_columns
-from .ordered import BLOCK, last_seen
+from .ordered import BLOCKS, last_seen
 
 CODE = r"[0-9]{5}"
 
@@ -23,7 +24,7 @@ def level_column(prefix: str, level: int) -> str:
 
 
 def hierarchy_flatten(df: DataFrame, prefix: str, levels: Sequence[int] = range(5), pos: str = "pos",
-                      by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
+                      by: Sequence[str] = (), blocks: int = BLOCKS) -> DataFrame:
     """Ancestor of each row per level, from a list in which every area follows its ancestors.
 
     The ancestor at level l is the last earlier row at level l or above, provided it is at level l
@@ -31,7 +32,7 @@ def hierarchy_flatten(df: DataFrame, prefix: str, levels: Sequence[int] = range(
     """
     seen = {f"__seen{lv}": F.when(F.col("level") <= lv, F.struct(F.col("level").alias("lv"), F.col("id").alias("id")))
             for lv in levels}
-    marked = last_seen(df, pos, seen, by, block)
+    marked = last_seen(df, pos, seen, by, blocks)
     ancestor = {lv: F.when(F.col(f"__seen{lv}.lv") == lv, F.col(f"__seen{lv}.id")) for lv in levels}
     above = [F.when(F.col("level") > lv, ancestor[lv]) for lv in reversed(list(levels))]
     return marked.withColumns({
@@ -112,8 +113,11 @@ def deepest_level_map(flat: DataFrame, successors: DataFrame, prefix: str, newer
 
 
 def version_map(flat: DataFrame, recodes: DataFrame, newer: DataFrame, prefix: str, newer_prefix: str) -> DataFrame:
-    """A version with, for every area at every level, its counterpart in the next version."""
-    successors = successor_map(flat, recodes, newer, prefix, newer_prefix)
+    """A version with, for every area at every level, its counterpart in the next version.
+
+    The successors are the members of the crosswalk, rows of the result and the parents of the finest level: computed once.
+    """
+    successors = stage_table(successor_map(flat, recodes, newer, prefix, newer_prefix))
     crosswalk = set_equality_crosswalk(successors, range(4), prefix, newer_prefix)
     uppers = upper_level_maps(flat, crosswalk, prefix, newer_prefix)
     out = uppers.unionByName(successors, allowMissingColumns=True)
@@ -128,6 +132,32 @@ def chained_map(first: DataFrame, second: DataFrame, middle: str, last: str) ->
     return join_null_safe(first, onward, [middle])
 
 
+def version_chains(steps: DataFrame, versions: Sequence[int], id_col: str = "id", next_col: str = "next_id") -> DataFrame:
+    """(version, id, target, target_id): what every area of every version is in each later one.
+
+    ``steps`` has version, id and next_id: an area and what it became in the version after its own. ``versions`` lists
+    the registered versions. Areas that merged share a successor; one that was divided has several rows, and so have all chains
+    through it. An area without successor, or whose successor the next version does not list, ends there. Chains of up to
+    2^k steps are joined with those of 2^k steps to make all longer ones up to twice as long, so any number of versions takes
+    as many rounds as its logarithm, each of them one equi join over a staged table; every chain is made once.
+    """
+    ranks = {v: i for i, v in enumerate(sorted(versions))}
+    rank = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair]) if ranks else F.lit(None).cast("map<int,int>")
+    own = steps.select(F.try_element_at(rank, F.col("version").cast("int")).alias("from"), F.col(id_col).alias("id"), F.col(next_col).alias("to_id"))
+    chains = own.where("from IS NOT NULL AND id IS NOT NULL AND to_id IS NOT NULL").distinct()
+    chains = stage_table(chains.select("from", "id", (F.col("from") + 1).alias("to"), "to_id").where(F.col("to") < len(ranks)))
+    length = 1
+    while length < len(ranks) - 1:
+        head = chains.where(F.col("to") - F.col("from") == length).select("from", "id", F.col("to").alias("mid"), F.col("to_id").alias("mid_id"))
+        tail = chains.select(F.col("from").alias("mid"), F.col("id").alias("mid_id"), "to", "to_id")
+        longer = head.join(tail, ["mid", "mid_id"]).select("from", "id", "to", "to_id")
+        chains = stage_table(chains.unionByName(longer.distinct()))
+        length *= 2
+    names = F.array(*[F.lit(v) for v in ranks]) if ranks else F.array().cast("array<int>")
+    at = lambda c: F.get(names, F.col(c)).alias({"from": "version", "to": "target"}[c])
+    return chains.select(at("from"), F.col("id").alias(id_col), at("to"), F.col("to_id").alias("target_id"))
+
+
 @dataclass(frozen=True)
 class MergedVersion:
     """An earlier version in which some areas were one and a level did not exist."""

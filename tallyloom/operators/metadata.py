@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions.messages import OffendersError, require_none
 from ..functions.nulls import filter_out, join_null_safe
 from ..sources.tables import require_columns
+from .ordered import last_before
 from .ranking import group_size, slice_best
 
 # Required columns of each metadata table.
@@ -69,6 +70,15 @@ def version_as_of(requests: DataFrame, versions: DataFrame, year: str, version:
     return join_null_safe(requests, valid, {year: "__year"})
 
 
+def valid_versions(rows: DataFrame, at: str, versions: DataFrame, since: str, values: Sequence[str], by: Sequence[str] = (),
+                   until: str | None = None) -> DataFrame:
+    """Adds to each row the ``values`` of the version of its key that holds at the row's own date; NULL if none does.
+
+    A version holds from ``since`` to the next one of its key, or to ``until`` where that comes first. See last_before.
+    """
+    return last_before(rows, at, versions, since, values, by, until)
+
+
 def lookup_counts(requested: DataFrame, registry: DataFrame, key: str) -> DataFrame:
     """For every requested key the number of registry rows and a status: missing, ok or multiple."""
     found = join_null_safe(requested.select(key).distinct(), group_size(registry, [key], "n"), [key])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -60,25 +61,50 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("surv_id",)
 
 
 def publish_by_key(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = ()) -> None:
-    """Publish many small tables (code lists, margins) as one table, partitioned by key."""
+    """Publish many small tables (code lists, margins) as one table, partitioned by key.
+
+    The schema is kept with the table, as folder names lose the types of keys. A table that gains columns keeps the ones it had;
+    a column that changes its type is an error.
+    """
+    spark = df.sparkSession
+    known = published_schema(spark, path)
+    fields = {f.name: f for f in known.fields} if known else {}
+    changed = [f.name for f in df.schema if f.name in fields and fields[f.name].dataType != f.dataType]
+    if changed:
+        raise SchemaError(f"columns of {path} with another type: {', '.join(changed)}")
+    if not known or any(f.name not in fields for f in df.schema):
+        merged = T.StructType([T.StructField(f.name, f.dataType) for f in {**fields, **{f.name: f for f in df.schema}}.values()])
+        spark.createDataFrame([(merged.json(),)], "value string").coalesce(1).write.mode("overwrite").text(_schema_path(path))
     df = df.hint("rebalance", *[F.col(k) for k in keys])
     if order:
         df = df.sortWithinPartitions(*keys, *order)
     write_partitioned(df, path, keys)
 
 
+def _schema_path(path: str) -> str:
+    return f"{path.rstrip('/')}/_schema"
+
+
+def published_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema kept with a published table, if there is one."""
+    try:
+        kept = spark.read.text(_schema_path(path), wholetext=True).first()
+    except AnalysisException:
+        return None
+    return T.StructType.fromJson(json.loads(kept[0])) if kept else None
+
+
 def read_published(spark: SparkSession, path: str, drop_empty: bool = False, **key) -> DataFrame:
     """Read one published table back; partition pruning leaves only its own files.
 
-    With ``drop_empty`` the columns that hold no value for this key are left out, which
-    takes one aggregate over the pruned files.
+    Columns have the types they were published with, keys that are not asked for too; in a table without kept schema
+    keys have the type that their folder names suggest. With ``drop_empty`` the columns that hold no value for this key are left
+    out, which takes one aggregate over the pruned files.
     """
-    # a key of digits is a text with leading zeros: partition values keep the type they are asked for in
-    files = spark.read.option("recursiveFileLookup", "false").parquet(path)
-    kinds = {name: T.StringType() if isinstance(value, str) else files.schema[name].dataType for name, value in key.items()}
-    df = spark.read.schema(T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in files.schema])).parquet(path)
+    schema = published_schema(spark, path)
+    df = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
     for name, value in key.items():
-        df = df.where(F.col(name) == F.lit(value)).drop(name)
+        df = df.where(F.col(name) == F.lit(value).cast(df.schema[name].dataType)).drop(name)
     return drop_empty_columns(df) if drop_empty else df
 
 

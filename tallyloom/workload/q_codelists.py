@@ -161,6 +161,24 @@ def chained(x):
     return geography.chained_map(_successors(x).select("id", "y"), second, "y", "z")
 
 
+# six versions of areas: in every version some merge into their neighbour and some end
+_CHAIN_YEARS = [1977, 1995, 2003, 2011, 2019, 2025]
+_STEP = "\nUNION ALL ".join(
+    f"SELECT {v} AS version, c_custkey AS id, CASE WHEN (c_custkey + {i}) % 11 = 0 THEN NULL WHEN c_custkey % {i + 2} = 1 THEN c_custkey - 1 ELSE c_custkey END AS next_id FROM customer"
+    for i, v in enumerate(_CHAIN_YEARS[:-1]))
+_NEXT = " ".join(f"WHEN {a} THEN {b}" for a, b in zip(_CHAIN_YEARS, _CHAIN_YEARS[1:]))
+
+
+@query("version_chains", f"""
+WITH RECURSIVE s AS ({_STEP}),
+r AS (SELECT version, id, CASE version {_NEXT} END AS target, next_id AS target_id FROM s WHERE next_id IS NOT NULL
+  UNION ALL SELECT r.version, r.id, CASE r.target {_NEXT} END, s.next_id FROM r JOIN s ON s.version = r.target AND s.id = r.target_id WHERE s.next_id IS NOT NULL)
+SELECT version, id, target, target_id FROM r""")
+def chains(x):
+    """What every area of six versions is in each later one."""
+    return geography.version_chains(x.sql(_STEP), _CHAIN_YEARS)
+
+
 # regions at level 1 and nations at level 2: nations 2 and 3 were one before
 _VERSION = """SELECT CONCAT('r', CAST(r_regionkey AS VARCHAR(4))) AS id, 1 AS level, 'top' AS parent_id, r_name AS label_nl, r_name AS label_fr, r_name AS label_en,
   'top' AS Blvl0, CONCAT('r', CAST(r_regionkey AS VARCHAR(4))) AS Blvl1, CAST(NULL AS VARCHAR(20)) AS Blvl2, CAST(NULL AS VARCHAR(20)) AS Blvl3, r_name AS Clvl1, CAST(NULL AS VARCHAR(20)) AS Clvl2, r_name AS C FROM region

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.metadata import version_as_of
-from ..plans.population import margins_all_years as all_years
+from ..plans import population
+from ..sources import versions
 from ..sources.tables import (publish_by_key, read_published, scan_table, scan_table_set, write_csv,
                               write_partitioned)
 from .inputs import oracle
@@ -78,7 +79,7 @@ def csv(x):
     return scan_table(x.spark, path, fmt="csv", schema="s_suppkey bigint, s_name string, s_nationkey int")
 
 
-@query("margins_all_years", oracle("""
+_YEARS = oracle("""
 WITH y AS (SELECT DISTINCT CAST(year AS INT) AS year FROM (VALUES (2021), (2022), (2023), (2024), (2025)) AS t(year)),
 va AS (SELECT 2019 AS version, n_nationkey AS value, r_name AS target_value FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20
        UNION ALL SELECT 2024, n_nationkey, CASE WHEN n_nationkey = 3 THEN 'moved' ELSE r_name END FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 22),
@@ -92,13 +93,31 @@ p AS (SELECT y.year, CASE CD_SEX WHEN 1 THEN 'male' WHEN 2 THEN 'female' END AS
 m AS (SELECT year, 'sex' AS covariate, sex AS category FROM p UNION ALL SELECT year, 'agecat7', agecat7 FROM p
       UNION ALL SELECT year, 'natltygrp', natltygrp FROM p UNION ALL SELECT year, 'province', province FROM p)
 SELECT year, covariate, category, COUNT(*) AS n, ROUND(COUNT(*) / CAST(SUM(COUNT(*)) OVER (PARTITION BY year, covariate) AS DOUBLE), 6) AS p
-FROM m WHERE category IS NOT NULL GROUP BY year, covariate, category"""))
-def every_year(x):
+FROM m WHERE category IS NOT NULL GROUP BY year, covariate, category""")
+
+
+def _years(x):
     register = x.view("register")
     registers = {y: register.where((F.col("c_custkey") + y) % 7 != 0) for y in range(2021, 2026)}
     areas = x.sql("""SELECT 2019 AS version, n_nationkey AS value, r_name AS target_value FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20
        UNION ALL SELECT 2024, n_nationkey, CASE WHEN n_nationkey = 3 THEN 'moved' ELSE r_name END FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 22""")
-    return all_years(registers, areas, x.view("nationalities")).withColumn("p", F.round("p", 6))
+    return registers, areas, x.view("nationalities")
+
+
+@query("margins_all_years", _YEARS)
+def every_year(x):
+    return population.margins_all_years(*_years(x)).withColumn("p", F.round("p", 6))
+
+
+@query("margins_added_year", _YEARS)
+def added_year(x):
+    """Four years stored as cells; the fifth is scanned alone and one of the four delivered again."""
+    registers, areas, nationalities = _years(x)
+    path = x.folder()
+    wrong = {2022: registers[2022].where("c_custkey % 2 = 0")}
+    population.store_years({y: df for y, df in {**registers, **wrong}.items() if y != 2025}, areas, nationalities, path)
+    population.store_years({y: registers[y] for y in (2022, 2025)}, areas, nationalities, path)
+    return population.stored_margins(x.spark, path).withColumn("p", F.round("p", 6))
 
 
 @query("published_digit_keys", """
@@ -109,3 +128,28 @@ def digit_keys(x):
     areas = x.table("customer").select(F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("area"), "c_custkey", "c_name")
     publish_by_key(areas, path, ["area"])
     return read_published(x.spark, path, area="00003")
+
+
+@query("published_pairs_of_keys", """
+SELECT CONCAT('0', CAST(c_nationkey AS VARCHAR)) AS area, COUNT(*) AS n FROM customer GROUP BY c_nationkey""")
+def pairs_of_keys(x):
+    """Published by version and area, one asked for by version: the other, of digits, stays the text that it was."""
+    path = x.folder()
+    areas = x.table("customer").select(F.lit("2019").alias("version"), F.concat(F.lit("0"), F.col("c_nationkey").cast("string")).alias("area"), "c_custkey")
+    publish_by_key(areas, path, ["version", "area"])
+    return read_published(x.spark, path, version="2019").groupBy("area").agg(F.count("*").alias("n"))
+
+
+@query("published_versions", """
+SELECT 1 AS version, LPAD(CAST(c_nationkey AS VARCHAR), 5, '0') AS area, c_mktsegment AS segment, COUNT(*) AS n, CAST(SUM(c_custkey) AS BIGINT) AS keys
+FROM customer WHERE c_custkey % 2 = 0 GROUP BY ALL
+UNION ALL SELECT 2, LPAD(CAST(c_nationkey AS VARCHAR), 5, '0'), c_mktsegment, COUNT(*), CAST(SUM(c_custkey) AS BIGINT) FROM customer GROUP BY ALL""")
+def published_versions(x):
+    """Two versions published and a third whose writer stops before its commit: the first and the newest complete one."""
+    path, people = x.folder(), x.table("customer").select(
+        F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("area"), F.col("c_mktsegment").alias("segment"), "c_custkey")
+    versions.publish_version(people.where("c_custkey % 2 = 0"), path, ["area"])
+    versions.publish_version(people, path, ["area"])
+    versions.write_data(people.where("c_custkey % 3 = 0"), path, ["area"])
+    count = lambda df, v: df.groupBy(F.lit(v).alias("version"), "area", "segment").agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys"))
+    return count(versions.read_version(x.spark, path, 1), 1).unionByName(count(versions.read_version(x.spark, path), 2))

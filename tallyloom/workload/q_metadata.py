@@ -133,3 +133,18 @@ FROM (SELECT concept_id, CAST(SUBSTRING(from_surv_id, 3) AS INT) AS start FROM q
 def intervals(x):
     registry = x.view("questions").select("concept_id", F.expr("CAST(SUBSTRING(from_surv_id, 3) AS INT)").alias("start"))
     return m.version_intervals(registry, "start", ["concept_id"])
+
+
+_VERSIONS = """SELECT concept_id AS o_orderpriority, CAST(CONCAT(CAST(1994 + CAST(SUBSTRING(from_surv_id, 3) AS INT) AS VARCHAR(4)), '-05-01') AS DATE) AS since,
+  CASE WHEN from_surv_id = 'SV0002' THEN CAST('1996-12-31' AS DATE) END AS last_day, varlabel FROM questions"""
+_DATED = "SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS day FROM orders"
+
+
+@query("versions_at_dates", oracle(f"""
+WITH v AS ({_VERSIONS}), d AS ({_DATED})
+SELECT d.o_orderkey, d.day, CASE WHEN d.day <= COALESCE(v.last_day, d.day) THEN v.varlabel END AS varlabel
+FROM d ASOF LEFT JOIN v ON d.o_orderpriority = v.o_orderpriority AND d.day >= v.since"""))
+def versions_at_dates(x):
+    """The wording of its question that held on the day of every response."""
+    out = m.valid_versions(x.sql(_DATED), "day", x.sql(_VERSIONS), "since", ["varlabel"], ["o_orderpriority"], until="last_day")
+    return out.select("o_orderkey", "day", "varlabel")

@@ -25,8 +25,8 @@ def test_containment(spark, rows):
 def test_hierarchy_with_skipped_level_and_reset(spark, rows):
     df = spark.createDataFrame([(i, lv, n) for i, (lv, n) in enumerate([(0, "top"), (1, "A"), (2, "A1"), (1, "B"), (3, "B..1"), (0, "next"), (2, "N.1")])],
                                "pos int, level int, id string")
-    for block in (2, 3, 100):
-        out = geography.hierarchy_flatten(df, "g", range(4), block=block)
+    for blocks in (1, 2, 3, 100):
+        out = geography.hierarchy_flatten(df, "g", range(4), blocks=blocks)
         assert rows(out, "pos", "glvl0", "glvl1", "glvl2", "glvl3", "parent_id") == [
             (0, "top", None, None, None, None), (1, "top", "A", None, None, "top"), (2, "top", "A", "A1", None, "A"), (3, "top", "B", None, None, "top"),
             (4, "top", "B", None, "B..1", "B"), (5, "next", None, None, None, None), (6, "next", None, "N.1", None, "next")]
@@ -120,3 +120,29 @@ def test_pruned_scan(spark, plan, tmp_path):
     spark.range(10).select("id", F.lit("x").alias("wide"), F.lit(1).alias("other")).write.parquet(str(tmp_path / "t"))
     text = plan(scan_table(spark, str(tmp_path / "t"), columns=["id"]).where("id > 3"))
     assert "ReadSchema: struct<id:bigint>" in text and "GreaterThan(id,3)" in text
+
+
+def test_chains_over_any_number_of_versions(spark, rows):
+    """Brute force over seven versions with mergers, a division, areas that end and a version nobody registered."""
+    versions = [1977, 1995, 2003, 2011, 2019, 2025, 2031]
+    after = dict(zip(versions, versions[1:]))
+    steps = []
+    for i, v in enumerate(versions):
+        for k in range(12):
+            steps.append((v, f"a{k}", f"a{k - 1}" if k % (i + 2) == 1 else f"a{k}" if (k + i) % 9 else None))
+    steps += [(1995, "a3", "a7"), (2010, "a1", "a2"), (1977, None, "a1"), (2003, "a5", "a5"), (2003, "a5", "a5")]
+    nxt = {}
+    for v, a, b in steps:
+        if v in versions and a and b:
+            nxt.setdefault((v, a), set()).add(b)
+    want = set()
+    for v in versions:
+        for a in {a for w, a in nxt if w == v}:
+            now, at = {a}, v
+            while at in after and now:
+                now = {b for x in now for b in nxt.get((at, x), ())}
+                at = after[at]
+                want |= {(v, a, at, b) for b in now}
+    df = spark.createDataFrame(steps, "version int, id string, next_id string")
+    assert rows(geography.version_chains(df, versions), "version", "id", "target", "target_id") == sorted(want, key=repr)
+    assert geography.version_chains(df, versions[:1]).count() == geography.version_chains(df.where("id = 'z'"), versions).count() == 0

@@ -102,3 +102,46 @@ def test_queries_leave_the_views_of_the_session_alone(spark):
     assert Inputs(spark, "/root/testdata/sf0.001").sql("SELECT COUNT(*) AS n FROM orders WHERE o_orderpriority LIKE '{%' OR TRUE").first()[0] == 1500
     assert spark.table("orders").columns == ["mine"]
     spark.catalog.dropTempView("orders")
+
+
+def test_published_types_survive(spark, rows, tmp_path):
+    from tallyloom.sources.tables import SchemaError, publish_by_key, read_published
+    path = str(tmp_path / "areas")
+    df = spark.createDataFrame([("2019", "02000", 1), ("2019", "2000", 2), ("2020", "02000", 3)], "version string, area string, n int")
+    publish_by_key(df, path, ["version", "area"])
+    assert rows(read_published(spark, path, version="2019")) == [(1, "02000"), (2, "2000")]
+    assert rows(read_published(spark, path), "version", "area", "n") == [("2019", "02000", 1), ("2019", "2000", 2), ("2020", "02000", 3)]
+    publish_by_key(df.where("n = 3").withColumn("label", F.lit("x")), path, ["version", "area"])
+    assert rows(read_published(spark, path, area="02000"), "version", "n", "label") == [("2019", 1, None), ("2020", 3, "x")]
+    with pytest.raises(SchemaError, match="another type: n"):
+        publish_by_key(df.withColumn("n", F.col("n").cast("string")), path, ["version", "area"])
+
+
+def test_versions_are_read_whole_or_not_at_all(spark, rows, tmp_path):
+    from tallyloom.sources import versions as v
+    from tallyloom.sources.tables import SchemaError
+    path = str(tmp_path / "table")
+    df = spark.createDataFrame([("02000", 1, "a"), ("2000", 2, None), (None, 3, "c")], "area string, n int, text string")
+    assert v.latest(spark, path) is None
+    with pytest.raises(SchemaError, match="no complete version"):
+        v.read_version(spark, path)
+    v.write_data(df, path, ["area"])                      # a writer that dies before its commit
+    assert v.latest(spark, path) is None
+    assert v.publish_version(df, path, ["area"]) == 1
+    made = v.write_data(df.where("n > 1"), path, ["area"])  # another one, while readers go on
+    assert rows(v.read_version(spark, path)) == rows(df)
+    broken = df.withColumn("n", F.when(F.col("n") < 3, F.col("n")).otherwise(F.raise_error(F.lit("stop")).cast("int")))
+    with pytest.raises(Exception, match="stop"):
+        v.publish_version(broken, path, ["area"])
+    assert v.latest(spark, path) == 1 and rows(v.read_version(spark, path, area="02000")) == [(1, "a")]
+    assert rows(v.read_version(spark, path, area=None)) == [(3, "c")]
+    assert v.commit(spark, path, made, 1) == 2
+    with pytest.raises(v.Conflict):
+        v.commit(spark, path, made, 1)
+    assert rows(v.read_version(spark, path), "n") == [(2,), (3,)] and rows(v.read_version(spark, path, 1)) == rows(df)
+    assert v.publish_version(df.where("n > 9"), path, ["area"]) == 3
+    assert v.read_version(spark, path).count() == 0 and v.read_version(spark, path).schema == df.schema
+    assert [tuple(r) for r in v.commits(spark, path).select("version", "n_rows").orderBy("version").collect()] == [(1, 3), (2, 2), (3, 0)]
+    assert v.publish_version(df.select("n"), path) == 4 and rows(v.read_version(spark, path)) == [(1,), (2,), (3,)]
+    with pytest.raises(SchemaError, match="no column: area"):
+        v.read_version(spark, path, area="x")

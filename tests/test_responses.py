@@ -2,11 +2,12 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import identifiers
 from tallyloom.operators import responses as r
-from tallyloom.operators.ordered import last_seen, number_rows
+from tallyloom.operators.ordered import last_before, last_seen, number_rows, running_totals, splitters, with_blocks
 from tallyloom.operators.ranking import slice_best
 from tallyloom.operators.responses import Question
 
@@ -105,13 +106,58 @@ def test_running_state_across_blocks(spark, rows):
         state[g] = v if v is not None else state.get(g)
         want.append((g, pos, state[g]))
     df = spark.createDataFrame(data, "g string, pos int, v int")
-    assert rows(last_seen(df, "pos", {"s": F.col("v")}, ["g"], block=16), "g", "pos", "s") == sorted(want, key=repr)
+    for blocks in (1, 2, 16, 1024):
+        assert rows(last_seen(df, "pos", {"s": F.col("v")}, ["g"], blocks=blocks), "g", "pos", "s") == sorted(want, key=repr)
+    far = df.withColumn("pos", F.col("pos").cast("long") * 1_000_000)
+    assert rows(last_seen(far, "pos", {"s": F.col("v")}, ["g"]), "g", "pos", "s") == sorted([(g, p * 1_000_000, s) for g, p, s in want], key=repr)
+
+
+def test_blocks_hold_like_many_rows_wherever_positions_lie(spark):
+    """Positions in clumps and far apart: no block, and so no task of a scan, gets much more than its share."""
+    df = spark.range(40_000).select((F.col("id") * F.when(F.col("id") % 2 == 0, 1).otherwise(10**9)).alias("pos"))
+    cuts = splitters(df, "pos", 64)
+    blocked = with_blocks(df, "pos", cuts, "b")
+    sizes = blocked.groupBy("b").count().collect()
+    assert len(sizes) == 64 and max(r["count"] for r in sizes) < 1.1 * 40_000 / 64
+    got = {r["pos"]: r["b"] for r in blocked.sample(0.02, 1).collect()}
+    assert got == {p: sum(c <= p for c in cuts) for p in got}
+
+
+def test_running_totals(spark, rows):
+    rng = random.Random(4)
+    data = [(rng.choice("ab"), p * 7 % 501, rng.choice([None, 1, 5])) for p in range(501)]
+    df = spark.createDataFrame(data, "g string, pos int, v int")
+    want = []
+    for g in "ab":
+        total = None
+        for _, p, v in sorted(d for d in ((d[1], d[1], d[2]) for d in data if d[0] == g)):
+            total = total if v is None else v + (total or 0)
+            want.append((g, p, total))
+    for blocks in (1, 9, 1024):
+        assert rows(running_totals(df, "pos", {"t": F.col("v")}, ["g"], blocks), "g", "pos", "t") == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("blocks", [1, 5, 1024])
+def test_last_before_is_an_asof_join(spark, rows, plan, blocks):
+    rng = random.Random(9)
+    events = [(rng.choice("abcd"), rng.choice([None, *range(0, 300, 7)]), f"v{k}", rng.choice([None, 5, 60])) for k in range(120)]
+    asked = [(rng.choice(["a", "b", "c", "x", None]), rng.choice([None, *range(-5, 310)]), k) for k in range(400)] + [(None, 50, 400)]
+    events += [(None, 40, "null's", None)]
+    want = []
+    for g, at, k in asked:
+        own = [(t, (v, t + u if u is not None else None)) for e, t, v, u in events if e == g and t is not None and at is not None and t <= at]
+        last = max(own, key=lambda o: (o[0], o[1][0], o[1][1] is not None, o[1][1] or 0), default=None)
+        want.append((g, at, k, last[1][0] if last and (last[1][1] is None or at <= last[1][1]) else None))
+    versions = spark.createDataFrame(events, "g string, t int, v string, u int").withColumn("end", F.col("t") + F.col("u"))
+    got = last_before(spark.createDataFrame(asked, "g string, at long, k int"), "at", versions, "t", ["v"], ["g"], "end", blocks)
+    assert rows(got, "g", "at", "k", "v") == sorted(want, key=repr)
+    assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
 
 
 def test_row_numbers_across_blocks(spark, rows):
     data = [("ab"[p % 3 == 0], p * 5, f"n{p}") for p in range(100)]
     df = spark.createDataFrame(data, "g string, pos int, name string")
-    got = rows(number_rows(df, "pos", ["g"], "k", "n", {"nxt": "name"}, block=8), "g", "pos", "k", "n", "nxt")
+    got = rows(number_rows(df, "pos", ["g"], "k", "n", {"nxt": "name"}, blocks=8), "g", "pos", "k", "n", "nxt")
     want = []
     for g in "ab":
         own = sorted(d[1:] for d in data if d[0] == g)

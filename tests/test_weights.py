@@ -114,9 +114,49 @@ def test_cell_weights_equal_row_weights(spark, rows):
     assert [w for _, w in a if w] == pytest.approx([w for _, w in b if w])
 
 
-def test_many_covariates_are_swept_in_several_texts(spark):
+def test_many_covariates_at_once(spark):
     names = [f"c{i}" for i in range(27)]
     rows = spark.range(64).select("id", *[F.when(F.col("id").bitwiseAND(1 << (i % 6)) > 0, "x").otherwise("y").alias(c) for i, c in enumerate(names)])
     targets = spark.createDataFrame([(c, k, p) for c in names for k, p in (("x", 0.6), ("y", 0.4))], "covariate string, category string, p double")
     cells = raking.rake_cells(rows, targets, names, tol=1e-3)
     assert cells.agg(F.sum(F.col("n") * F.col("psweight"))).first()[0] == pytest.approx(64)
+
+
+def _jobs(spark, fn):
+    """How many jobs a call starts."""
+    spark.sparkContext.setJobGroup(name := f"count-{fn!r}", "")
+    try:
+        fn()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+@pytest.mark.parametrize("cap", [5.0, 2.2])
+def test_raking_takes_few_jobs(spark, cap):
+    rows, targets = _sample(spark), _targets(spark)
+    assert _jobs(spark, lambda: raking.rake_cells(rows, targets, COV, cap=cap, tol=1e-9).collect()) <= 30
+
+
+def test_newton_and_sweeps_agree(spark, monkeypatch):
+    rows, targets = _sample(spark), _targets(spark)
+    for cap in (5.0, 2.2):
+        direct = {(r["sex"], r["area"]): r["psweight"] for r in raking.rake_cells(rows, targets, COV, cap=cap).collect()}
+        with monkeypatch.context() as m_:
+            m_.setattr(raking, "_newton", lambda *a: None)
+            swept = {(r["sex"], r["area"]): r["psweight"] for r in raking.rake_cells(rows, targets, COV, cap=cap, tol=1e-9).collect()}
+        assert direct == pytest.approx(swept, rel=1e-6)
+
+
+def test_factors_far_from_one_and_margins_that_contradict(spark):
+    """Rare categories with large shares need long steps; shares that cannot be met within the cap are approached in sweeps."""
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 400 == 0, "rare").otherwise("often").alias("a"),
+                                    (F.col("id") % 7).cast("string").alias("b"))
+    shares = [("a", "rare", 0.4), ("a", "often", 0.6)] + [("b", str(k), 1 / 7) for k in range(7)]
+    targets = spark.createDataFrame(shares, "covariate string, category string, p double")
+    cells = raking.rake_cells(rows, targets, ["a", "b"], cap=1e6)
+    got = {r["a"]: r["w"] for r in cells.groupBy("a").agg(F.sum(F.col("n") * F.col("psweight")).alias("w")).collect()}
+    assert got == pytest.approx({"rare": 1600, "often": 2400})
+    low = raking.rake_cells(rows, targets, ["a", "b"], cap=5.0, tol=1e-4, max_sweeps=60)
+    w = {r["a"]: r["psweight"] for r in low.collect()}
+    assert w["rare"] == pytest.approx(5.0) and low.agg(F.sum(F.col("n") * F.col("psweight"))).first()[0] == pytest.approx(4000, rel=1e-3)
