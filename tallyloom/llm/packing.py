@@ -14,8 +14,10 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, stage_table, texts_of, tidied
 
 END = 1            # id after each document
-_CACHE = 240_000   # words a worker remembers
+_CACHE = 300_000   # words a worker remembers
 _BUCKET = 50_000   # pieces of one length that one task numbers
 
 PLAN = "length int, first long, last long, bin long, copies long, place long"
@@ -40,76 +42,111 @@ _TAIL = re.compile(rb"(.*(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\x
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
+# Bytes that begin a character from U+0300 on.
+_COMPOSING = re.compile(rb"[\xcc-\xff]")
+
+
 class _WordIds:
     """Token ids of words as little-endian unsigned 32-bit bytes.
 
-    The pre-tokenizer never joins characters across white space and letters are lowered first, so a text's ids are those of
-    its words in order, whatever the case of A-Z. That is checked against the whole text for one text of each worker, which
-    fails with another kind of tokenizer file. Added tokens are found before letters are lowered, so a text that holds one, in
-    whatever case, is encoded whole; so is every text if an added token is looked for in normal forms.
+    The pre-tokenizer never joins characters across white space, so a text's ids are those of its words in order. Letters are
+    lowered after they are composed: A-Z may be lowered first, which makes fewer words, where nothing can compose with them, and that
+    is in words without combining marks or anything else from U+0300 on. The first text of a worker is checked against
+    its whole encoding; with another kind of tokenizer file all texts are encoded whole. Added tokens are found before
+    letters are lowered, so a text that holds one, in whatever case, is encoded whole; so is every text if an added token is
+    looked for in normal forms.
     """
 
+    @classmethod
+    def of_worker(cls, path: str) -> "_WordIds":
+        """The one of this worker process, which tasks share one after another; a worker runs one task at a time."""
+        kept = sys.modules.setdefault("_words_of_worker", ModuleType("_words_of_worker")).__dict__
+        if path not in kept:
+            kept[path] = cls(path)
+        # the words learned are plain data and live on; the code is that of this task
+        kept[path].__class__ = cls
+        return kept[path]
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        self.tokenizer, self.known, self.old, self.checked = Tokenizer.from_file(path), {}, {}, False
-        self.model = self.tokenizer.model
+        self.tokenizer, self.known, self.old, self.checked, self.apart = Tokenizer.from_file(path), {}, {}, False, True
         self.added = [b"" if t.normalized else t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
-        self.spelled = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters})
+        suffix, vocabulary = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a word
+        if suffix:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def split(self, text: str) -> list[bytes] | None:
-        """The lowered words of a text; None if it is to be encoded whole."""
-        lowered = text.encode().lower()
-        return None if any(token in lowered for token in self.added) else lowered.split()
-
-    def letters(self, word: bytes) -> bytes:
-        """Ids of letters, which the pre-tokenizer leaves whole and only spells by bytes."""
-        return _bytes([t.id for t in self.model.tokenize(word.decode().lower().translate(self.spelled))])
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > _CACHE // 2:  # two generations, as in Remembered
+        """The words of a text, lowered where that changes nothing; None if it is to be encoded whole."""
+        raw = text.encode()
+        lowered = raw.lower()
+        if not self.apart or any(token in lowered for token in self.added):
+            return None
+        if _COMPOSING.search(raw) is None:
+            return lowered.split()
+        return [w if _COMPOSING.search(w) else w.lower() for w in raw.split()]
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        return [_bytes(got.ids) for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def spelled(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of letters alone, encoded as one text and parted where a token ends a word."""
+        ids = np.frombuffer(self.encoded([b" ".join(words).decode()])[0], "<u4")
+        ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
+        if len(ends) != len(words) or ends[-1:] != [4 * len(ids)]:
+            return self.encoded([w.decode() for w in words])
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def fetch(self, pieces: set[bytes]) -> None:
+        """Makes all ``pieces`` known; two generations of half the cache each, as in Remembered."""
+        new = [w for w in pieces if w not in self.known]
+        if len(self.known) + len(new) > _CACHE // 2:
             self.old, self.known = self.known, {}
-            new = list(words)
+            new = list(pieces)
         known, old = self.known, self.old
-        if old:
-            known.update((w, old[w]) for w in new if w in old)
-            new = [w for w in new if w not in known]
-        tokenize, left, tails = self.model.tokenize, set(), []
-        for word in new:
-            if word.isalpha():  # ASCII letters stand for themselves
-                known[word] = _bytes([t.id for t in tokenize(word.decode())])
-            elif _LETTERS.fullmatch(word):
-                known[word] = self.letters(word)
-            elif found := _TAIL.fullmatch(word):
-                stem, tail = found.groups()
-                if stem not in known:
-                    if _LETTERS.fullmatch(stem):
-                        known[stem] = self.letters(stem)
-                    else:
-                        left.add(stem)
-                if tail not in known:
-                    left.add(tail)
-                tails.append((word, stem, tail))
+        known.update((w, old[w]) for w in new if w in old)
+        plain, other = [], []
+        for w in new:
+            if w not in known:
+                (plain if w.isalpha() or _LETTERS.fullmatch(w) else other).append(w)
+        for words, ids_of in ((plain, self.spelled), (other, lambda part: self.encoded([w.decode() for w in part]))):
+            for start in range(0, len(words), 8192):
+                part = words[start:start + 8192]
+                known.update(zip(part, ids_of(part)))
+
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of each of ``words``. Words that end in punctuation are put together each time and not remembered."""
+        known = self.known
+        now = {w: known[w] for w in words if w in known}
+        pieces, tails = set(), []
+        for word in words:
+            if word in now:
+                continue
+            if word.isalpha() or not (found := _TAIL.fullmatch(word)):
+                pieces.add(word)
             else:
-                left.add(word)
-        rest = list(left)
-        for start in range(0, len(rest), 8192):
-            part = rest[start:start + 8192]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                known[word] = _bytes(got.ids)
-        for word, stem, tail in tails:
-            known[word] = known[stem] + known[tail]
-
-    def ids(self, text: str, words: list[bytes] | None) -> bytes:
-        if words is None:
+                tails.append((word, *found.groups()))
+        whole = list(pieces)
+        for _, stem, tail in tails:
+            pieces.add(stem)
+            pieces.add(tail)
+        self.fetch(pieces)
+        known = self.known
+        now.update((w, known[w]) for w in whole)
+        now.update((w, known[stem] + known[tail]) for w, stem, tail in tails)
+        return now
+
+    def ids(self, text: str, words: list[bytes] | None, now: dict[bytes, bytes]) -> bytes:
+        if words is None or not self.apart:
             return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        out = b"".join(map(self.known.__getitem__, words))
+        out = b"".join(map(now.__getitem__, words))
         if not self.checked and words:
             self.checked = True
             if _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids) != out:
-                raise ValueError("this tokenizer does not work word by word")
+                self.apart = False
+                return self.ids(text, None, now)
         return out
 
 
@@ -137,7 +174,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, i
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_ids = _WordIds(tokenizer_path)
+        words_ids = _WordIds.of_worker(tokenizer_path)
         end, step = np.array([END], "<u4").tobytes(), 4 * max_tokens
         for batch in batches:
             schema = pa.schema([("id", batch.schema.field("id").type), ("piece", pa.int32()), ("start", pa.int64()),
@@ -147,9 +184,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, i
                 keys = iter(batch.column("id").to_pylist())
                 for texts in _groups(texts_of(batch)):
                     split = [words_ids.split(t) for t in texts]
-                    words_ids.learn(set().union(*filter(None, split)))
+                    now = words_ids.learn(set().union(*filter(None, split)))
                     for text, words in zip(texts, split):
-                        key, ids = next(keys), words_ids.ids(text, words) + end
+                        key, ids = next(keys), words_ids.ids(text, words, now) + end
                         for k, at in enumerate(range(0, len(ids), step)):
                             part = ids[at:at + step]
                             yield key, k, at // 4, len(part) // 4, part
@@ -211,8 +248,8 @@ def plan_bins(histogram: list[tuple[int, int]], max_tokens: int = 4096, max_docu
 
 
 def place_pieces(pieces: DataFrame, max_tokens: int = 4096, max_documents: int = 4096, max_attention: int = 4096 * 4096,
-                 weights: tuple[float, float, float] = (1.0, 0.001, 0.001), rule: str = "norm") -> DataFrame:
-    """``pieces`` (a staged table with doc_id, piece, length) with sequence_id and offset.
+                 weights: tuple[float, float, float] = (1.0, 0.001, 0.001), rule: str = "norm", id_col: str = "doc_id") -> DataFrame:
+    """``pieces`` (a staged table with ``id_col``, piece, length) with sequence_id and offset.
 
     Every piece gets a place, repeated rows too; an empty table stays empty. Lengths lie in 1 to ``max_tokens``.
     """
@@ -221,11 +258,11 @@ def place_pieces(pieces: DataFrame, max_tokens: int = 4096, max_documents: int =
     plan = plan_bins([(r["length"], r["count"]) for r in counts], max_tokens, max_documents, max_attention, weights, rule)
     shares = spark.createDataFrame([(r["length"], -(-r["count"] // _BUCKET)) for r in counts], "length long, _shares long")
     columns = pieces.columns
-    dealt = pieces.join(F.broadcast(shares), "length").withColumn("_share", F.expr("pmod(xxhash64(doc_id, piece), _shares)"))
+    dealt = pieces.join(F.broadcast(shares), "length").withColumn("_share", F.pmod(F.xxhash64(id_col, "piece"), "_shares"))
     sizes = dealt.groupBy("length", "_share").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("length", "_share", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("length", "_share").orderBy("doc_id", "piece")
+    inside = Window.partitionBy("length", "_share").orderBy(id_col, "piece")
     ranked = dealt.withColumn("_number", F.row_number().over(inside)).join(offsets, ["length", "_share"])
     ranked = ranked.withColumn("_number", F.col("_number") + F.col("_before") - 1)
     table = spark.createDataFrame(pd.DataFrame(plan, columns=["_len", "_first", "_last", "_bin", "_copies", "_place"], dtype="int64"),
@@ -235,22 +272,22 @@ def place_pieces(pieces: DataFrame, max_tokens: int = 4096, max_documents: int =
                         F.expr("_place + (_number - _first) % _copies * length").alias("offset"))
 
 
-def packed_sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
+def packed_sequences(pieces: DataFrame, placed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """sequence_id, ids: the packed sequences themselves, from token_pieces and the placement of its rows.
 
-    ``placed`` holds one row per doc_id and piece. A sequence holds at most ``max_tokens`` ids, so its group is bounded.
+    ``placed`` holds one row per ``id_col`` and piece. A sequence holds at most ``max_tokens`` ids, so its group is bounded.
     """
-    with_ids = placed.select("doc_id", "piece", "sequence_id", "offset").join(pieces.select("doc_id", "piece", "ids"), ["doc_id", "piece"])
+    with_ids = placed.select(id_col, "piece", "sequence_id", "offset").join(pieces.select(id_col, "piece", "ids"), [id_col, "piece"])
     parts = with_ids.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", F.hex("ids").alias("h")))).alias("p"))
     return parts.select("sequence_id", F.unhex(F.array_join(F.col("p.h"), "")).alias("ids"))
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, **limits) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. See token_pieces and place_pieces."""
-    pieces = token_pieces(docs, tokenizer_path, max_tokens)
+def pack_documents(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
+    """Per piece: ``id_col``, piece, start, length, ids_crc32, sequence_id, offset. See token_pieces and place_pieces."""
+    pieces = token_pieces(docs, tokenizer_path, max_tokens, id_col, text_col)
     # the ids themselves are not staged: their checksum, computed as they leave the tokenizer, is
-    narrow = stage_table(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
-    return place_pieces(narrow, max_tokens, **limits)
+    narrow = stage_table(pieces.select(id_col, "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return place_pieces(narrow, max_tokens, id_col=id_col, **limits)
 
 
 def crc32(ids: Iterable[int]) -> int:

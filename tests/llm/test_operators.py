@@ -286,12 +286,35 @@ def test_plan_keeps_every_capacity(rule):
 
 def test_words_alone_are_the_whole_text():
     ids = packing._WordIds(TOKENIZER)
-    rng, letters = np.random.default_rng(4), list("aA.,é'ß&%s×…ÉİΣ \x1c12#\ń-")
-    for _ in range(500):
-        text = "".join(rng.choice(letters, int(rng.integers(1, 30))))
-        words = text.encode().lower().split()
-        ids.learn(set(words))
-        assert ids.ids(text, words) == np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+    rng, letters = np.random.default_rng(4), list("aA.,é'ß&%s×…ÉİΣ \x1c12#\ń-HJTWYhjtwy\u030c\u0331\u0308\u0301\u030a\u0323\u0345\u1100\u1161\u11a8\u200d\xa0ǰK\u212a\ufb01語🙂")
+    for start in range(0, 20_000, 500):
+        texts = ["".join(rng.choice(letters, int(rng.integers(1, 30)))) for _ in range(500)]
+        split = [ids.split(t) for t in texts]
+        now = ids.learn(set().union(*filter(None, split)))
+        for text, words in zip(texts, split):
+            assert ids.ids(text, words, now) == np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+    assert ids.apart
+
+
+def test_a_small_cache_changes_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHE", 40)
+    ids, rng = packing._WordIds(TOKENIZER), np.random.default_rng(6)
+    for _ in range(60):
+        text = " ".join("".join(rng.choice(list("abcé"), 3)) + str(rng.choice(["", ",", "!?"])) for _ in range(30))
+        words = ids.split(text)
+        assert ids.ids(text, words, ids.learn(set(words))) == np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_a_tokenizer_that_joins_words_gets_whole_texts(spark, tmp_path):
+    from tokenizers import Regex, models, pre_tokenizers
+    own = Tokenizer(models.WordLevel({"a b": 2, "a": 3, "b": 4, "?": 5}, unk_token="?"))
+    own.pre_tokenizer = pre_tokenizers.Split(Regex("a b|[ab]"), "isolated")
+    own.save(path := str(tmp_path / "joins.json"))
+    texts = ["a b", "b a", "", "a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "key string, text string".replace("string,", "long,", 1)).coalesce(1)
+    got = {r["key"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in _collect(packing.token_pieces(df, path, id_col="key"))}
+    assert got == {k: [*own.encode(t, add_special_tokens=False).ids, 1] for k, t in enumerate(texts)}
+    assert packing.pack_documents(df, path, 8, id_col="key").columns[0] == "key"
 
 
 def test_added_tokens_are_single_ids_where_the_whole_text_has_them(spark):
