@@ -40,7 +40,7 @@ SKETCH = 512             # parity bits of a set
 _FEW = 16                # sets of one signature that are paired directly
 _BLOCK = 1024            # sets compared in one task at a time
 _BLOCK_SHINGLES = 1 << 22
-_BROADCAST = 1_000_000   # ids (16 bytes each) up to which a filter on documents is broadcast
+_BROADCAST = 1_000_000   # rows (six numbers at most, some 50 MB together) up to which a filter on documents is broadcast
 _LOWEST = 24             # sizes from here on are banded by factors of four
 
 
@@ -177,7 +177,7 @@ _S = [f"s{k}" for k in range(SKETCH // 64)]
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """id, n, node (hash of the set), and the sketch s0, s1, ... of each document."""
+    """id, mark (hash of the text), n, node (hash of the set), and the sketch s0, s1, ... of each document."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,10 +191,11 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> Dat
                 nodes[k] = node_of(items)
                 marks[k] = sketch(items)
                 wide.append(wide_sketch(items))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(nodes.view(np.int64)),
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), pa.array(n), pa.array(nodes.view(np.int64)),
                                               *[pa.array(marks[:, k].copy()) for k in range(len(_S))], pa.array(wide, pa.binary())],
-                                             names=["id", "n", "node", *_S, "wide"])
-    return _read(docs, id_col, text_col).mapInArrow(tidied(measure), f"id {kind}, n long, node long, " + ", ".join(f"{s} long" for s in _S) + ", wide binary")
+                                             names=["id", "mark", "n", "node", *_S, "wide"])
+    read = _read(docs, id_col, text_col).withColumn("mark", F.xxhash64("text"))
+    return read.mapInArrow(tidied(measure), f"id {kind}, mark long, n long, node long, " + ", ".join(f"{s} long" for s in _S) + ", wide binary")
 
 
 def set_signatures(docs: DataFrame, id_col: str, text_col: str, size: int, limits: Limits) -> DataFrame:
@@ -409,43 +410,63 @@ def _verify(limits: Limits, size: int):
     return verify
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 75, den: int = 100) -> DataFrame:
-    """One row per row of ``docs``: ``id_col``, n_shingles, component_id (smallest id reachable by links, its own included).
-
-    Texts are lowered in A-Z and split at ASCII white space. Sets link at similarity ``num / den`` or more. A null, empty or
-    blank text has no shingles and links with nothing, not even its like; fewer words than a shingle are one shingle. Null
-    ids count as no id: a group of such rows alone has a null component. Repeated rows share a component. Other columns
-    are not read. Sets are compared through 64-bit hashes of their shingles, nodes are 64-bit hashes of sets. A set that
-    stands on rows without an id alone links with nothing.
-    """
+def classed_documents(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int) -> DataFrame:
+    """id, mark (hash of the text), n, class of every row; rows are of one class if links connect them, blank ones of none."""
     limits = Limits(num, den)
     sets = stage_table(document_sets(docs, id_col, text_col, size))
     nodes = stage_table(sets.filter("n > 0").dropDuplicates(["node"]))
     links = candidate_links(set_signatures(docs, id_col, text_col, size, limits), nodes, limits)
     maybe = stage_table(components(links))
 
-    # one text per node that has a possible partner
+    # one text per node that has a possible partner, that of a row with an id if there is one
     sizes = maybe.join(nodes.select("node", "n"), "node").groupBy("root").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
     sizes = sizes.select("root", F.greatest(F.ceil(F.col("c") / _BLOCK), F.ceil(F.col("w") / _BLOCK_SHINGLES)).alias("shares"))
-    wanted = stage_table(maybe.join(sizes, "root").join(sets.groupBy("node").agg(F.min("id").alias("id")), "node").filter("id IS NOT NULL"))
+    picks = sets.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("lost"), "id", "mark")).alias("pick"))
+    wanted = stage_table(maybe.join(sizes, "root").join(picks, "node").select("root", "node", "shares", "pick.*"))
     few = F.broadcast(wanted) if wanted.count() <= _BROADCAST else wanted
-    texts = _read(docs, id_col, text_col).join(few, "id")
+    read = _read(docs, id_col, text_col).withColumn("mark", F.xxhash64("text"))
+    texts = read.join(few.filter("NOT lost").drop("lost"), ["id", "mark"]).select("root", "shares", "node", "text")
+    if not wanted.filter("lost").isEmpty():
+        # rows without an id are told apart by their texts alone, and copies of one come once
+        lost = read.filter("id IS NULL").drop("id").join(few.filter("lost").drop("id", "lost"), "mark")
+        texts = texts.unionByName(lost.select("root", "shares", "node", "text").dropDuplicates(["node"]))
     dealt = _blocks(texts, "root", "shares").select("root", "i", "j", "own", "node", "text")
     found = components(dealt.mapInArrow(tidied(_verify(limits, size)), "a long, b long"))
+    return sets.join(found, "node", "left").select("id", "mark", "n", F.when(F.col("n") > 0, F.coalesce("root", "node")).alias("class"))
+
 
-    classed = sets.join(found, "node", "left").select("id", "n", F.when(F.col("n") > 0, F.coalesce("root", "node")).alias("class"))
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+    """One row per row of ``docs``: ``id_col``, n_shingles, component_id (smallest id reachable by links, its own included).
+
+    Texts are lowered in A-Z and split at ASCII white space. Sets link at similarity ``num / den`` or more. A null, empty or
+    blank text has no shingles and links with nothing, not even its like; fewer words than a shingle are one shingle. Rows
+    without an id link like any other, and others through them; a group of such rows alone has a null component. Repeated
+    rows share a component. Other columns are not read. Sets are compared through 64-bit hashes of their shingles, nodes are
+    64-bit hashes of sets.
+    """
+    classed = classed_documents(docs, id_col, text_col, size, num, den)
     least = classed.filter("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least"))
     return classed.join(least, "class", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                                                        F.coalesce("least", "id").alias("component_id"))
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, all columns unchanged.
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+    """One row of ``docs`` for every component, all columns unchanged; rows without words all stay.
 
-    Rows without an id stay unless their component has one with an id; rows repeated with one id stay or go together.
+    It is the row with the smallest id, one without an id only where no other has one; of several texts with that id the one with
+    the smallest hash, of repeated rows any one. An id that stands on texts of different components stays once for each.
     """
-    ids = near_duplicates(docs, id_col, text_col, **how)
-    name = fresh("id")
-    gone = stage_table(ids.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(name)).distinct())
+    classed = stage_table(classed_documents(docs, id_col, text_col, size, num, den).filter("class IS NOT NULL"))
+    first = F.struct(F.col("id").isNull().alias("lost"), "id", "mark")
+    best = classed.groupBy("class").agg(F.min(first).alias("best"), F.count("*").alias("rows")).filter("rows > 1")
+    dropped = classed.join(best, "class").select("id", "mark", (first == F.col("best")).alias("stays"))
+    key, mark = fresh("id"), fresh("mark")
+    both = F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(text_col)) == F.col(mark))
+    gone = stage_table(dropped.filter("NOT stays").select(F.col("id").alias(key), F.col("mark").alias(mark)).distinct())
     gone = F.broadcast(gone) if gone.count() <= _BROADCAST else gone
-    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")
+    stays = docs.join(gone, both, "left_anti")
+    twice = stage_table(dropped.filter("stays").groupBy(F.col("id").alias(key), F.col("mark").alias(mark)).count().filter("count > 1").drop("count"))
+    if twice.isEmpty():
+        return stays
+    # a whole row repeated, id included: one of its copies stays
+    return stays.join(twice, both, "left_anti").unionByName(stays.join(twice, both, "left_semi").dropDuplicates([id_col, text_col]))

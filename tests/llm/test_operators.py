@@ -151,6 +151,35 @@ def test_near_duplicates(docs, texts, empty):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
+def test_links_through_rows_without_ids(spark):
+    rng = np.random.default_rng(12)
+    a = _words(rng, 120)
+    x = a[:105] + _words(rng, 15, 9)
+    b = x[12:] + _words(rng, 12, 9)
+    rows = [(1, " ".join(a)), (None, " ".join(x)), (2, " ".join(b)), (None, " ".join(x)), (None, " ".join(_words(rng, 50))), (3, " ".join(_words(rng, 50)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = _collect(jaccard.near_duplicates(df))
+    want = _jaccard(dict(enumerate(t for _, t in rows)))
+    assert Counter((r["doc_id"], r["component_id"]) for r in got) == Counter([(1, 1), (None, 1), (2, 1), (None, 1), (None, None), (3, 3)])
+    assert len({want[k] for k in range(4)}) == 1 and len({want[0], want[4], want[5]}) == 3
+    assert Counter(r["doc_id"] for r in _collect(jaccard.keep_representatives(df))) == Counter([1, None, 3])
+
+
+def test_one_row_of_each_component_stays(spark):
+    rng = np.random.default_rng(13)
+    a, b, c = (_words(rng, 80) for _ in range(3))
+    near = lambda w, k: " ".join([*w[:k], "other", *w[k + 1:]])
+    rows = [(1, " ".join(a)), (7, near(a, 3)), (7, " ".join(b)), (4, near(c, 9)), (4, " ".join(c)), (None, near(a, 50)), (None, ""), (None, ""), (5, " "),
+            (6, "one text"), (6, "one text"), (None, "lost text here"), (None, "lost text here"), (9, None)]
+    df = spark.createDataFrame([(k, t, f"n{i}", i) for i, (k, t) in enumerate(rows)], "doc_id long, text string, class string, mark int")
+    got = _collect(jaccard.keep_representatives(df))
+    kept = Counter((r["doc_id"], r["text"]) for r in got)
+    assert kept[(1, " ".join(a))] == kept[(7, " ".join(b))] == 1 and (7, near(a, 3)) not in kept
+    assert kept[(4, near(c, 9))] + kept[(4, " ".join(c))] == 1 and (None, near(a, 50)) not in kept
+    assert kept[(None, "")] == 2 and kept[(5, " ")] == kept[(9, None)] == 1
+    assert kept[(6, "one text")] == kept[(None, "lost text here")] == 1 and len(got) == 9
+
+
 def test_near_duplicates_without_ids_and_with_repeated_ones(spark):
     text = " ".join(f"w{k}" for k in range(40))
     rows = [(None, text), (4, text + " more"), (4, text), (7, "other words here only"), (None, None)]
