@@ -11,7 +11,7 @@ import itertools
 import json
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batches, tidied
 
+# Half a character of those beyond U+FFFF.
+_HALF = re.compile("[\ud800-\udfff]")
+
 # Other names of the roles.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
@@ -49,11 +52,19 @@ MAPPINGS = (
 )
 
 
+# The layouts with a list of turns, whose roles stay as they are.
+PLAIN = tuple(replace(m, renamed=False) for m in MAPPINGS if m.each)
+
+
 def field_paths(value, at: str = "") -> Iterator[str]:
-    """Paths of the leaves of a record; members of a list share one path. Nulls have none."""
+    """Paths of the leaves of a record; members of a list share one path. Nulls have none.
+
+    A backslash tells a dot or bracket inside a key from those that a path is made of.
+    """
     if isinstance(value, dict):
         for key, inner in value.items():
-            yield from field_paths(inner, f"{at}.{key}" if at else str(key))
+            own = re.sub(r"([\\.\[])", r"\\\1", str(key))
+            yield from field_paths(inner, f"{at}.{own}" if at else own)
     elif isinstance(value, list):
         for inner in value:
             yield from field_paths(inner, f"{at}[]")
@@ -110,7 +121,22 @@ def _at(record, path: str):
 
 
 def _text(value) -> str:
-    return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, sort_keys=True)
+    text = "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, sort_keys=True)
+    # JSON may spell half a character, which no text can hold
+    return _HALF.sub("\ufffd", text)
+
+
+def _integer(digits: str) -> int | str:
+    return int(digits) if len(digits) < 4000 else digits
+
+
+def read_record(text: str | None) -> dict:
+    """A JSON object; anything else, and what cannot be read, is an empty one."""
+    try:
+        record = json.loads(text, parse_int=_integer) if text else {}
+    except (ValueError, RecursionError):
+        return {}
+    return record if isinstance(record, dict) else {}
 
 
 def _role(value) -> str:
@@ -163,15 +189,29 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return out
 
 
-def conversation_records(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """conv_id, record: rows of turns as records of layout "turns". Rows without a turn number come first, equal ones by role and text.
+def conversation_records(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
+                         layouts: tuple[Mapping, ...] = PLAIN[-1:]) -> DataFrame:
+    """conv_id, record: rows of turns as records. Rows without a turn number come first, equal ones by role and text.
 
-    A conversation becomes one text, so its turns meet in one row; conversations are spread by their ids.
+    A conversation's layout is one of ``layouts`` (mappings of a list of turns), dealt by a hash of its id. A conversation becomes
+    one text, so its turns meet in one row; conversations are spread by their ids.
     """
     one = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     turns = F.array_sort(F.collect_list(one), lambda a, b: _compare(a, b))
-    said = F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return rows.groupBy(F.col(conv).alias("conv_id")).agg(said.alias("turns")).select("conv_id", F.to_json(F.struct("turns")).alias("record"))
+    gathered = rows.groupBy(F.col(conv).alias("conv_id")).agg(turns.alias("turns"))
+    records = [F.to_json(_laid_out(F.col("turns"), m)) for m in layouts]
+    which = F.pmod(F.xxhash64("conv_id"), F.lit(len(layouts)))
+    record = F.coalesce(*[F.when(which == k, r) for k, r in enumerate(records)])
+    return gathered.select("conv_id", record.alias("record"))
+
+
+def _laid_out(turns: Column, layout: Mapping) -> Column:
+    """Turns as a mapping of a list of turns reads them."""
+    where, role, text = layout.each
+    out = F.transform(turns, lambda t: F.struct(t["role"].alias(role), t["text"].alias(text)))
+    for key in reversed(where.split(".")):
+        out = F.struct(out.alias(key))
+    return out
 
 
 def _compare(a: Column, b: Column) -> Column:
@@ -187,8 +227,8 @@ _OUT = [("layout", pa.string()), ("formatted", pa.string()), ("loss_starts", pa.
 def format_records(records: DataFrame, id_col: str, record_col: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """``id_col``, layout, formatted, loss_starts, loss_ends of JSON records in any layout that a mapping knows.
 
-    A record that is null, no JSON object, or of an unknown layout has a null layout and an empty text. Repeated records are
-    formatted each; other columns are not read.
+    A record that is null, no JSON object, nested too deeply, or of an unknown layout has a null layout and an empty text; no
+    record fails. Half a character becomes U+FFFD. Repeated records are formatted each; other columns are not read.
     """
     kind = records.schema[id_col].dataType.simpleString()
 
@@ -200,10 +240,9 @@ def format_records(records: DataFrame, id_col: str, record_col: str = "record",
             def rows():
                 for key, text in zip(batch.column("id").to_pylist(), batch.column("record").to_pylist()):
                     try:
-                        record = json.loads(text) if text else {}
-                    except json.JSONDecodeError:
-                        record = {}
-                    layout, turns = registry.turns(record) if isinstance(record, dict) else (None, [])
+                        layout, turns = registry.turns(read_record(text))
+                    except RecursionError:  # nested deeper than its paths can be followed
+                        layout, turns = None, []
                     yield key, layout, *render(turns)
             yield from arrow_batches(rows(), schema, weight=lambda r: len(r[2]))
     read = records.select(F.col(id_col).alias("id"), F.col(record_col).alias("record"))

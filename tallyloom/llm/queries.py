@@ -102,7 +102,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-7, 0, "user", both), (-7, 1, "assistant", both)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
-    return chat.read_back(chat.format_records(chat.conversation_records(rows), "conv_id"), "conv_id")
+    records = chat.conversation_records(rows, layouts=chat.PLAIN)
+    return chat.read_back(chat.format_records(records, "conv_id", mappings=chat.PLAIN), "conv_id")
 
 
 @query("op8_co_trained_quality")

@@ -632,3 +632,28 @@ def test_archive_facts_are_read_from_the_records(spark, monkeypatch):
     monkeypatch.setattr(warc, "reconstruct", lambda *a: whole(*a).withColumn("record", spoilt))
     with pytest.raises(Exception, match="disagree"):
         warc.archive_facts(spark, archive).collect()
+
+
+def test_no_record_fails_a_job(spark):
+    deep = "[" * 100_000 + "]" * 100_000
+    bad = ['{"prompt": "a\\ud800b", "completion": "c"}', '{"prompt": ' + "9" * 5000 + ', "completion": "x"}', deep, '{"prompt": ' + deep + ', "completion": "y"}',
+           '{"a":' * 950 + "1" + "}" * 950, '{"data.dialog": [{"speaker": "user", "utterance": "u"}]}', '{"data": {"dialog": [{"speaker": "user", "utterance": "u"}]}}',
+           '{"messages[]": [{"role": "user", "content": "u"}]}', '{"messages": [{"role": "\\udfff", "content": "u"}]}', "null", "nan", '{"turns": "x"}', '{"turns": [1, null]}']
+    df = spark.createDataFrame(list(enumerate(bad)), "id long, record string").coalesce(1)
+    formatted = chat.format_records(df, "id")
+    got = {r["id"]: (r["layout"], r["formatted"]) for r in _collect(formatted)}
+    assert got[0] == ("prompt", "[INST]a\ufffdb[/INST]<s>c</s>") and got[1] == ("prompt", "[INST]" + "9" * 5000 + "[/INST]<s>x</s>")
+    assert [got[k] for k in (2, 3, 4, 5, 7)] == [(None, "")] * 5 and got[6] == ("nested", "[INST]u[/INST]")
+    assert got[8] == ("messages", "[ROLE \ufffd]u[/ROLE]") and got[9] == got[10] == got[11] == (None, "")
+    assert chat.read_back(formatted, "id").count() == len(bad)
+
+
+def test_conversations_in_several_layouts_read_back_alike(spark):
+    rng = np.random.default_rng(2)
+    rows = [(c, t, str(rng.choice(["user", "assistant", "human", ""])), str(rng.choice(["", "a [INST]", "\\", None]))) for c in range(40) for t in range(3)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    records = chat.conversation_records(df, layouts=chat.PLAIN)
+    formatted = chat.format_records(records, "conv_id", mappings=chat.PLAIN)
+    assert {r["layout"] for r in _collect(formatted)} == {m.name for m in chat.PLAIN}
+    both = [sorted(tuple(r) for r in chat.read_back(f, "conv_id").collect()) for f in (formatted, chat.format_records(chat.conversation_records(df), "conv_id"))]
+    assert both[0] == both[1] and len(both[0]) == 40
