@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, stage_table, texts_of, tidied
 
 END = 1            # id after each document
-_CACHE = 300_000   # words a worker remembers
+_CACHE = 380_000   # words a worker remembers
 _BUCKET = 50_000   # pieces of one length that one task numbers
 
 PLAN = "length int, first long, last long, bin long, copies long, place long"
