@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.messages import OffendersError, require_none
 from ..functions.nulls import join_null_safe
+from ..session import stage_table
 
 PREFIX = "cl_"
 ID_COLUMNS = ("valuen", "value")
@@ -44,17 +45,30 @@ def membership_long(skeleton: DataFrame, lists: Sequence[str] | None = None) ->
 def contained_lists(skeleton: DataFrame, lists: Sequence[str] | None = None) -> DataFrame:
     """Pairs (codelist, target) in which every member of the target is a member of the code list.
 
-    One aggregate over the membership columns decides all pairs: no pairing of rows. An unknown
-    membership rules a pair out.
+    Works on postings (row, list), for any number of lists: a list that contains another one has all rows of it, and so the one
+    that fewest lists have. That row names the candidates, and anti joins throw out those that lack another row. An unknown
+    membership rules a pair out. Without rows there are no pairs; a list without members is contained in every other.
     """
     lists = list(lists or list_columns(skeleton))
-    pairs = [(a, b) for a in lists for b in lists if a != b]
-    inside = {f"p{i}": F.bool_and(F.coalesce(F.col(a) | ~F.col(b), F.lit(False))) for i, (a, b) in enumerate(pairs)}
-    one = skeleton.agg(*[e.alias(n) for n, e in inside.items()])
-    rows = F.array_compact(F.array(*[
-        F.when(F.col(f"p{i}"), F.struct(F.lit(PREFIX + a).alias("codelist"), F.lit(PREFIX + b).alias("target")))
-        for i, (a, b) in enumerate(pairs)]))
-    return one.select(F.inline(rows))
+    rows = skeleton.select(F.monotonically_increasing_id().alias("row"), *lists)
+    postings = rows.unpivot(["row"], lists, "list", "member").where("member IS NULL OR member")
+    postings = stage_table(postings.select("row", "list", F.coalesce("member", F.lit(False)).alias("sure")))
+    sure = postings.where("sure").select("row", F.col("list").alias("codelist"))
+    spread = sure.groupBy("row").agg(F.count("*").alias("n"))
+    needed = postings.select("row", F.col("list").alias("target"))
+    rarest = needed.join(spread, "row", "left").groupBy("target").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "row")).alias("rare"))
+    candidates = stage_table(rarest.select("target", F.col("rare.row").alias("row")).join(sure, "row").where("codelist <> target").select("codelist", "target"))
+    wanted = candidates.join(needed, "target")
+    lacking = wanted.join(sure, ["row", "codelist"], "left_anti").select("codelist", "target").distinct()
+    found = candidates.join(lacking, ["codelist", "target"], "left_anti")
+    spark = skeleton.sparkSession
+    met = {r[0] for r in postings.select("list").distinct().collect()}  # names of columns
+    bare = [] if skeleton.isEmpty() else [c for c in lists if c not in met]
+    every = spark.createDataFrame([(c,) for c in bare], "target string").select(
+        F.explode(F.array(*[F.lit(c) for c in lists])).alias("codelist"), "target").where("codelist <> target")
+    name = lambda c: F.concat(F.lit(PREFIX), F.col(c)).alias(c)
+    return found.unionByName(every).select(name("codelist"), name("target"))
 
 
 def containment_maps(skeleton: DataFrame, lists: Sequence[str] | None = None) -> DataFrame:

@@ -303,6 +303,25 @@ def scale_members(x):
     return legacy.scale_members(x.sql(_USES), x.sql(_SCALES))
 
 
+_SCALE = "promo"
+
+
+@query("legacy_skeleton", f"""
+WITH s AS ({_SCALES}), u AS (SELECT DISTINCT CASE WHEN weetniet = 'x' THEN 'dkn' END AS w, CASE WHEN filter IS NOT NULL THEN 'na' END AS f, CASE WHEN question IS NOT NULL THEN 'inv' END AS i
+  FROM ({_USES}) z WHERE scale = 'oldPROMO'),
+a AS (SELECT w, f, i FROM u UNION SELECT NULL, NULL, NULL FROM u WHERE i = 'inv'),
+b AS (SELECT CONCAT_WS('_', '{_SCALE}', w, f, i) AS name, '{_SCALE}' AS n, w, f, i FROM a),
+l AS (SELECT name, n AS part FROM b UNION SELECT name, w FROM b UNION SELECT name, f FROM b UNION SELECT name, i FROM b),
+m AS (SELECT DISTINCT name, valuen, value FROM l JOIN s ON s.scale = l.part)
+SELECT v.valuen, v.value, k.name, m.name IS NOT NULL AS member
+FROM (SELECT DISTINCT valuen, value FROM m) v CROSS JOIN (SELECT DISTINCT name FROM m) k
+LEFT JOIN m ON m.name = k.name AND m.value = v.value AND m.valuen IS NOT DISTINCT FROM v.valuen""")
+def scale_skeleton(x):
+    """The skeleton of one scale, FALSE where a list lacks a value; its columns made rows, as they differ with the data."""
+    wide = legacy.legacy_skeleton(legacy.scale_members(x.sql(_USES), x.sql(_SCALES)), _SCALE)
+    return wide.unpivot(["valuen", "value"], [c for c in wide.columns if c not in ("valuen", "value")], "name", "member")
+
+
 @query("ambiguous_values", """
 SELECT value, COUNT(*) AS n FROM (SELECT DISTINCT p_brand AS value, p_type AS description_nl, p_size % 2 AS label_nl FROM part) t GROUP BY value HAVING COUNT(*) > 1""")
 def ambiguous(x):

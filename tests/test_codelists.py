@@ -1,5 +1,7 @@
 """Code lists, geography, countries, codebook, sources and older metadata."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +148,19 @@ def test_chains_over_any_number_of_versions(spark, rows):
     df = spark.createDataFrame(steps, "version int, id string, next_id string")
     assert rows(geography.version_chains(df, versions), "version", "id", "target", "target_id") == sorted(want, key=repr)
     assert geography.version_chains(df, versions[:1]).count() == geography.version_chains(df.where("id = 'z'"), versions).count() == 0
+
+
+def test_containment_of_many_lists(spark):
+    """Two thousand lists over a few rows, against sets; no pairing of all lists in the plan."""
+    rng = random.Random(6)
+    names = [f"l{k}" for k in range(2000)]
+    table = [[rng.random() < (0.97 if k % 3 else 0.02) for k in range(2000)] for _ in range(24)]
+    for row in table:
+        row[7] = None if rng.random() < 0.2 else True
+        row[9] = False
+    schema = ", ".join(["value string", *(f"{n} boolean" for n in names)])
+    got = {tuple(r) for r in cl.contained_lists(spark.createDataFrame([(f"v{i}", *row) for i, row in enumerate(table)], schema)).collect()}
+    sure = [{i for i, row in enumerate(table) if row[k]} for k in range(2000)]
+    need = [{i for i, row in enumerate(table) if row[k] is not False} for k in range(2000)]
+    assert got == {(f"cl_l{a}", f"cl_l{b}") for b in range(2000) for a in range(2000) if a != b and need[b] <= sure[a]}
+    assert cl.contained_lists(spark.createDataFrame([], "value string, a boolean, b boolean")).count() == 0
