@@ -17,6 +17,7 @@ import struct
 import sys
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 from types import ModuleType
 
 import numpy as np
@@ -28,14 +29,15 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, stage_table, texts_of, tidied
 
 END = 1            # id after each document
-_CACHE = 480_000   # words a worker remembers
+_CACHE = 1_000_000   # words a worker remembers, some 200 bytes each
 _BUCKET = 50_000   # pieces of one length that one task numbers
 
 PLAN = "length int, first long, last long, bin long, copies long, place long"
 
 
-# A word that is letters and, after one of a few sure letters, ASCII punctuation: the pre-tokenizer parts the two always.
-_TAIL = re.compile(rb"(.*(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc9][\x80-\xbf]))([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+# The pre-tokenizer always parts ASCII punctuation, but for apostrophes, from one of a few sure letters before it.
+_MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27)
+_SURE = re.compile(rb".?[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc9][\x80-\xbf]", re.DOTALL)
 
 
 # A word of letters alone whose lower case and normal form are one character each.
@@ -101,16 +103,17 @@ class _WordIds:
 
     def fetch(self, pieces: set[bytes]) -> None:
         """Makes all ``pieces`` known; two generations of half the cache each, as in Remembered."""
-        new = [w for w in pieces if w not in self.known]
+        new = pieces.difference(self.known)
         if len(self.known) + len(new) > _CACHE // 2:
             self.old, self.known = self.known, {}
-            new = list(pieces)
+            new = pieces
         known, old = self.known, self.old
-        known.update((w, old[w]) for w in new if w in old)
+        unseen = new.difference(old)
+        again = new - unseen
+        known.update(zip(again, map(old.__getitem__, again)))
         plain, other = [], []
-        for w in new:
-            if w not in known:
-                (plain if w.isalpha() or _LETTERS.fullmatch(w) else other).append(w)
+        for w in unseen:
+            (plain if w.isalpha() or _LETTERS.fullmatch(w) else other).append(w)
         for words, ids_of in ((plain, self.spelled), (other, lambda part: self.encoded([w.decode() for w in part]))):
             for start in range(0, len(words), 8192):
                 part = words[start:start + 8192]
@@ -119,22 +122,19 @@ class _WordIds:
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """The ids of each of ``words``. Words that end in punctuation are put together each time and not remembered."""
         known = self.known
-        now = {w: known[w] for w in words if w in known}
-        pieces, tails = set(), []
-        for word in words:
-            if word in now:
-                continue
-            if word.isalpha() or not (found := _TAIL.fullmatch(word)):
-                pieces.add(word)
+        missing = words.difference(known)
+        hits = words - missing
+        now = dict(zip(hits, map(known.__getitem__, hits)))
+        whole, tails = set(), []
+        for word in missing:
+            stem = word.rstrip(_MARKS)
+            if len(stem) < len(word) and _SURE.fullmatch(stem[-2:]):
+                tails.append((word, stem, word[len(stem):]))
             else:
-                tails.append((word, *found.groups()))
-        whole = list(pieces)
-        for _, stem, tail in tails:
-            pieces.add(stem)
-            pieces.add(tail)
-        self.fetch(pieces)
+                whole.add(word)
+        self.fetch(whole.union((stem for _, stem, _ in tails), (tail for _, _, tail in tails)))
         known = self.known
-        now.update((w, known[w]) for w in whole)
+        now.update(zip(whole, map(known.__getitem__, whole)))
         now.update((w, known[stem] + known[tail]) for w, stem, tail in tails)
         return now
 
@@ -154,10 +154,11 @@ def _bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _groups(texts: Iterable[str], most: int = 2 << 20) -> Iterator[list[str]]:
+def _groups(documents: Iterable[tuple], most: int = 8 << 20) -> Iterator[list[tuple]]:
+    """(id, text) pairs in lists of some eight million characters, whose words are looked up together."""
     held, size = [], 0
-    for text in texts:
-        held.append(text)
+    for key, text in documents:
+        held.append((key, text))
         size += len(text)
         if size >= most:
             yield held
@@ -173,24 +174,26 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, i
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next(batches, None)
+        if first is None:
+            return
+        schema = pa.schema([("id", first.schema.field("id").type), ("piece", pa.int32()), ("start", pa.int64()),
+                            ("length", pa.int64()), ("ids", pa.binary())])
         words_ids = _WordIds.of_worker(tokenizer_path)
         end, step = np.array([END], "<u4").tobytes(), 4 * max_tokens
-        for batch in batches:
-            schema = pa.schema([("id", batch.schema.field("id").type), ("piece", pa.int32()), ("start", pa.int64()),
-                                ("length", pa.int64()), ("ids", pa.binary())])
-
-            def rows():
-                keys = iter(batch.column("id").to_pylist())
-                for texts in _groups(texts_of(batch)):
-                    split = [words_ids.split(t) for t in texts]
-                    now = words_ids.learn(set().union(*filter(None, split)))
-                    for text, words in zip(texts, split):
-                        key, ids = next(keys), words_ids.ids(text, words, now) + end
-                        for k, at in enumerate(range(0, len(ids), step)):
-                            part = ids[at:at + step]
-                            yield key, k, at // 4, len(part) // 4, part
-            yield from arrow_batches(rows(), schema, weight=lambda r: len(r[4]))
+        documents = ((key, text) for batch in chain([first], batches) for key, text in zip(batch.column("id").to_pylist(), texts_of(batch)))
+
+        def rows():
+            for group in _groups(documents):
+                split = [words_ids.split(text) for _, text in group]
+                now = words_ids.learn(set().union(*filter(None, split)))
+                for (key, text), words in zip(group, split):
+                    ids = words_ids.ids(text, words, now) + end
+                    for k, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at:at + step]
+                        yield key, k, at // 4, len(part) // 4, part
+        yield from arrow_batches(rows(), schema, weight=lambda r: len(r[4]))
 
     read = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return read.mapInArrow(tidied(cut), f"id {kind}, piece int, start long, length long, ids binary").withColumnRenamed("id", id_col)
