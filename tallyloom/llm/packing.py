@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, stage_table, texts_of, tidied
 
 END = 1            # id after each document
-_CACHE = 1_000_000   # words a worker remembers, some 200 bytes each
+_CACHE = 480_000   # words a worker remembers
 _BUCKET = 50_000   # pieces of one length that one task numbers
 
 PLAN = "length int, first long, last long, bin long, copies long, place long"
@@ -154,8 +154,8 @@ def _bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _groups(documents: Iterable[tuple], most: int = 8 << 20) -> Iterator[list[tuple]]:
-    """(id, text) pairs in lists of some eight million characters, whose words are looked up together."""
+def _groups(documents: Iterable[tuple], most: int = 4 << 20) -> Iterator[list[tuple]]:
+    """(id, text) pairs in lists of some four million characters, whose words are looked up together."""
     held, size = [], 0
     for key, text in documents:
         held.append((key, text))
