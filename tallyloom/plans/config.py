@@ -72,6 +72,7 @@ class EditionConfig:
     found_covariates: str = r"refnis\d{4}lvl2"  # columns found by name, as the year of the areas differs
     person: str = "pseudo_id"
     response: str = "row_id"
+    break_ties: bool = False  # equally good responses of a person: False keeps all, True the one with the smallest key
     cap: float = 5.0
     tol: float = 1e-6
     max_sweeps: int = 500

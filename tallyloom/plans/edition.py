@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import cleaning, derive, identifiers, margins, raking, responses, validation
 from ..operators.batteries import clean_batteries, clean_filters
 from ..operators.responses import Question
-from ..session import stage_table
+from ..session import emptied_stages, stage_table
 from ..sources.tables import write_partitioned
 from .config import EditionConfig
 
@@ -31,6 +31,22 @@ class EditionInputs:
     education: DataFrame | None = None
 
 
+@dataclass
+class EditionMetadata:
+    """What a run is checked against: the DSD of the raw survey and that of the result, with the code lists of both.
+
+    ``answers`` is (value, vallabel), ``variables`` (variable, concept_id), ``editions`` has surv_id and sample_n.
+    """
+
+    survey_dsd: DataFrame
+    published_dsd: DataFrame
+    codelists: DataFrame
+    answers: DataFrame
+    variables: DataFrame
+    editions: DataFrame
+    technical: tuple[str, ...] = ("resp_qrurl",)
+
+
 def clean_responses(df: DataFrame, cfg: EditionConfig) -> DataFrame:
     """Corrections, batteries, filters: expressions over the columns of one row."""
     return (df.transform(cleaning.correct_inconsistencies)
@@ -89,7 +105,7 @@ def process_edition(inputs: EditionInputs, questions: Sequence[Question], cfg: E
     """
     merged = cleaning.merge_sources(inputs.sample, inputs.survey, inputs.edition, inputs.contacts, cfg.surv_id)
     analysed = stage_table(analyse_responses(clean_responses(merged, cfg), questions, cfg))
-    single = stage_table(responses.dedupe_responses(analysed, cfg.person))
+    single = stage_table(responses.dedupe_responses(analysed, cfg.person, cfg.response if cfg.break_ties else None))
     weighted = weight_responses(derive_variables(single, inputs, cfg), inputs.targets, cfg)
     return name_responses(weighted, cfg, single)
 
@@ -119,3 +135,26 @@ def relabel_survey(survey: DataFrame, dsd: DataFrame, codelists: DataFrame, answ
     # looked up once per column, so computed once
     displays = stage_table(validation.display_values(codelists, answers))
     return survey.transform(validation.relabel_codes, lists, displays).withColumnsRenamed(named)
+
+
+def read_survey(survey: DataFrame, meta: EditionMetadata) -> DataFrame:
+    """Raw responses with displayed labels -> checked responses with code values under concept names.
+
+    The cross-field rules, the raw DSD and the labels are checked first, so no unknown label is lost as NULL.
+    """
+    named = validation.rename_to_concepts(validation.require_consistent(survey), meta.variables)
+    displays = stage_table(validation.display_values(meta.codelists, meta.answers))
+    checked = validation.validate(named, meta.survey_dsd, displays.select("codelist", F.col("display").alias("value")))
+    lists = {c.concept_id: c.codelist for c in validation.concepts_for(meta.survey_dsd, checked.columns) if c.kind == "codelist"}
+    return cleaning.drop_technical(validation.relabel_codes(checked, lists, displays), meta.technical)
+
+
+def run_edition(inputs: EditionInputs, meta: EditionMetadata, questions: Sequence[Question], cfg: EditionConfig, path: str) -> DataFrame:
+    """The chain with its checks before and after: the raw survey in ``inputs`` -> the edition's published partition, read back.
+
+    Stage tables, which hold answers next to person keys, are empty when this returns or fails.
+    """
+    with emptied_stages():
+        out = process_edition(replace(inputs, survey=read_survey(inputs.survey, meta)), questions, cfg)
+        publish_edition(out, meta.editions, meta.published_dsd, meta.codelists, path)
+    return inputs.sample.sparkSession.read.parquet(path).where(F.col("surv_id") == cfg.surv_id)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +51,25 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_staged: ContextVar[list | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def emptied_stages() -> Iterator[None]:
+    """Stage tables written inside are emptied at the end, also after an error.
+
+    They may hold person keys. What is needed of them must be written elsewhere before the end.
+    """
+    mine: list[tuple[str, DataFrame]] = []
+    token = _staged.set(mine)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for path, table in mine:
+            table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(path)
+
+
 def stage_table(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and go on from that table.
 
@@ -56,6 +78,8 @@ def stage_table(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    if (mine := _staged.get()) is not None:
+        mine.append((path, df))  # before the write, which may fail half way
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

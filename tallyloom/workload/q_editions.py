@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..operators.derive import YES_NO
 from ..operators.margins import population_margins, register_covariates
 from ..operators.responses import Question
 from ..plans.config import EditionConfig
-from ..plans.edition import EditionInputs, process_edition
+from ..plans.edition import EditionInputs, EditionMetadata, process_edition, run_edition
+from ..session import stage_table
 from . import sqltext as t
 from .inputs import oracle
 from .registry import query
@@ -86,3 +89,52 @@ def edition(x):
     """The whole chain: merge, correct, recode, classify, de-duplicate, derive, weight."""
     out = process_edition(edition_inputs(x), QUESTIONS, CONFIG)
     return out.select(*_OUT, F.round("psweight", 4).alias("psweight"))
+
+
+# The raw survey as respondents saw it: displayed labels under the names of a questionnaire.
+LABELS = {"yes": "Ja", "no": "Neen", "dkn": "Weet niet", "invalid": "Ongeldig", "daily": "Dagelijks", "weekly": "Wekelijks", "monthly": "Maandelijks",
+          "yearly": "Jaarlijks", "never": "Nooit"}
+_ASKED_CODES = ["sr_sex", "sr_byear", "sr_bmnth", "hh_partn", "hh_child", "hh_par", "hh_dk", "hh_alone", "sptfreq", "spt_walk", "spt_dk", "mem_sport",
+                "mem_hobby", "mem_none", "mem_dk"]
+VARIABLES = {f"V{i + 1}": c for i, c in enumerate(_ASKED_CODES)}
+_LABEL = " ".join(f"WHEN '{code}' THEN '{label}'" for code, label in LABELS.items())
+_RAW = f"""SELECT row_id, pseudo_id, resp_mode, resp_date, resp_fwdisp, CASE WHEN resp_mode = 'online' THEN 'url' END AS resp_qrurl,
+  nhh_nchld, nhh_nadlt, nhh_nsnr, {', '.join(f"CASE {c} {_LABEL} END AS {v}" for v, c in VARIABLES.items())}
+FROM ({_SURVEY}) s"""
+
+# (concepts, kind of constraint or code list, may be missing)
+_ANSWERED = [(_ASKED_CODES, "answer", True), (["nhh_nchld", "nhh_nadlt", "nhh_nsnr"], "integer", True)]
+_SURVEY_DSD = [*_ANSWERED, (["row_id", "pseudo_id"], "integer", False), (["resp_mode"], "mode", False), (["resp_date"], "date", True),
+               (["resp_fwdisp"], "character", False), (["resp_qrurl"], "character", True)]
+_PUBLISHED_DSD = [*_ANSWERED, (["surv_id", "resp_id", "resp_id_suf", "resp_id_puf", "fw_period", "surv_semester", "resp_disp", "resp_stat"], "character", False),
+                  (["resp_time", "resp_drop", "agecat7", "agecat4", "natltygrp", PROVINCE, "hhpos", "hhposb"], "character", True),
+                  (["sex"], "sex", True), (["resp_mode"], "mode", True), (["resp_date"], "date", True), (["surv_year", "refnis2019lvl4", "natlty"], "integer", False),
+                  (["bth_year", "age", "memtot"], "integer", True), (["resp_pct", "psweight"], "numeric", True)]
+CODELISTS = {"answer": [*LABELS, "na"], "mode": ["online", "paper"], "sex": ["male", "female"]}
+
+
+def _dsd(spark, groups):
+    rows = [(c, c, "codelist" if kind in CODELISTS else kind, kind if kind in CODELISTS else None, None, 0.0 if kind == "numeric" else None, None, missing)
+            for concepts, kind, missing in groups for c in concepts]
+    return spark.createDataFrame(rows, "concept_id string, label_nl string, constraint_type string, constraint_codelist string, constraint_regex string, "
+                                       "constraint_min double, constraint_max double, constraint_allow_missings boolean")
+
+
+def edition_metadata(x) -> EditionMetadata:
+    make = x.spark.createDataFrame
+    return EditionMetadata(
+        _dsd(x.spark, _SURVEY_DSD), _dsd(x.spark, _PUBLISHED_DSD), make([(name, v) for name, values in CODELISTS.items() for v in values], "codelist string, value string"),
+        make(list(LABELS.items()), "value string, vallabel string"), make(list(VARIABLES.items()), "variable string, concept_id string"),
+        make([("SV0001", x.table("customer").count())], "surv_id string, sample_n long"))
+
+
+@query("edition_published", oracle(_SQL.replace(t.BEST, t.BEST.removesuffix(")") + ", row_id)") + f"""SELECT 'SV0001' AS surv_id, {', '.join('der.' + c for c in [*_OUT, *_ASKED_CODES] if c not in ('spt_walk', 'hh_alone'))},
+  der.spt_walk, der.hh_alone, ROUND(psweight, 4) AS psweight FROM der LEFT JOIN raked ON raked.resp_id = der.resp_id"""))
+def edition_published(x):
+    """From raw responses with displayed labels to the published partition: checks, codes, chain, checks, write, read back.
+
+    Persons are counted before publishing, so equally good responses of one person leave one.
+    """
+    raw = stage_table(x.sql(_RAW))  # a raw survey arrives as a table
+    out = run_edition(replace(edition_inputs(x), survey=raw), edition_metadata(x), QUESTIONS, replace(CONFIG, break_ties=True), x.folder())
+    return out.select("surv_id", *dict.fromkeys([*_OUT, *_ASKED_CODES]), F.round("psweight", 4).alias("psweight"))

@@ -9,8 +9,9 @@ from tallyloom.operators import validation as v
 from tallyloom.operators.batteries import Battery, FilteredQuestion
 from tallyloom.operators.responses import question_list, question_progress
 from tallyloom.plans.config import BATTERIES, COUNTS, FILTERS, EditionConfig
-from tallyloom.plans.edition import EditionInputs, process_edition, publish_edition, relabel_survey
+from tallyloom.plans.edition import EditionInputs, EditionMetadata, process_edition, publish_edition, read_survey, relabel_survey
 from tallyloom.plans.population import margins_all_years
+from tallyloom.session import emptied_stages, stage_table
 
 DSD = "concept_id string, label_nl string, constraint_type string, constraint_codelist string, constraint_regex string, " \
       "constraint_min double, constraint_max double, constraint_allow_missings boolean"
@@ -88,3 +89,40 @@ def test_each_year_uses_its_own_area_list(spark, rows):
     out = margins_all_years({2021: register, 2023: register}, areas, groups)
     assert rows(out.where("covariate = 'province'"), "year", "category", "p") == [(2021, "p1", 0.5), (2021, "p2", 0.5), (2023, "q1", 0.5), (2023, "q3", 0.5)]
     assert rows(out.where("covariate = 'natltygrp'"), "year", "n", "p") == [(2021, 2, 1.0), (2023, 1, 1.0)]
+
+
+def _metadata(spark):
+    lists = spark.createDataFrame([("yn", "yes"), ("yn", "no"), ("yn", "dkn")], "codelist string, value string")
+    answers = spark.createDataFrame([("yes", "Ja"), ("no", "Neen"), ("dkn", "Weet niet")], "value string, vallabel string")
+    kinds = {"row_id": "integer", "resp_mode": "character", "resp_date": "date", "resp_fwdisp": "character", "resp_qrurl": "character", "sr_sex": "codelist"}
+    survey = spark.createDataFrame([(c, c, k, "yn" if k == "codelist" else None, None, None, None, c != "row_id") for c, k in kinds.items()], DSD)
+    variables = spark.createDataFrame([("V1", "sr_sex")], "variable string, concept_id string")
+    return EditionMetadata(survey, survey, lists, answers, variables, spark.createDataFrame([("SV0001", 1)], "surv_id string, sample_n int"))
+
+
+def _survey(spark, label, mode="online"):
+    return spark.createDataFrame([(1, mode, dt.date(2024, 1, 1), "answer", "url", label), (2, mode, dt.date(2024, 1, 1), "answer", "url", None)],
+                                 "row_id int, resp_mode string, resp_date date, resp_fwdisp string, resp_qrurl string, V1 string")
+
+
+def test_raw_survey_is_checked_before_labels_become_codes(spark, rows):
+    meta = _metadata(spark)
+    assert rows(read_survey(_survey(spark, "Ja"), meta), "row_id", "sr_sex") == [(1, "yes"), (2, None)]
+    assert "resp_qrurl" not in read_survey(_survey(spark, "Ja"), meta).columns
+    with pytest.raises(v.ValidationError, match="sr_sex: codelist"):
+        read_survey(_survey(spark, "Misschien"), meta)
+    with pytest.raises(v.ValidationError, match="not online but with date: 2 responses"):
+        read_survey(_survey(spark, "Ja", "paper"), meta)
+
+
+def test_stages_are_empty_after_their_scope(spark):
+    df = spark.range(10).selectExpr("id", "id % 2 AS k")
+    outside = stage_table(df)
+    with pytest.raises(ZeroDivisionError), emptied_stages():
+        plain, parted = stage_table(df), stage_table(df, ("k",))
+        assert plain.count() == parted.count() == 10
+        raise ZeroDivisionError
+    for staged in (plain, parted):
+        folder = staged.inputFiles()[0].split("/stage-")[0] + "/stage-" + staged.inputFiles()[0].split("/stage-")[1].split("/")[0]
+        assert spark.read.schema(df.schema).parquet(folder).count() == 0
+    assert outside.count() == 10
