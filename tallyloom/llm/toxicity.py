@@ -5,7 +5,8 @@ absent from ordinary text. A window is a word; it is compressed with the ordinar
 (length with the toxic dictionary, length saved by it) falls in a cell whose likelihood ratio is calibrated on labelled
 windows. A logistic regression on a document's strongest windows and on the share of suspect ones gives its score. Bytes are
 spelled as four-byte codes before compression, so that one short word is long enough for zstandard to show what it saves.
-Dictionaries and calibration use a bounded sample of labelled documents (``each`` of either label); scores use whole texts.
+Dictionaries and calibration use a bounded sample of labelled documents (``each`` of either label); scores use whole texts. What
+the dictionaries are chosen from is bounded by ``Teaching``, as one process trains them.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,24 @@ _WINDOW = 40           # bytes of the longest window; a longer word is several
 _KNOWN = 200_000       # windows a worker remembers
 _LONG, _SAVED = 40, 18  # cells: compressed length, bytes saved
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]{1,%d}" % _WINDOW)
+
+
+@dataclass(frozen=True)
+class Teaching:
+    """What the dictionaries learn from: the windows in most documents of a label, each as often as documents have it, up to a bound.
+
+    A window is toxic if it stands in a share of ``recurs`` of the toxic documents, at least in three, and is ``odds`` times as
+    frequent in those as in ordinary ones; other windows that two ordinary documents have are ordinary.
+    """
+
+    toxic_windows: int = 4000
+    ordinary_windows: int = 60_000
+    toxic_copies: int = 50
+    ordinary_copies: int = 20
+    recurs: float = 0.005
+    odds: int = 20
+
+
 _CODES = [hashlib.sha256(bytes([b])).digest()[:4] for b in range(256)]
 
 
@@ -68,8 +88,10 @@ class Cells(Remembered):
 
 def _trained(size: int, frequencies: list[tuple[bytes, int]], most: int) -> bytes:
     """A dictionary of windows, each given as often as it occurs up to ``most`` times, in an order drawn by hash."""
-    samples = sorted(((hashlib.md5(b"%d:%s" % (k, w)).digest(), _spelled(w)) for w, n in frequencies for k in range(min(n, most))))
-    samples = [s for _, s in samples]
+    spelled = [_spelled(w) for w, _ in frequencies]  # one object for all copies of a window
+    copies = [(int.from_bytes(hashlib.md5(b"%d:%s" % (k, w)).digest()[:8]), i) for i, (w, n) in enumerate(frequencies) for k in range(min(n, most))]
+    copies = np.array(copies, [("hash", "u8"), ("window", "i4")])
+    samples = [spelled[i] for i in copies["window"][np.argsort(copies["hash"], kind="stable")].tolist()]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:  # too little text to choose from: take what there is
@@ -97,8 +119,9 @@ class Model:
         return self.constant if self.fit is None else float(self.fit(self.features(cells)[None])[0])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", each: int = EACH) -> Model:
-    """Fits on labelled documents that are not held out, ``each`` of either label at most.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", each: int = EACH,
+          teaching: Teaching = Teaching()) -> Model:
+    """Fits on labelled documents that are not held out, ``each`` of either label at most; ``teaching`` bounds the dictionaries.
 
     Without documents of both labels the score is the share of toxic ones among those there are, 0 without any.
     """
@@ -120,11 +143,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     seen = stage_table(sample.select("text", "label").mapInArrow(tidied(distinct), "w binary, label int")
                        .groupBy("w").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good")))
-    least = max(3, bad // 200)
-    recurs = f"bad >= {least} AND good * {bad} * 20 <= bad * {good}"
-    toxic = seen.filter(recurs).orderBy(F.desc("bad"), "w").limit(4000).collect()
-    plain = seen.filter(f"good >= 2 AND NOT ({recurs})").orderBy(F.desc("good"), "w").limit(20_000).collect()
-    model = Model(_trained(_ORDINARY, [(bytes(r["w"]), r["good"]) for r in plain], 6), _trained(_TOXIC, [(bytes(r["w"]), r["bad"]) for r in toxic], 50))
+    least = max(3, int(bad * teaching.recurs))
+    recurs = f"bad >= {least} AND good * {bad} * {teaching.odds} <= bad * {good}"
+    toxic = seen.filter(recurs).orderBy(F.desc("bad"), "w").limit(teaching.toxic_windows).collect()
+    plain = seen.filter(f"good >= 2 AND NOT ({recurs})").orderBy(F.desc("good"), "w").limit(teaching.ordinary_windows).collect()
+    model = Model(_trained(_ORDINARY, [(bytes(r["w"]), r["good"]) for r in plain], teaching.ordinary_copies),
+                  _trained(_TOXIC, [(bytes(r["w"]), r["bad"]) for r in toxic], teaching.toxic_copies))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, total = model.cells(), np.zeros((2, _LONG * _SAVED), np.int64)
