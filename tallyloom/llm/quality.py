@@ -1,11 +1,13 @@
 """Quality by co-training.
 
-Two classifiers see different views of a document: its text (shares of character classes, repetition, word and line shapes) and
-the metadata of its page (source, language, stated length). Both start from the same labelled rows. In each round each view
+Two classifiers see different views of a document: its text (words and pairs of words, shares of character classes, repetition,
+word and line shapes) and the metadata of its page (source, language, stated length). Words and pairs are hashed to buckets; a
+bucket weighs by the log odds of its documents' labels, and a document's evidence is the mean of its buckets' weights, for a
+teaching document by weights from the other half of those. Both views start from the same labelled rows. In each round each view
 labels a pool of unlabelled documents, and those it is most sure of, in the proportion of the labels, are given to the *other*
 view to learn from. At the end a regression over the two scores, fitted on labelled rows that neither view learned from,
-calibrates and combines them; it scores every document over its whole text. Labelled rows (``each`` of either label) and the
-pool (``pool`` rows) are bounded samples.
+calibrates and combines them; a view without which held-back rows of those are predicted as well is left out. It scores every
+document over its whole text. Labelled rows (``each`` of either label) and the pool (``pool`` rows) are bounded samples.
 """
 
 from __future__ import annotations
@@ -21,9 +23,12 @@ from pyspark.sql import functions as F
 
 from .common import stage_table, tidied
 from .learn import Logistic, held_out, teaching_rows
+from .shingles import WordHashes, mix
 
 EACH, POOL, ROUNDS, SURE = 4000, 12_000, 6, 400
 _SOURCES, _LANGS = 64, 16  # buckets of the two names
+_GRAMS = 1 << 16           # buckets of words and pairs of words
+_SEEN = 3                  # documents a bucket must have to weigh
 
 # Classes of bytes: 0 other, 1 lower, 2 upper, 3 digit, 4 white space, 5 sentence marks, 6 symbols, 7 beyond ASCII.
 _CLASS = np.zeros(256, np.uint8)
@@ -52,6 +57,42 @@ def text_view(text: str | None) -> list[float]:
             plain / len(words) * size, counts.most_common(1)[0][1] / len(words), repeats, odd, marks, len(set(lines)) / len(lines), float(np.log1p(len(words) / len(lines)))]
 
 
+def grams(text: str | None, hashes: WordHashes) -> np.ndarray:
+    """Distinct buckets of the words, A-Z lowered, and of the pairs of neighbouring words of the whole text."""
+    words = hashes.of(text)
+    pairs = mix(words[:-1] * np.uint64(3) + words[1:])
+    seen = np.zeros(_GRAMS, bool)
+    seen[np.concatenate([words, pairs]) >> np.uint64(48)] = True
+    return np.flatnonzero(seen).astype(np.uint16)
+
+
+class Evidence:
+    """What the words of a document say about its label."""
+
+    def __init__(self, documents: list[np.ndarray], label: np.ndarray):
+        counts = [np.zeros(_GRAMS), np.zeros(_GRAMS)]
+        for found, y in zip(documents, label.astype(int)):
+            counts[y][found] += 1
+        bad, good = ((c + 0.5) / (n + 1) for c, n in zip(counts, ((label == 0).sum(), (label == 1).sum())))
+        self.weights = np.where(counts[0] + counts[1] >= _SEEN, np.log(good) - np.log(bad), 0.0)
+
+    def __call__(self, found: np.ndarray) -> float:
+        return float(self.weights[found].mean()) if len(found) else 0.0
+
+
+def cross_fitted(documents: list[np.ndarray], label: np.ndarray, teach: np.ndarray) -> tuple[Evidence, np.ndarray]:
+    """Evidence from all teaching documents, and what it is of each document; of a teaching one by the other half of them."""
+    def learned(rows: np.ndarray) -> Evidence:
+        return Evidence([documents[i] for i in rows], label[rows])
+    own = np.flatnonzero(teach)
+    # rows come in order of their label, so every second one is a fair half
+    whole, halves = learned(own), (learned(own[1::2]), learned(own[::2]))
+    out = np.array([whole(found) for found in documents])
+    for place, i in enumerate(own):
+        out[i] = halves[place % 2](documents[i])
+    return whole, out
+
+
 def metadata_view(source: str | None, lang: str | None, chars: int | None) -> list[float]:
     """Features of the page's metadata; a null has a place of its own."""
     out = [0.0] * (_SOURCES + _LANGS + 4)
@@ -86,6 +127,25 @@ def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, pool_text: n
     return fits[0], fits[1]
 
 
+def joint_fit(logits: np.ndarray, label: np.ndarray, folds: int = 5) -> tuple[Logistic, list[int]]:
+    """The regression over the views' scores and the views it uses: the one view that predicts held-back folds best, or both
+    where their loss is smaller by over twice its standard error."""
+    fold = np.arange(len(label)) % folds
+
+    def losses(used: list[int]) -> np.ndarray:
+        out = np.zeros(len(label))
+        for k in range(folds):
+            rest, own = fold != k, fold == k
+            if len(set(label[rest])) == 2:
+                p = np.clip(Logistic(logits[rest][:, used], label[rest], 1.0)(logits[own][:, used]), 1e-6, 1 - 1e-6)
+                out[own] = -(label[own] * np.log(p) + (1 - label[own]) * np.log(1 - p))
+        return out
+    alone, lost = min((([k], losses([k])) for k in (0, 1)), key=lambda one: one[1].sum())
+    won = lost - losses([0, 1])
+    used = [0, 1] if won.mean() > 2 * won.std() / np.sqrt(len(won)) else alone
+    return Logistic(logits[:, used], label), used
+
+
 def _logit(p: np.ndarray) -> np.ndarray:
     p = np.clip(p, 1e-6, 1 - 1e-6)
     return np.log(p / (1 - p))
@@ -94,8 +154,9 @@ def _logit(p: np.ndarray) -> np.ndarray:
 class Model:
     """The two views and their calibrated combination, or a constant where labels of one kind are missing."""
 
-    def __init__(self, views: tuple[Logistic, Logistic] | None = None, joint: Logistic | None = None, constant: float = 0.0):
-        self.views, self.joint, self.constant = views, joint, constant
+    def __init__(self, views: tuple[Logistic, Logistic] | None = None, joint: tuple[Logistic, list[int]] | None = None,
+                 evidence: Evidence | None = None, constant: float = 0.0):
+        self.views, self.joint, self.evidence, self.constant = views, joint, evidence, constant
 
     def scores(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Combined score, and those of the views."""
@@ -103,20 +164,24 @@ class Model:
             same = np.full(len(text), self.constant)
             return same, same, same
         one, two = self.views[0](text), self.views[1](meta)
-        return self.joint(np.stack([_logit(one), _logit(two)], axis=1)), one, two
+        fit, used = self.joint
+        return fit(np.stack([_logit(one), _logit(two)], axis=1)[:, used]), one, two
 
 
 def _described(docs: DataFrame, extra: list[str]) -> DataFrame:
-    """x (text view), m (metadata view) and the columns ``extra`` of rows text, source, lang, chars."""
+    """x (text view), g (buckets of words), m (metadata view) and the columns ``extra`` of rows text, source, lang, chars."""
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
             x = [text_view(t.as_py()) for t in batch.column("text")]
+            g = [grams(t.as_py(), hashes).tobytes() for t in batch.column("text")]
             m = [metadata_view(*row) for row in zip(*[batch.column(c).to_pylist() for c in ("source", "lang", "chars")])]
             kind = pa.list_(pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(x, kind), pa.array(m, kind), *[batch.column(c) for c in extra]], names=["x", "m", *extra])
-    return docs.mapInArrow(tidied(describe), "x array<double>, m array<double>" + "".join(f", {c} {kinds[c]}" for c in extra))
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind), pa.array(g, pa.binary()), pa.array(m, kind), *[batch.column(c) for c in extra]],
+                                             names=["x", "g", "m", *extra])
+    return docs.mapInArrow(tidied(describe), "x array<double>, g binary, m array<double>" + "".join(f", {c} {kinds[c]}" for c in extra))
 
 
 def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -136,30 +201,35 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = stage_table(chosen.union(free.select("_id", F.lit(-1), F.lit(-1))))
     read = _read(docs, id_col, text_col).join(F.broadcast(chosen), F.col("id") == F.col("_id"))
     rows = _described(read.repartition(16), ["label", "half"]).collect()
-    rows = sorted(((r["label"], r["half"], r["x"], r["m"]) for r in rows))
+    rows = sorted(((r["label"], r["half"], r["x"], r["m"], bytes(r["g"])) for r in rows))
     label, half = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
     seen = set(label.tolist()) - {-1}
     if len(seen) < 2:
         return Model(constant=float(seen.pop()) if seen else 0.0)
+    found = [np.frombuffer(r[4], np.uint16) for r in rows]
     x, m = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
     teach, judge, loose = (label >= 0) & (half == 0), (label >= 0) & (half == 1), label < 0
     if len(set(label[teach])) < 2 or len(set(label[judge])) < 2:
         teach = judge = label >= 0
+    evidence, words = cross_fitted(found, label, teach)
+    x = np.column_stack([x, words])
     views = co_train(x[teach], m[teach], label[teach].astype(float), x[loose], m[loose], rounds) if loose.any() else (
         Logistic(x[teach], label[teach].astype(float), 1.0), Logistic(m[teach], label[teach].astype(float), 1.0))
     both = np.stack([_logit(views[0](x[judge])), _logit(views[1](m[judge]))], axis=1)
-    return Model(views, Logistic(both, label[judge].astype(float)))
+    return Model(views, joint_fit(both, label[judge].astype(float)), evidence)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, score, text_score, metadata_score of every row."""
+    """``id_col``, score, text_score, metadata_score of every row; repeated rows and rows without an id are rows like others."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
             if not len(batch):
                 continue
-            x = np.array([text_view(t.as_py()) for t in batch.column("text")])
+            words = model.evidence or (lambda found: 0.0)
+            x = np.array([[*text_view(t.as_py()), words(grams(t.as_py(), hashes))] for t in batch.column("text")])
             m = np.array([metadata_view(*row) for row in zip(*[batch.column(c).to_pylist() for c in ("source", "lang", "chars")])])
             yield pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(s) for s in model.scores(x, m)]], names=["id", "score", "text_score", "metadata_score"])
     out = _read(docs, id_col, text_col).mapInArrow(tidied(scored), f"id {kind}, score double, text_score double, metadata_score double")

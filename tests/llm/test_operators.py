@@ -657,3 +657,25 @@ def test_conversations_in_several_layouts_read_back_alike(spark):
     assert {r["layout"] for r in _collect(formatted)} == {m.name for m in chat.PLAIN}
     both = [sorted(tuple(r) for r in chat.read_back(f, "conv_id").collect()) for f in (formatted, chat.format_records(chat.conversation_records(df), "conv_id"))]
     assert both[0] == both[1] and len(both[0]) == 40
+
+
+def test_a_view_without_signal_is_left_out():
+    rng = np.random.default_rng(12)
+    y = (rng.random(1500) < 0.6).astype(float)
+    good, noise, other = y * 3 - 1.5 + rng.normal(0, 1, 1500), rng.normal(0, 3, 1500), y * 2 - 1 + rng.normal(0, 1, 1500)
+    assert quality.joint_fit(np.stack([good, noise], axis=1), y)[1] == [0]
+    assert quality.joint_fit(np.stack([noise, good], axis=1), y)[1] == [1]
+    assert quality.joint_fit(np.stack([good, other], axis=1), y)[1] == [0, 1]
+
+
+def test_words_are_evidence_of_quality():
+    rng = np.random.default_rng(13)
+    hashes = quality.WordHashes()
+    y = np.repeat([0, 1], 200)
+    texts = [" ".join([*rng.choice([f"w{i}" for i in range(300)], 30), ("spam" if not v else "fact") if rng.random() < 0.8 else "both"]) for v in y]
+    found = [quality.grams(t, hashes) for t in texts]
+    assert len(quality.grams(None, hashes)) == len(quality.grams(" \n", hashes)) == 0
+    assert set(quality.grams("A b a", hashes)) == set(quality.grams("a B A", hashes))
+    whole, evidence = quality.cross_fitted(found, y, np.arange(400) % 4 > 0)
+    assert evidence[y == 1].mean() > evidence[y == 0].mean() + 0.05
+    assert whole(quality.grams("spam", hashes)) < 0 < whole(quality.grams("fact", hashes)) and whole(quality.grams("", hashes)) == 0.0
