@@ -35,9 +35,11 @@ _BUCKET = 50_000   # pieces of one length that one task numbers
 PLAN = "length int, first long, last long, bin long, copies long, place long"
 
 
-# The pre-tokenizer always parts ASCII punctuation, but for apostrophes, from one of a few sure letters before it.
-_MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27)
-_SURE = re.compile(rb".?[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc9][\x80-\xbf]", re.DOTALL)
+# The pre-tokenizer always parts ASCII punctuation, but for apostrophes, from one of a few sure letters before it: so may a space where
+# a word ends in it, and a word with and without a full stop is one word to look up.
+_MARK = b"[" + re.escape(bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27)) + b"]"
+_TAIL = re.compile(_MARK + rb"(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].)|(?<=\xc4[\x80-\xaf\xb1-\xbf].)|(?<=[\xc5-\xc9][\x80-\xbf].))"
+                   + _MARK + rb"*(?=\s|\Z)")
 
 
 # A word of letters alone whose lower case and normal form are one character each.
@@ -86,8 +88,8 @@ class _WordIds:
         if not self.apart or any(token in lowered for token in self.added):
             return None
         if not raw.translate(None, _PLAIN):
-            return lowered.split()
-        return [w if w.translate(None, _PLAIN) else w.lower() for w in raw.split()]
+            return _TAIL.sub(rb" \g<0>", lowered).split()
+        return [w if w.translate(None, _PLAIN) else w.lower() for w in _TAIL.sub(rb" \g<0>", raw).split()]
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         return [_bytes(got.ids) for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -101,12 +103,12 @@ class _WordIds:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
-    def fetch(self, pieces: set[bytes]) -> None:
-        """Makes all ``pieces`` known; two generations of half the cache each, as in Remembered."""
-        new = pieces.difference(self.known)
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of each of ``words``, among others; two generations of half the cache each, as in Remembered."""
+        new = words.difference(self.known)
         if len(self.known) + len(new) > _CACHE // 2:
             self.old, self.known = self.known, {}
-            new = pieces
+            new = words
         known, old = self.known, self.old
         unseen = new.difference(old)
         again = new - unseen
@@ -114,39 +116,21 @@ class _WordIds:
         plain, other = [], []
         for w in unseen:
             (plain if w.isalpha() or _LETTERS.fullmatch(w) else other).append(w)
-        for words, ids_of in ((plain, self.spelled), (other, lambda part: self.encoded([w.decode() for w in part]))):
-            for start in range(0, len(words), 8192):
-                part = words[start:start + 8192]
+        for part_of, ids_of in ((plain, self.spelled), (other, lambda part: self.encoded([w.decode() for w in part]))):
+            for start in range(0, len(part_of), 8192):
+                part = part_of[start:start + 8192]
                 known.update(zip(part, ids_of(part)))
+        return known
 
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of each of ``words``. Words that end in punctuation are put together each time and not remembered."""
-        known = self.known
-        missing = words.difference(known)
-        hits = words - missing
-        now = dict(zip(hits, map(known.__getitem__, hits)))
-        whole, tails = set(), []
-        for word in missing:
-            stem = word.rstrip(_MARKS)
-            if len(stem) < len(word) and _SURE.fullmatch(stem[-2:]):
-                tails.append((word, stem, word[len(stem):]))
-            else:
-                whole.add(word)
-        self.fetch(whole.union((stem for _, stem, _ in tails), (tail for _, _, tail in tails)))
-        known = self.known
-        now.update(zip(whole, map(known.__getitem__, whole)))
-        now.update((w, known[stem] + known[tail]) for w, stem, tail in tails)
-        return now
-
-    def ids(self, text: str, words: list[bytes] | None, now: dict[bytes, bytes]) -> bytes:
+    def ids(self, text: str, words: list[bytes] | None, known: dict[bytes, bytes]) -> bytes:
         if words is None or not self.apart:
             return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        out = b"".join(map(now.__getitem__, words))
+        out = b"".join(map(known.__getitem__, words))
         if not self.checked and words:
             self.checked = True
             if _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids) != out:
                 self.apart = False
-                return self.ids(text, None, now)
+                return self.ids(text, None, known)
         return out
 
 
@@ -187,9 +171,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, i
         def rows():
             for group in _groups(documents):
                 split = [words_ids.split(text) for _, text in group]
-                now = words_ids.learn(set().union(*filter(None, split)))
+                known = words_ids.learn(set().union(*filter(None, split)))
                 for (key, text), words in zip(group, split):
-                    ids = words_ids.ids(text, words, now) + end
+                    ids = words_ids.ids(text, words, known) + end
                     for k, at in enumerate(range(0, len(ids), step)):
                         part = ids[at:at + step]
                         yield key, k, at // 4, len(part) // 4, part
