@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import validation as v
 from ..operators.validation import Concept
+from ..plans.publishing import publish_checked
+from ..sources import versions
 from ..sources.tables import write_partitioned
 from .inputs import oracle
 from .registry import query
@@ -202,3 +204,38 @@ def revalidated(x):
     if again.columns != [row[1] for row in _SOUND_DSD]:
         raise v.ValidationError(f"columns are not in the order of the DSD: {again.columns}")
     return again.withColumn("day", F.col("day").cast("string"))
+
+
+def _concept_rows(x):
+    rows = [(i, c.concept_id, c.kind, c.codelist, c.regex, c.minimum, c.maximum, c.allow_missings) for i, c in enumerate(CONCEPTS)]
+    return x.spark.createDataFrame(rows, "pos int, concept_id string, constraint_type string, constraint_codelist string, constraint_regex string, "
+                                         "constraint_min double, constraint_max double, constraint_allow_missings boolean")
+
+
+@query("refused_version", oracle(f"WITH lists AS ({_LISTS}),\nfound AS (" + "\nUNION ALL ".join([_MISSING, _RANGE, _DATES, _REGEX, _LISTED]) + """)
+SELECT concept_id, rule, CAST(SUM(n) AS BIGINT) AS n, CAST(0 AS BIGINT) AS versions FROM found GROUP BY concept_id, rule"""))
+def refused(x):
+    """Publishing rows that break rules: what the writing pass counted, and the number of versions left behind."""
+    path = x.folder()
+    try:
+        publish_checked(x.view("raw"), _concept_rows(x), x.sql(_LISTS), path)
+    except v.ValidationError as error:
+        left = versions.commits(x.spark, path).count()
+        return x.spark.createDataFrame([(c, rule, n, left) for (c, rule), n in error.found.items()], "concept_id string, rule string, n long, versions long")
+    raise AssertionError("a version with broken rules was published")
+
+
+_SOUND = """FROM raw WHERE priority NOT LIKE '5%' AND price BETWEEN 5000 AND 450000 AND date_text NOT LIKE 'bad%' AND moment_text NOT LIKE '%25:00:00'
+  AND status <> 'P' AND code < 10"""
+
+
+@query("published_checked", oracle(f"""
+WITH lists AS ({_LISTS}), sound AS (SELECT * {_SOUND})
+SELECT CAST(row_id AS INT) AS row_id, status, priority, price, date_text, STRFTIME(CAST(REPLACE(moment_text, 'T', ' ') AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS moment_text,
+  l.value AS code FROM sound JOIN lists l ON l.codelist = 'code' AND l.valuen = sound.code"""))
+def published(x):
+    """Sound rows, checked while they are written by status, committed and read back."""
+    path = x.folder()
+    publish_checked(x.sql("SELECT * " + _SOUND), _concept_rows(x), x.sql(_LISTS), path, ["status"])
+    return versions.read_version(x.spark, path).withColumns({"date_text": F.col("date_text").cast("string"),
+                                                             "moment_text": F.date_format("moment_text", "yyyy-MM-dd HH:mm:ss")})
