@@ -8,10 +8,6 @@ from itertools import chain
 import numpy as np
 import xxhash
 
-from .common import Remembered
-
-_KNOWN = 200_000  # words a worker remembers
-
 # Odd multipliers of a well-known 64-bit finaliser, and one increment per place in a shingle.
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
 
@@ -23,20 +19,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(Remembered):
-    """64-bit hashes of words."""
-
-    def __init__(self):
-        super().__init__(_KNOWN)
+class WordHashes:
+    """64-bit hashes of words. Hashing a word costs less than remembering it, as most words of a corpus are rare."""
 
-    def compute(self, word: bytes) -> int:
-        return xxhash.xxh64_intdigest(word)
+    def of_words(self, words: Iterable[bytes], n: int) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n)
 
     def of(self, text: str | None, lower: bool = True) -> np.ndarray:
         """Hashes of the words of a text, A-Z lowered if asked; words end at ASCII white space."""
         raw = (text or "").encode()
         words = (raw.lower() if lower else raw).split()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        return self.of_words(words, len(words))
 
 
 def windows(words: np.ndarray, size: int) -> np.ndarray:
@@ -69,7 +62,7 @@ def shingle_sets(texts: Iterable[str | None], hashes: WordHashes, size: int = 5,
 
 def _sets(split: list[list[bytes]], hashes: WordHashes, size: int) -> Iterator[np.ndarray]:
     counts = [len(words) for words in split]
-    flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(split)), np.uint64, sum(counts))
+    flat = hashes.of_words(chain.from_iterable(split), sum(counts))
     grams = windows(flat, size) if len(flat) >= size else flat
     start = 0
     for n in counts:
