@@ -225,17 +225,17 @@ def refused(x):
     raise AssertionError("a version with broken rules was published")
 
 
-_SOUND = """FROM raw WHERE priority NOT LIKE '5%' AND price BETWEEN 5000 AND 450000 AND date_text NOT LIKE 'bad%' AND moment_text NOT LIKE '%25:00:00'
+_SOUND_RAW = """FROM raw WHERE priority NOT LIKE '5%' AND price BETWEEN 5000 AND 450000 AND date_text NOT LIKE 'bad%' AND moment_text NOT LIKE '%25:00:00'
   AND status <> 'P' AND code < 10"""
 
 
 @query("published_checked", oracle(f"""
-WITH lists AS ({_LISTS}), sound AS (SELECT * {_SOUND})
+WITH lists AS ({_LISTS}), sound AS (SELECT * {_SOUND_RAW})
 SELECT CAST(row_id AS INT) AS row_id, status, priority, price, date_text, STRFTIME(CAST(REPLACE(moment_text, 'T', ' ') AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS moment_text,
   l.value AS code FROM sound JOIN lists l ON l.codelist = 'code' AND l.valuen = sound.code"""))
 def published(x):
     """Sound rows, checked while they are written by status, committed and read back."""
     path = x.folder()
-    publish_checked(x.sql("SELECT * " + _SOUND), _concept_rows(x), x.sql(_LISTS), path, ["status"])
+    publish_checked(x.sql("SELECT * " + _SOUND_RAW), _concept_rows(x), x.sql(_LISTS), path, ["status"])
     return versions.read_version(x.spark, path).withColumns({"date_text": F.col("date_text").cast("string"),
                                                              "moment_text": F.date_format("moment_text", "yyyy-MM-dd HH:mm:ss")})

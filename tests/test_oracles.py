@@ -1,11 +1,15 @@
 """Every registered query against DuckDB on the same tables, and the plans of all of them."""
 
+import ast
 import math
 import os
+import pathlib
+from collections import Counter
 
 import duckdb
 import pytest
 
+from tallyloom import workload
 from tallyloom.workload import ORACLES, QUERIES, load_all
 from tallyloom.workload.inputs import SCHEMAS
 
@@ -50,3 +54,10 @@ def test_query_equals_its_oracle(spark, duck, name):
 def test_no_cross_join(spark, plan, name):
     text = plan(QUERIES[name](spark, DATA.replace("0.01", "0.001") if name not in ("edition", "rake_weights", "rake_weights_capped", "attach_weights", "weighted_margins") else DATA))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
+def test_texts_of_the_workload_are_named_once():
+    """A query reads its texts when it runs, so a later one of the same name would take the place of its own."""
+    for path in sorted(pathlib.Path(workload.__file__).parent.glob("*.py")):
+        names = [t.id for node in ast.parse(path.read_text()).body if isinstance(node, ast.Assign) for t in node.targets if isinstance(t, ast.Name)]
+        assert not [n for n, times in Counter(names).items() if times > 1], path.name
