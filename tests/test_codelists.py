@@ -92,6 +92,27 @@ def test_codebook(spark, rows):
         cb.codebook(variables, dsd, questions, answers.where("value = 'm'"), lists)
 
 
+def test_codebook_ranks_variables_not_codes(spark, rows):
+    """What is sorted per concept is as long as the variables; hot, unknown and missing lists keep their rows."""
+    variables = spark.createDataFrame([(1, "V1", "a"), (2, "V2", "a"), (3, "V3", "b"), (4, "V4", "c")], "pos int, variable string, concept_id string")
+    dsd = spark.createDataFrame([("a", "codelist", "s"), ("b", "codelist", "gone"), ("c", "integer", None)], "concept_id string, constraint_type string, constraint_codelist string")
+    questions = spark.createDataFrame([("a", "A", "Q", None), ("b", "B", None, None)], "concept_id string, varlabel string, question string, question_item string")
+    lists = spark.createDataFrame([("s", 7, 1.0, "m"), ("s", 8, 2.0, "f"), (None, 1, 3.0, "m")], "codelist string, pos int, valuen double, value string")
+    answers = spark.createDataFrame([("m", "Man"), (None, "none")], "value string, vallabel string")
+    out = cb.codebook(variables, dsd, questions, answers, lists, check=False)
+    assert rows(out, "pos", "varname", "varlabel", "valn", "valc") == [
+        (1, "", "", "2", None), (1, "V1", "A", "1", "Man"), (2, "", "", "1", "Man"), (2, "", "", "2", None),
+        (3, "V3", "B", "[codelist]", "none"), (4, "V4", None, "[integer]", "none")]
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at, depth = next((i, line.index("Aggregate [concept_id")) for i, line in enumerate(lines) if "Aggregate [concept_id" in line)
+    ranked = [lines[at]]
+    for line in lines[at + 1:]:
+        if len(line) - len(line.lstrip(" :+-")) <= depth:
+            break
+        ranked.append(line)
+    assert not any("struct(pos" in line and "code_pos" in line.split("struct(pos", 1)[1] for line in ranked)
+
+
 def test_legacy_skeleton(spark, rows):
     scales = spark.createDataFrame([("oldyn", "yn", 1.0, "yes"), ("oldyn", "yn", 2.0, "no"), ("missing", "dkn", 9.0, "dkn")], "old_scale string, scale string, valuen double, value string")
     variables = spark.createDataFrame([("oldyn", "x", None, None), ("oldyn", None, None, None), (None, "x", None, None)], "scale string, weetniet string, filter string, question string")
