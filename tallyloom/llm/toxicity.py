@@ -29,7 +29,7 @@ EACH = 6000            # documents of either label that teach
 _TOXIC, _ORDINARY = 32 << 10, 96 << 10   # bytes of the dictionaries
 _LEVEL = 19            # only the optimal parser finds every match of a short window
 _WINDOW = 40           # bytes of the longest window; a longer word is several
-_KNOWN = 200_000       # windows a worker remembers
+_KNOWN = 400_000       # windows a worker remembers, from one task to the next
 _LONG, _SAVED = 40, 18  # cells: compressed length, bytes saved
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]{1,%d}" % _WINDOW)
 
@@ -72,6 +72,7 @@ class Cells(Remembered):
 
     def __init__(self, ordinary: bytes, toxic: bytes):
         super().__init__(_KNOWN)
+        self.dictionaries = ordinary, toxic
         # the ordinary content stands next to the window in both, so ordinary matches cost the same
         self.plain, self.both = _compressor(ordinary), _compressor(toxic + ordinary)
 
@@ -86,6 +87,17 @@ class Cells(Remembered):
         return np.fromiter(map(self.__getitem__, found), np.int64, len(found))
 
 
+_last: Cells | None = None  # of this worker; what a window gives depends on the dictionaries alone
+
+
+def remembered_cells(ordinary: bytes, toxic: bytes) -> Cells:
+    """The cells of these dictionaries, with what the worker's earlier tasks have found; those of other dictionaries go."""
+    global _last
+    if _last is None or _last.dictionaries != (ordinary, toxic):
+        _last = Cells(ordinary, toxic)
+    return _last
+
+
 def _trained(size: int, frequencies: list[tuple[bytes, int]], most: int) -> bytes:
     """A dictionary of windows, each given as often as it occurs up to ``most`` times, in an order drawn by hash."""
     spelled = [_spelled(w) for w, _ in frequencies]  # one object for all copies of a window
@@ -105,7 +117,7 @@ class Model:
         self.ordinary, self.toxic, self.ratios, self.fit, self.constant = ordinary, toxic, np.zeros(_LONG * _SAVED), None, None
 
     def cells(self) -> Cells:
-        return Cells(self.ordinary, self.toxic)
+        return remembered_cells(self.ordinary, self.toxic)
 
     def features(self, cells: np.ndarray) -> np.ndarray:
         """Ratios of the three strongest windows, and suspect windows by the root of all."""

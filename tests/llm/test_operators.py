@@ -679,3 +679,17 @@ def test_words_are_evidence_of_quality():
     whole, evidence = quality.cross_fitted(found, y, np.arange(400) % 4 > 0)
     assert evidence[y == 1].mean() > evidence[y == 0].mean() + 0.05
     assert whole(quality.grams("spam", hashes)) < 0 < whole(quality.grams("fact", hashes)) and whole(quality.grams("", hashes)) == 0.0
+
+
+def test_toxicity_windows_are_compressed_once_by_a_worker(monkeypatch):
+    """What one task found serves the next; other dictionaries start anew and change no cell."""
+    asked, compute = [], toxicity.Cells.compute
+    monkeypatch.setattr(toxicity, "_last", None)
+    monkeypatch.setattr(toxicity.Cells, "compute", lambda self, window: asked.append(window) or compute(self, window))
+    model = toxicity.Model(b"\0" * 8, b"\0" * 8)
+    first = model.cells().of("one two one").tolist()
+    assert model.cells().of("two one").tolist() == [first[1], first[0]]
+    assert asked == [b"one", b"two"]
+    other = toxicity.Model(toxicity._spelled(b"one") * 4, b"\0" * 8)
+    assert other.cells().of("one").tolist() == toxicity.Cells(other.ordinary, other.toxic).of("one").tolist()
+    assert asked == [b"one", b"two", b"one", b"one"]
