@@ -81,8 +81,9 @@ def response_profile(df: DataFrame, questions: Sequence[Question], demographics:
     Questionnaires so long that rounding gives two questions one share yield one row per tie.
     """
     kind = {q.concept_id: behaviour(F.col(q.concept_id)) for q in questions}
-    seen = {q: k != "no respons" for q, k in kind.items()}
-    given = {q: k == "respons" for q, k in kind.items()}
+    # flags in a projection of their own, so that a behaviour is computed once and not inside every rule
+    flags = {f"__seen_{q}": k != "no respons" for q, k in kind.items()} | {f"__given_{q}": k == "respons" for q, k in kind.items()}
+    seen, given = ({q: F.col(f"`__{name}_{q}`") for q in kind} for name in ("seen", "given"))
     any_seen = any_of(seen.values())
     share = reduce(add, [g.cast("int") for g in given.values()]).cast("double") / F.lit(float(len(questions)))
     demo = reduce(and_, [given.get(d, F.lit(False)) for d in demographics])
@@ -91,17 +92,17 @@ def response_profile(df: DataFrame, questions: Sequence[Question], demographics:
     for q in reversed(questions):
         last = last.when(seen[q.concept_id], F.lit(q.pct))
         following = following.when(seen[q.concept_id], F.lit(q.following).cast("string"))
-    out = df.withColumns({
+    out = df.withColumns(flags).withColumns({
         "resp_demo": F.when(any_seen, demo),
         "resp_share": F.when(any_seen, share),
         "resp_pct": last,
     })
     if len(set(shares)) == len(shares):
-        return out.withColumn("resp_drop", following)
+        return out.withColumn("resp_drop", following).drop(*flags)
     ties = F.array_compact(F.array(*[
         F.when(seen[q.concept_id] & (F.col("resp_pct") == q.pct), F.struct(F.lit(q.following).cast("string").alias("v")))
         for q in questions]))
-    return out.withColumn("__tie", F.explode_outer(ties)).withColumn("resp_drop", F.col("__tie.v")).drop("__tie")
+    return out.withColumn("__tie", F.explode_outer(ties)).withColumn("resp_drop", F.col("__tie.v")).drop("__tie", *flags)
 
 
 def disposition(df: DataFrame) -> DataFrame:

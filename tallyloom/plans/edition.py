@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import cleaning, derive, identifiers, margins, raking, responses, validation
 from ..operators.batteries import clean_batteries, clean_filters
 from ..operators.responses import Question
-from ..session import emptied_stages, stage_table
+from ..session import compiled_apart, compiled_methods, emptied_stages, stage_table
 from ..sources.tables import write_partitioned
 from .config import EditionConfig
 
@@ -48,15 +48,18 @@ class EditionMetadata:
 
 
 def clean_responses(df: DataFrame, cfg: EditionConfig) -> DataFrame:
-    """Corrections, batteries, filters: expressions over the columns of one row."""
+    """Corrections, batteries, filters: expressions over the columns of one row.
+
+    The rules of a whole row are more code than the JIT compiles in one method, so they go in parts.
+    """
     return (df.transform(cleaning.correct_inconsistencies)
-            .transform(clean_batteries, cfg.batteries)
+            .transform(clean_batteries, cfg.batteries).transform(compiled_apart)
             .transform(clean_filters, cfg.filters))
 
 
 def analyse_responses(df: DataFrame, questions: Sequence[Question], cfg: EditionConfig) -> DataFrame:
     """Completion, disposition, status and wave, also over the columns of one row."""
-    return (df.transform(responses.response_profile, questions, cfg.demographics)
+    return (df.transform(responses.response_profile, questions, cfg.demographics).transform(compiled_apart)
             .transform(responses.disposition).transform(responses.status).transform(responses.response_wave)
             .drop("resp_demo", "resp_share", "invitation", "reminder_1", "reminder_2", "resp_fwdisp"))
 
@@ -104,8 +107,9 @@ def process_edition(inputs: EditionInputs, questions: Sequence[Question], cfg: E
     (raking cells, identifiers, result). Identifiers come last, so that raking does not wait for them.
     """
     merged = cleaning.merge_sources(inputs.sample, inputs.survey, inputs.edition, inputs.contacts, cfg.surv_id)
-    analysed = stage_table(analyse_responses(clean_responses(merged, cfg), questions, cfg))
-    single = stage_table(responses.dedupe_responses(analysed, cfg.person, cfg.response if cfg.break_ties else None))
+    with compiled_methods(merged.sparkSession):
+        analysed = stage_table(analyse_responses(clean_responses(compiled_apart(merged), cfg), questions, cfg))
+        single = stage_table(responses.dedupe_responses(analysed, cfg.person, cfg.response if cfg.break_ties else None))
     weighted = weight_responses(derive_variables(single, inputs, cfg), inputs.targets, cfg)
     return name_responses(weighted, cfg, single)
 

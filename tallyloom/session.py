@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the operators rely on. All are plain SQL settings, so they
 # can be applied to a session somebody else has started.
@@ -84,6 +85,33 @@ def stage_table(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Bytes of the largest method that HotSpot compiles; larger ones are interpreted for every row.
+COMPILED_METHOD = 8000
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """What runs inside generates no method for a pipeline that is too large to be compiled.
+
+    Such a pipeline is evaluated operator by operator instead, whose methods Spark keeps small.
+    """
+    before = spark.conf.get(_METHOD_LIMIT)
+    spark.conf.set(_METHOD_LIMIT, COMPILED_METHOD)
+    try:
+        yield
+    finally:
+        spark.conf.set(_METHOD_LIMIT, before)
+
+
+def compiled_apart(df: DataFrame) -> DataFrame:
+    """The same rows; what comes before and what comes after are methods of their own.
+
+    Counting the rows on their way is an operator that Spark does not fuse with others, and it needs no shuffle.
+    """
+    return df.observe(f"rows-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder, for the small state of an iteration."""
     shared_dir(df.sparkSession)

@@ -11,7 +11,7 @@ from ..operators.margins import population_margins, register_covariates
 from ..operators.responses import Question
 from ..plans.config import EditionConfig
 from ..plans.edition import EditionInputs, EditionMetadata, process_edition, run_edition
-from ..session import stage_table
+from ..session import compiled_methods, stage_table
 from . import sqltext as t
 from .inputs import oracle
 from .registry import query
@@ -135,6 +135,7 @@ def edition_published(x):
 
     Persons are counted before publishing, so equally good responses of one person leave one.
     """
-    raw = stage_table(x.sql(_RAW))  # a raw survey arrives as a table
+    with compiled_methods(x.spark):
+        raw = stage_table(x.sql(_RAW))  # a raw survey arrives as a table
     out = run_edition(replace(edition_inputs(x), survey=raw), edition_metadata(x), QUESTIONS, replace(CONFIG, break_ties=True), x.folder())
     return out.select("surv_id", *dict.fromkeys([*_OUT, *_ASKED_CODES]), F.round("psweight", 4).alias("psweight"))

@@ -1,6 +1,7 @@
 """A small edition from labelled raw data to a published partition."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +10,10 @@ from tallyloom.operators import validation as v
 from tallyloom.operators.batteries import Battery, FilteredQuestion
 from tallyloom.operators.responses import question_list, question_progress
 from tallyloom.plans.config import BATTERIES, COUNTS, FILTERS, EditionConfig
-from tallyloom.plans.edition import EditionInputs, EditionMetadata, process_edition, publish_edition, read_survey, relabel_survey
+from tallyloom.plans.edition import EditionInputs, EditionMetadata, analyse_responses, clean_responses, process_edition, publish_edition, read_survey, relabel_survey
 from tallyloom.plans.population import margins_all_years
-from tallyloom.session import emptied_stages, stage_table
+from tallyloom.session import COMPILED_METHOD, compiled_apart, compiled_methods, emptied_stages, stage_table
+from tallyloom.workload import q_editions
 
 DSD = "concept_id string, label_nl string, constraint_type string, constraint_codelist string, constraint_regex string, " \
       "constraint_min double, constraint_max double, constraint_allow_missings boolean"
@@ -126,3 +128,36 @@ def test_stages_are_empty_after_their_scope(spark):
         folder = staged.inputFiles()[0].split("/stage-")[0] + "/stage-" + staged.inputFiles()[0].split("/stage-")[1].split("/")[0]
         assert spark.read.schema(df.schema).parquet(folder).count() == 0
     assert outside.count() == 10
+
+
+def _method_sizes(spark, df):
+    """Bytes of the largest method generated for each pipeline of a plan."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a plan that is still open shows no code
+    try:
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        text = df.select("*")._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+
+
+def test_rules_of_a_row_are_methods_the_jit_compiles(spark):
+    texts = [*q_editions._ASKED_CODES, "surv_id", "sex", "resp_mode", "resp_fwdisp", "fw_period", "surv_semester"]
+    dates = ["resp_date", "invitation", "reminder_1", "reminder_2"]
+    numbers = ["row_id", "pseudo_id", "bth_year", "nhh_nchld", "nhh_nadlt", "nhh_nsnr", "surv_year"]
+    merged = spark.range(3).select(*[F.when(F.col("id") > 0, F.concat(F.lit("yes"), F.col("id"))).alias(c) for c in texts],
+                                   *[F.current_date().alias(c) for c in dates], *[F.col("id").cast("int").alias(c) for c in numbers])
+    merged = stage_table(merged)
+    df = analyse_responses(clean_responses(compiled_apart(merged), q_editions.CONFIG), q_editions.QUESTIONS, q_editions.CONFIG)
+    sizes = _method_sizes(spark, df)
+    assert len(sizes) > 1 and max(sizes) <= COMPILED_METHOD
+    assert df.count() == 3
+
+
+def test_limit_of_methods_is_put_back(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    with pytest.raises(RuntimeError), compiled_methods(spark):
+        assert spark.conf.get(name) == str(COMPILED_METHOD)
+        raise RuntimeError
+    assert spark.conf.get(name) == before
